@@ -30,7 +30,7 @@ def _answers(cust: Column, nation: Column, balance: Column) -> Column:
         (F.lit(4), 13 + cust % 3),
         (F.when(nation % 5 == 0, F.lit(36)).otherwise(F.lit(40)), experience),
         (F.lit(41), F.when(balance < 0, F.lit(121)).otherwise(F.lit(122))),
-        (F.lit(27), cust),
+        (F.lit(27), 1000 + cust),
     ]
     as_list = F.concat(
         F.lit("["),
@@ -403,10 +403,12 @@ def acquisition_answers(c: Catalog) -> DataFrame:
 
 
 def discounts(c: Catalog) -> DataFrame:
-    return c.table("lineitem").select(
-        F.col("l_orderkey").alias("entityId"),
-        F.when(F.col("l_discount") >= 0.08, F.lit("3x2 bundle")).otherwise(F.lit("other")).alias("name"),
-        F.col("l_shipdate").alias("createdAt"),
+    """Discounts used by an order, once per name."""
+    name = F.when(F.col("l_discount") >= 0.08, F.lit("3x2 bundle")).otherwise(F.lit("other"))
+    return (
+        c.table("lineitem")
+        .groupBy(F.col("l_orderkey").alias("entityId"), name.alias("name"))
+        .agg(F.min("l_shipdate").alias("createdAt"))
     )
 
 
