@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shopledger.functions.periods import in_period
@@ -81,16 +82,20 @@ def _kind() -> Column:
     return F.when(F.col("order_number").isNotNull(), F.lit("orders")).otherwise(F.lit("attempts"))
 
 
-def _kind_totals(baskets: DataFrame) -> DataFrame:
-    days = F.datediff(F.to_date(F.max("created_at")), F.to_date(F.min("created_at"))) + 1
-    return baskets.groupBy(_kind().alias("kind")).agg(
-        F.count(F.lit(1)).alias("n"),
+def _grouped(baskets: DataFrame, *by: Column | str) -> DataFrame:
+    return baskets.groupBy(_kind().alias("kind"), *by).agg(
+        F.count(F.lit(1)).alias("baskets"),
         F.avg("total_amount").alias("avg_amount"),
         F.avg("units").alias("avg_units"),
-        days.alias("days"),
+        F.min("created_at").alias("_first"),
+        F.max("created_at").alias("_last"),
     )
 
 
+def _days(first: Column, last: Column) -> Column:
+    return F.datediff(last, first) + 1
+
+
 def basket_summary(baskets: DataFrame, total_orders: DataFrame, start: str, end: str) -> DataFrame:
     """Means, baskets per day, their share of all orders per day, and how many attempts became orders.
 
@@ -98,22 +103,20 @@ def basket_summary(baskets: DataFrame, total_orders: DataFrame, start: str, end:
     orders per day count the period with both ends.
     """
     period_days = (date.fromisoformat(end[:10]) - date.fromisoformat(start[:10])).days + 1
-    totals = _kind_totals(baskets)
-    every = baskets.agg(F.count(F.lit(1))).scalar()
+    totals = _grouped(baskets).withColumn("_every", F.sum("baskets").over(W.partitionBy(F.lit(0))))  # two rows
+    every = F.col("_every")
     all_per_day = safe_ratio(total_orders.select("total_orders").scalar(), F.lit(period_days))
-    per_day = safe_ratio(F.col("n"), F.col("days"))
+    per_day = safe_ratio(F.col("baskets"), _days(F.col("_first"), F.col("_last")))
     common = {"avg_amount": F.col("avg_amount"), "avg_units": F.col("avg_units"), "per_day": per_day}
-    orders = metric_rows(
-        totals.filter(F.col("kind") == "orders"),
-        {**common, "all_orders_per_day": all_per_day, "share_of_all_orders": safe_ratio(per_day, all_per_day)},
-        ["kind"],
-    )
-    attempts = metric_rows(
-        totals.filter(F.col("kind") == "attempts"),
-        {**common, "conversion": safe_ratio(every - F.col("n"), every)},
-        ["kind"],
-    )
-    return orders.unionByName(attempts)
+    rates = {"all_orders_per_day": all_per_day, "share_of_all_orders": safe_ratio(per_day, all_per_day)}
+    conversion = safe_ratio(every - F.col("baskets"), every)
+    # Orders and attempts list different figures; the others are left out.
+    figures = {
+        **{n: v for n, v in common.items()},
+        **{n: F.when(F.col("kind") == "orders", v) for n, v in rates.items()},
+        "conversion": F.when(F.col("kind") == "attempts", conversion),
+    }
+    return metric_rows(totals, figures, ["kind"]).filter(F.col("value").isNotNull())
 
 
 def _bin_labels(edges: Sequence[float]) -> list[str]:
@@ -123,30 +126,37 @@ def _bin_labels(edges: Sequence[float]) -> list[str]:
 def basket_histogram(baskets: DataFrame, edges: Sequence[float]) -> DataFrame:
     """Baskets per price bin: count, mean value, per day, share. Empty bins stay, without a mean."""
     labels = _bin_labels(edges)
-    totals = _kind_totals(baskets).select("kind", F.col("n").alias("_n"), "days")
-    spine = totals.select("kind", F.explode(F.sequence(F.lit(0), F.lit(len(labels) - 1))).alias("bin"))
-    binned = (
-        baskets.select(_kind().alias("kind"), bin_of(F.col("total_amount"), edges).alias("bin"), "total_amount")
-        .groupBy("kind", "bin")
-        .agg(F.count(F.lit(1)).alias("baskets"), F.avg("total_amount").alias("avg_amount"))
+    binned = _with_rates(_grouped(baskets, bin_of(F.col("total_amount"), edges).alias("bin")))
+    bins = F.sequence(F.lit(0), F.lit(len(labels) - 1))
+    table = binned.groupBy("kind").agg(
+        F.map_from_entries(
+            F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", F.struct("baskets", "avg_amount", "per_day", "share"))))
+        ).alias("_filled")
+    )
+    cell = F.try_element_at("_filled", F.col("bin"))
+    return table.select("kind", "_filled", F.explode(bins).alias("bin")).select(
+        "kind",
+        "bin",
+        F.element_at(F.array(*[F.lit(t) for t in labels]), F.col("bin") + 1).alias("label"),
+        F.coalesce(cell["baskets"], F.lit(0)).alias("baskets"),
+        cell["avg_amount"].alias("avg_amount"),
+        F.coalesce(cell["per_day"], F.lit(0.0)).alias("per_day"),
+        F.coalesce(cell["share"], F.lit(0.0)).alias("share"),
     )
-    named = F.element_at(F.array(*[F.lit(t) for t in labels]), F.col("bin") + 1)
-    return _per_day(spine.join(binned, ["kind", "bin"], "left").na.fill(0, ["baskets"]).withColumn("label", named), totals)
 
 
 def basket_units(baskets: DataFrame) -> DataFrame:
     """The same per number of units."""
-    totals = _kind_totals(baskets).select("kind", F.col("n").alias("_n"), "days")
-    grouped = baskets.groupBy(_kind().alias("kind"), "units").agg(
-        F.count(F.lit(1)).alias("baskets"), F.avg("total_amount").alias("avg_amount")
-    )
-    return _per_day(grouped, totals)
+    return _with_rates(_grouped(baskets, "units")).select("kind", "units", "baskets", "avg_amount", "per_day", "share")
 
 
-def _per_day(table: DataFrame, totals: DataFrame) -> DataFrame:
-    return (
-        table.join(totals, "kind")
-        .withColumn("per_day", safe_ratio(F.col("baskets"), F.col("days")))
-        .withColumn("share", safe_ratio(F.col("baskets"), F.col("_n")))
-        .drop("_n", "days")
+def _with_rates(groups: DataFrame) -> DataFrame:
+    """Adds baskets per day and share of the kind.
+
+    The windows see one row per bin (or number of units) of a kind.
+    """
+    kind = W.partitionBy("kind")
+    days = _days(F.min("_first").over(kind), F.max("_last").over(kind))
+    return groups.withColumn("per_day", safe_ratio(F.col("baskets"), days)).withColumn(
+        "share", safe_ratio(F.col("baskets"), F.sum("baskets").over(kind))
     )

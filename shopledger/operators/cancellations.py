@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shopledger.functions.answers import answer_to, code_by_precedence, first_code, labelled
 from shopledger.functions.periods import day_of, in_period, month_of
 from shopledger.functions.scalars import deviation_flag, percent, reason_root, safe_ratio
-from shopledger.operators.core import last_before, with_group_total
+from shopledger.operators.core import last_before, settled, small_table, with_group_total
 from shopledger.operators.orders import counted_orders
 
 Labels = Mapping[str, Sequence[str]]
@@ -142,6 +142,7 @@ def cancellation_level(item_rows: DataFrame) -> DataFrame:
 
 def _with_shares(table: DataFrame, measures: Sequence[str]) -> DataFrame:
     """Adds each measure's percentage of its column total, rounded to 2."""
+    table = settled(table)
     totals = table.agg(*[F.sum(m).alias(m) for m in measures])
     shares = {
         f"{m}_pct": F.round(percent(F.col(m), totals.select(m).scalar()), 2) for m in measures
@@ -179,19 +180,14 @@ def _by_reason_item(rows: DataFrame, listed_items: Sequence, segments: Mapping[s
     own = [F.when(F.col("segment_code") == code, F.lit(name)) for name, code in segments.items()]
     split = rows.withColumn("segment", F.explode(F.array_compact(F.array(F.lit("all"), *own))))
     item_type = rows.schema["item_ids"].dataType.elementType
-    per_reason = split.select("segment", "reason").distinct()
-    listed = F.array(*[F.lit(i).cast(item_type) for i in listed_items])
-    spine = per_reason.select("segment", "reason", F.explode(listed).alias("item_id"))
-    counts = (
+    counts = settled(
         split.select("segment", "reason", F.explode("item_ids").alias("item_id"))
         .groupBy("segment", "reason", "item_id")
         .agg(F.count(F.lit(1)).alias("cancellations"))
     )
-    matrix = (
-        spine.unionByName(counts, allowMissingColumns=True)
-        .groupBy("segment", "reason", "item_id")
-        .agg(F.coalesce(F.sum("cancellations"), F.lit(0)).alias("cancellations"))
-    )
+    listed = F.array(*[F.lit(i).cast(item_type) for i in listed_items])
+    spine = counts.select("segment", "reason").distinct().select("segment", "reason", F.explode(listed).alias("item_id"))
+    matrix = spine.join(counts, ["segment", "reason", "item_id"], "left").na.fill(0, ["cancellations"])
     totals = with_group_total(matrix, "cancellations", ["segment", "item_id"], "_total")
     return totals.withColumn("share_pct", F.round(percent(F.col("cancellations"), F.col("_total")), 2)).drop("_total")
 
@@ -265,7 +261,8 @@ def active_distribution(
         + [("item", str(i)) for i in listed_items]
         + [("experience", e) for e in (*experience, "Unknown")]
     )
-    spine = subscriptions.sparkSession.createDataFrame(listed, "dimension string, label string")
+    columns = {"dimension": [d for d, _ in listed], "label": [n for _, n in listed]}
+    spine = small_table(subscriptions.sparkSession, columns, "dimension string, label string")
     table = (
         spine.unionByName(counts, allowMissingColumns=True)
         .groupBy("dimension", "label")
@@ -296,7 +293,7 @@ def cancel_item_rows(
     per_day = cancellations.groupBy(
         F.col("subscriptionId").alias("subscription_id"), day_of(F.col("createdAt")).alias("day")
     ).agg(F.count(F.lit(1)).alias("_cancellations"))
-    return (
+    return settled(
         per_day.join(cancelled, "subscription_id")
         .join(per_subscription, "subscription_id")
         .groupBy("day", "product")
@@ -392,7 +389,7 @@ def cancel_reason_calendar(
     if exclude_items is not None:
         items = items.filter(~F.col("itemId").isin(list(exclude_items)))
     per_subscription = items.groupBy("subscriptionId").agg(F.count(F.lit(1)).alias("_items"))
-    monthly = (
+    monthly = settled(
         cancellations.filter(in_period(F.col("createdAt"), start, end, "()"))
         .groupBy("subscriptionId", reason_root(F.col("reason"), "-").alias("reason"), month_of(F.col("createdAt")).alias("date"))
         .agg(F.count(F.lit(1)).alias("_cancellations"))

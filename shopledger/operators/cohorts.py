@@ -25,10 +25,12 @@ def subscriber_facts(
     kit_pattern: str,
     experience: Mapping[str, Sequence[str]],
     variables: Sequence[int] = (40, 36),
+    as_of: str | None = None,
 ) -> DataFrame:
     """One row per customer whose first subscription order lies between two dates (both included).
 
-    All order figures of a customer come from one aggregation.
+    All order figures of a customer come from one aggregation. Activity is
+    judged as of ``as_of``, by default the members' last one-time order.
     """
     subscribed = F.col("order_plan").isin("SUBSCRIPTION", "MIXED")
     # Sorted by time, then highest total: the first element carries both.
@@ -79,22 +81,21 @@ def subscriber_facts(
         F.get_json_object("additionalFields", "$.diagnostic").alias("_order_answers"),
     )
     code = answer_to(F.coalesce("_kit_answers", "_order_answers"), variables)
+    latest = F.lit(as_of).cast("date") if as_of else members.agg(F.max("last_oto_date")).scalar()
     return (
         members.join(per_subscriber, "customer_id", "left")
         .join(kit, "first_order_id", "left")
         .join(whole, "first_order_id", "left")
         .withColumn("experience", labelled(code, experience, default=None))
         .withColumn("has_active_subscription", F.coalesce("has_active_subscription", F.lit(False)))
+        .withColumn("as_of", latest)
         .drop("_kit_answers", "_order_answers")
     )
 
 
-def with_activity(facts: DataFrame, as_of: str | None = None) -> DataFrame:
-    """Adds ``is_active``: an active subscription, a one-time order within 365 days, or a cancellation within 90.
-
-    The days count back from ``as_of``, by default the last one-time order of all.
-    """
-    latest = F.lit(as_of).cast("date") if as_of else facts.agg(F.max("last_oto_date")).scalar()
+def with_activity(facts: DataFrame) -> DataFrame:
+    """Adds ``is_active``: an active subscription, a one-time order within 365 days, or a cancellation within 90."""
+    latest = F.col("as_of")
     ordered = (F.col("last_oto_date") > F.col("cohort")) & (F.col("last_oto_date") >= F.date_sub(latest, 365))
     left = F.col("last_cancellation_date") >= F.date_sub(latest, 90)
     active = F.col("has_active_subscription") | F.coalesce(ordered, F.lit(False)) | F.coalesce(left, F.lit(False))

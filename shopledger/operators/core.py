@@ -8,8 +8,10 @@ spread over the cluster, and only one row per day has to meet in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import tempfile
+from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,10 +19,34 @@ from pyspark.sql import functions as F
 _BEFORE_ALL = "0001-01-01"
 
 
+def small_table(spark: SparkSession, columns: Mapping[str, Sequence], schema: str) -> DataFrame:
+    """A caller-given list as a local relation: Spark knows its size and broadcasts it by itself."""
+    return spark.createDataFrame(pa.table({n: pa.array(v) for n, v in columns.items()}), schema)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """An aggregated table computed once, for plans that read it several times.
+
+    Kept in the shared checkpoint folder of the session (``spark.checkpoint.dir``),
+    so it outlives executors. A local session without one gets a folder of its
+    own; a cluster without one recomputes.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="shopledger-")
+        if folder is None:
+            return df
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def calendar(spark: SparkSession, start: str, end: str, step: str = "1 day", name: str = "day") -> DataFrame:
     """Every date from ``start`` to ``end``, both included."""
     dates = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr(f"interval {step}"))
-    return spark.range(1).select(F.explode(dates).alias(name))
+    return spark.range(0, 1, 1, 1).select(F.explode(dates).alias(name))
 
 
 def metric_rows(df: DataFrame, metrics: dict[str, Column], keep: Sequence[str] = ()) -> DataFrame:
@@ -67,13 +93,25 @@ def with_group_total(df: DataFrame, value: str, by: Sequence[str], name: str) ->
     return df.join(totals, list(by))
 
 
-def numbered(df: DataFrame, key: Sequence[str], ts: str, tie: Sequence[str], name: str) -> DataFrame:
-    """``row_number()`` per key in ``ts, tie`` order (missing times first)."""
+def numbered(
+    df: DataFrame, key: Sequence[str], ts: str, tie: Sequence[str], name: str, first: Sequence[str] = ()
+) -> DataFrame:
+    """``row_number()`` per key in ``ts, tie`` order (missing times first).
+
+    The columns ``first`` of each key's first row come along as ``first_<column>``.
+    """
     day = F.coalesce(F.to_date(F.col(ts)), F.lit(_BEFORE_ALL).cast("date"))
     rows = df.withColumn("_day", day)
-    per_day = rows.groupBy(*key, "_day").agg(F.count(F.lit(1)).alias("_rows"))
+    opening = F.min(F.struct(F.col(ts), *tie, *first)) if first else F.lit(None)
+    per_day = rows.groupBy(*key, "_day").agg(F.count(F.lit(1)).alias("_rows"), opening.alias("_opening"))
     earlier = W.partitionBy(*key).orderBy("_day").rowsBetween(W.unboundedPreceding, -1)
-    per_day = per_day.withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+    openings = W.partitionBy(*key).orderBy("_day")
+    per_day = per_day.select(
+        *key,
+        "_day",
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
+        *[F.first("_opening").over(openings)[c].alias(f"first_{c}") for c in first],
+    )
     inside = W.partitionBy(*key, "_day").orderBy(F.col(ts), *tie)
     return (
         rows.withColumn("_position", F.row_number().over(inside))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.functions.periods import in_period, lenient_date, local_date, month_label, month_of
@@ -79,8 +79,10 @@ def program_enrollment_base(
 ) -> DataFrame:
     """One row per enrolment and successful renewal inside it (one with no renewal if there is none).
 
-    Renewals go first in an inner join, which can be split where one
-    subscription has very many; enrolments without any are added after.
+    Matching renewals come from an inner join, which can be split where one
+    subscription has very many; enrolments without any are added after, found
+    by renewal days instead of renewals. ``renewed_at_once`` says whether the
+    subscription's first row renewed on its start day.
     """
     facts = subscriptions.select(
         F.col("id").alias("subscription_id"),
@@ -91,41 +93,44 @@ def program_enrollment_base(
     success = renewals.filter(F.col("status") == "SUCCESS").select(
         F.col("subscriptionId").alias("subscription_id"), F.col("id").alias("renewal_id"), F.col("createdAt").alias("renewed_at")
     )
-    day = F.to_date("renewed_at")
-    during = (day >= F.to_date("first_date")) & (F.col("last_date").isNull() | (day <= F.to_date("last_date")))
-    matched = success.join(enrolled, "subscription_id").filter(during)
-    keys = ["subscription_id", "first_date", "last_date"]
-    pairs = matched.select(*keys).distinct()
-    same = [enrolled[k].eqNullSafe(pairs[k]) if k == "last_date" else enrolled[k] == pairs[k] for k in keys]
-    unmatched = enrolled.join(pairs, same, "left_anti")
-    rows = matched.unionByName(unmatched, allowMissingColumns=True)
-    ordered = numbered(rows, ["subscription_id"], "renewed_at", ["renewal_id"], "row_in_subscription")
+
+    def during(day: Column) -> Column:
+        return (day >= F.to_date("first_date")) & (F.col("last_date").isNull() | (day <= F.to_date("last_date")))
+
+    matched = success.join(enrolled, "subscription_id").filter(during(F.to_date("renewed_at")))
+    renewal_days = success.select("subscription_id", F.to_date("renewed_at").alias("_renewal_day")).distinct()
+    same = (enrolled["subscription_id"] == renewal_days["subscription_id"]) & during(F.col("_renewal_day"))
+    unmatched = enrolled.join(renewal_days, same, "left_anti")
+    rows = matched.unionByName(unmatched, allowMissingColumns=True).withColumns(
+        {"start_date": local_date(F.col("first_date"), zone), "renewal_date": local_date(F.col("renewed_at"), zone)}
+    )
+    ordered = numbered(
+        rows, ["subscription_id"], "renewed_at", ["renewal_id"], "row_in_subscription", ["start_date", "renewal_date"]
+    )
+    at_once = F.coalesce(F.col("first_start_date") == F.col("first_renewal_date"), F.lit(False))
     return ordered.select(
         "subscription_id",
-        local_date(F.col("first_date"), zone).alias("start_date"),
-        local_date(F.col("renewed_at"), zone).alias("renewal_date"),
+        "start_date",
+        "renewal_date",
         local_date(F.col("last_date"), zone).alias("end_date"),
         "renewal_id",
         "row_in_subscription",
         F.when(F.col("renewed_at").isNull(), F.lit(0)).otherwise(F.col("row_in_subscription")).alias("renewal_number"),
         "program_active",
         "subscription_status",
+        at_once.alias("renewed_at_once"),
     )
 
 
 def program_flags(base: DataFrame) -> DataFrame:
     """Adds: first row of its subscription, renewed on the start day, and the ids that ever did so."""
-    require_columns(base, ["start_date", "renewal_date", "end_date", "subscription_id", "renewal_number"], "program_flags")
+    required = ["start_date", "renewal_date", "end_date", "subscription_id", "renewal_number", "renewed_at_once"]
+    require_columns(base, required, "program_flags")
     same_day = F.coalesce((F.col("start_date") == F.col("renewal_date")) & (F.col("renewal_number") == 1), F.lit(False))
     flagged = base.withColumn("unique_subscription", (F.col("row_in_subscription") == 1).cast("int")).withColumn(
         "same_day_reactivation", same_day.cast("int")
     )
-    reactivated = (
-        base.filter(same_day).select("subscription_id").distinct().withColumn("_reactivated", F.lit(True))
-    )
-    return flagged.join(reactivated, "subscription_id", "left").withColumn(
-        "reactivated_subscription_id", F.when(F.col("_reactivated"), F.col("subscription_id"))
-    ).drop("_reactivated")
+    return flagged.withColumn("reactivated_subscription_id", F.when(F.col("renewed_at_once"), F.col("subscription_id")))
 
 
 # --- monthly tables -----------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shopledger.functions.periods import calendar_days_between, elapsed_days_between, in_period
 from shopledger.functions.scalars import days_as_weeks, every_n_weeks, in_parentheses, percent
-from shopledger.operators.core import latest_two, metric_rows, with_previous
+from shopledger.operators.core import latest_two, metric_rows, settled, with_previous
 
 PROGRAM, NO_PROGRAM, EVERYONE = "program", "no_program", "all"
 
@@ -80,7 +80,7 @@ def renewal_gap_comparison(gaps: DataFrame, categories: Sequence[str]) -> DataFr
     series = rows.withColumn("series", F.explode(F.array_compact(F.array("series", own)))).drop("category")
     listed = F.array(*[F.lit(s) for s in ("configured", "actual", *categories)])
     # The distinct gaps are few, so averages and modes are taken from their counts.
-    counted = series.groupBy("cohort", "series", "weeks", "days").agg(F.count(F.lit(1)).alias("n"))
+    counted = settled(series.groupBy("cohort", "series", "weeks", "days").agg(F.count(F.lit(1)).alias("n")))
     keys = ["cohort", "series"]
     tied = counted.filter(F.col("weeks").isNotNull())
     order = W.partitionBy(*keys).orderBy(F.desc("n"))

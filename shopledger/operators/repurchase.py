@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shopledger.functions.answers import answer_list
 from shopledger.functions.periods import in_period
 from shopledger.functions.scalars import percent
+from shopledger.operators.core import settled, small_table
 from shopledger.operators.orders import counted_orders
 
 
@@ -72,8 +74,9 @@ def combinations(spark: SparkSession, named: Mapping[str, Sequence], columns: Se
     for name, wanted in named.items():
         distinct = list(dict.fromkeys(tuple(w) if isinstance(w, (tuple, list)) else (w,) for w in wanted))
         rows += [(name, *w, len(distinct)) for w in distinct]
-    fields = ", ".join(f"{c} string" for c in columns)
-    return spark.createDataFrame(rows, f"combination string, {fields}, size int")
+    names = ["combination", *columns, "size"]
+    schema = ", ".join(f"{c} {'int' if c == 'size' else 'string'}" for c in names)
+    return small_table(spark, {c: [r[i] for r in rows] for i, c in enumerate(names)}, schema)
 
 
 def bundle_repurchase(purchases: DataFrame, bundles: Sequence[Sequence[str]]) -> DataFrame:
@@ -158,8 +161,16 @@ def labelled_answers(
     Unknown codes keep a label made of the code itself.
     """
     spark = cohort.sparkSession
-    variables = spark.createDataFrame(list(variable_labels.items()) or [(0, None)], "variable int, variable_label string")
-    values = spark.createDataFrame(list(value_labels.items()) or [(-1, None)], "value_code int, value_label string")
+    variables = small_table(
+        spark,
+        {"variable": list(variable_labels), "variable_label": list(variable_labels.values())},
+        "variable int, variable_label string",
+    )
+    values = small_table(
+        spark,
+        {"value_code": list(value_labels), "value_label": list(value_labels.values())},
+        "value_code int, value_label string",
+    )
     answers = cohort.filter(F.col("diagnostic").isNotNull()).select(
         *[c for c in cohort.columns if c != "diagnostic"], F.inline(answer_list(F.col("diagnostic")))
     )
@@ -225,18 +236,26 @@ def repurchase_period_table(tables: DataFrame, periods: Sequence[str]) -> DataFr
     Adds the share of the period's largest total and of the variable's total.
     """
     keys = ["variable", "value"]
-    listed = F.array(*[F.lit(p) for p in periods])
-    spine = tables.select(*keys).distinct().select(*keys, F.explode(listed).alias("period"))
-    largest = tables.groupBy("period").agg(F.max("total").alias("_largest"))
-    per_variable = tables.groupBy("period", "variable").agg(F.sum("total").alias("_variable"))
-    filled = spine.join(tables, ["period", *keys], "left").join(largest, "period", "left").join(
-        per_variable, ["period", "variable"], "left"
-    )
-    return filled.select(
+    counts = ["repurchased", "not_repurchased", "total"]
+    # One row per answer with a cell per period, then back to rows: absent cells become 0.
+    cells = [
+        F.struct(
+            F.lit(p).alias("period"),
+            *[F.coalesce(F.sum(F.when(F.col("period") == p, F.col(c))), F.lit(0)).alias(c) for c in counts],
+        )
+        for p in periods
+    ]
+    filled = settled(tables.groupBy(*keys).agg(F.array(*cells).alias("cells")).select(*keys, F.inline("cells")))
+    per_variable = filled.groupBy("period", "variable").agg(
+        F.sum("total").alias("_variable"), F.max("total").alias("_top")
+    )
+    # One row per period and variable: the questionnaire's length at most.
+    per_variable = per_variable.withColumn("_largest", F.max("_top").over(W.partitionBy("period")))
+    return filled.join(per_variable, ["period", "variable"]).select(
         "period",
         *keys,
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("repurchased", "not_repurchased", "total")],
+        *counts,
         percent(F.col("total"), F.col("_largest")).alias("pct_of_max"),
         percent(F.col("total"), F.col("_variable")).alias("pct_of_variable"),
-        F.coalesce("repurchase_pct", F.lit(0.0)).alias("repurchase_pct"),
+        percent(F.col("repurchased"), F.col("total")).alias("repurchase_pct"),
     )

@@ -16,7 +16,7 @@ from shopledger.functions.scalars import (
     padded_id,
     stable_id,
 )
-from shopledger.operators.core import metric_rows
+from shopledger.operators.core import metric_rows, small_table
 
 
 def verified_reviews(reviews: DataFrame) -> DataFrame:
@@ -71,7 +71,11 @@ def review_load_set(
         if optional not in columns:
             enriched = enriched.withColumn(optional, F.lit(None).cast("string"))
     sku = F.upper(F.trim(F.col("sku").cast("string")))
-    dim = enriched.sparkSession.createDataFrame(list(pictures.items()) or [("", None)], "sku_key string, picture string")
+    dim = small_table(
+        enriched.sparkSession,
+        {"sku_key": list(pictures), "picture": list(pictures.values())},
+        "sku_key string, picture string",
+    )
     posted = in_zone_to_utc(F.col("date").cast("string"))
     image = F.when(
         F.col("picture").isNotNull(),

@@ -202,7 +202,7 @@ def upsize_attach(
     )
     with_total = attached.withColumn("addon", F.explode(F.array("addon", F.lit("total"))))
     listed = F.array(*[F.lit(n) for n in bases])
-    spine = orders.sparkSession.range(1).select(F.explode(listed).alias("addon"))
+    spine = orders.sparkSession.range(0, 1, 1, 1).select(F.explode(listed).alias("addon"))
     measures = ["base_orders", "upsized_orders", "pieces"]
     return (
         spine.unionByName(with_total, allowMissingColumns=True)

@@ -418,7 +418,7 @@ def intents(c: Catalog) -> DataFrame:
         F.struct(
             F.array(
                 F.struct(
-                    F.round(F.col("l_extendedprice") / 2000, 2).alias("unitPrice"),
+                    (F.floor(F.col("l_extendedprice") / 20) / 100).alias("unitPrice"),
                     (1 + F.col("l_quantity").cast("int") % 3).alias("quantity"),
                 ),
                 F.struct(F.lit(0.0).alias("unitPrice"), F.lit(1).alias("quantity")),

@@ -305,11 +305,11 @@ PARTS: dict[str, str] = {
     "basket": """
         SELECT CASE WHEN l_returnflag<>'R' THEN 'ON' || l_orderkey END AS order_number, l_shipdate AS happened,
                l_linestatus='O' AS subscribed,
-               (CASE WHEN ROUND(l_extendedprice/2000,2)>0 THEN ROUND(l_extendedprice/2000,2)*(1+CAST(l_quantity AS INT)%3) ELSE 0 END
+               (CASE WHEN (floor(l_extendedprice/20)/100)>0 THEN (floor(l_extendedprice/20)/100)*(1+CAST(l_quantity AS INT)%3) ELSE 0 END
                 + CASE WHEN ROUND(l_tax*100,2)>0 THEN ROUND(l_tax*100,2) ELSE 0 END) - ROUND(l_discount*100,2) AS amount,
-               CASE WHEN ROUND(l_extendedprice/2000,2)>0 THEN 1+CAST(l_quantity AS INT)%3 ELSE 0 END
+               CASE WHEN (floor(l_extendedprice/20)/100)>0 THEN 1+CAST(l_quantity AS INT)%3 ELSE 0 END
                 + CASE WHEN ROUND(l_tax*100,2)>0 THEN 1 ELSE 0 END AS units
-        FROM lineitem WHERE ROUND(l_extendedprice/2000,2)>0 OR ROUND(l_tax*100,2)>0""",
+        FROM lineitem WHERE (floor(l_extendedprice/20)/100)>0 OR ROUND(l_tax*100,2)>0""",
     "kinds": """
         SELECT *, CASE WHEN order_number IS NULL THEN 'attempts' ELSE 'orders' END AS kind FROM basket
         WHERE (NOT subscribed AND amount>=35) OR (subscribed AND amount>=15)""",
@@ -604,7 +604,8 @@ _add(
 _add(
     "program_enrollment_base",
     """SELECT cust AS subscription_id, start_date, renewal_date, end_date, 'RE' || rid AS renewal_id,
-    rn AS row_in_subscription, num AS renewal_number, program AS program_active, status AS subscription_status FROM progflags""",
+    rn AS row_in_subscription, num AS renewal_number, program AS program_active, status AS subscription_status,
+    reactivated AS renewed_at_once FROM progflags""",
 )
 _add(
     "program_flags",
