@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -19,9 +19,10 @@ CONTENT = (
     "status:string,additionalFields:struct<subscribed:string>>"
 )
 
-# Right edges of the printed price bins, one ladder per kind of basket.
-ONE_TIME_EDGES = [0, 20, 35, 50, 65, 80, 95]
-SUBSCRIBED_EDGES = [0, 15, 30, 45, 60, 75, 90]
+# Right edges of the printed price bins, and the least value of a
+# basket with free shipping, for one-time (False) and subscribed (True) baskets.
+EDGES = {False: [0, 20, 35, 50, 65, 80, 95], True: [0, 15, 30, 45, 60, 75, 90]}
+FREE_SHIPPING = {False: 35, True: 15}
 
 
 def _total(array: Column, amount) -> Column:
@@ -30,26 +31,34 @@ def _total(array: Column, amount) -> Column:
     return F.aggregate(array, start, lambda acc, e: F.coalesce(acc + amount(e), amount(e), acc))
 
 
-def _content() -> Column:
-    return F.from_json("content", CONTENT)
+def _once(value: Column) -> Column:
+    """Keeps an expensive value from being computed again in every later filter.
+
+    The optimizer copies expressions into filters it pushes down; it does not
+    look through a generated row.
+    """
+    return F.explode(F.array(value))
 
 
-def _selected(intents: DataFrame, start: str, end: str, subscribed: bool) -> DataFrame:
-    wanted = (F.col("_c.additionalFields.subscribed") == str(subscribed).lower()) & (F.col("_c.status") != "CANCELLED")
+def _parsed(intents: DataFrame, start: str, end: str) -> DataFrame:
+    """Checkouts of ``(start, end)`` that were not cancelled, with their parsed content and kind of basket."""
+    subscribed = F.col("_c.additionalFields.subscribed")
     return (
         intents.filter(in_period(F.col("createdAt"), start, end, "()"))
-        .withColumn("_c", _content())
-        .filter(wanted)
+        .select("orderNumber", "createdAt", _once(F.from_json("content", CONTENT)).alias("_c"))
+        .filter(subscribed.isin("true", "false") & (F.col("_c.status") != "CANCELLED"))
+        .withColumn("subscribed", subscribed == "true")
     )
 
 
 def basket_value(
-    intents: DataFrame, start: str, end: str, subscribed: bool, min_amount: float | None = None
+    intents: DataFrame, start: str, end: str, min_amount: Mapping[bool, float] | None = None
 ) -> DataFrame:
     """Value and units of each basket: priced items less discounts other than shipping.
 
-    The content is parsed once and summed in place. A basket without priced
-    items has no value and is dropped.
+    The content is parsed once and summed in place, for one-time and subscribed
+    baskets alike; ``min_amount`` sets a least value for either kind. A basket
+    without priced items has no value and is dropped.
     """
     priced = F.filter("_c.items", lambda i: i["unitPrice"] > 0)
     deducted = F.filter(
@@ -59,31 +68,31 @@ def basket_value(
     value = _total(priced, lambda i: i["unitPrice"] * i["quantity"]) - F.coalesce(
         _total(deducted, lambda d: d["value"]), F.lit(0.0)
     )
-    baskets = _selected(intents, start, end, subscribed).select(
-        F.col("orderNumber").alias("order_number"),
-        F.col("createdAt").alias("created_at"),
-        value.alias("total_amount"),
-        _total(priced, lambda i: i["quantity"]).alias("units"),
+    units = _total(priced, lambda i: i["quantity"])
+    baskets = (
+        _parsed(intents, start, end)
+        .select(
+            "subscribed",
+            F.col("orderNumber").alias("order_number"),
+            F.col("createdAt").alias("created_at"),
+            _once(F.struct(value.alias("total_amount"), units.alias("units"))).alias("_v"),
+        )
+        .select("subscribed", "order_number", "created_at", "_v.*")
+        .filter(F.col("total_amount").isNotNull() & F.col("units").isNotNull())
     )
-    kept = baskets.filter(F.col("total_amount").isNotNull() & F.col("units").isNotNull())
-    return kept if min_amount is None else kept.filter(F.col("total_amount") >= min_amount)
-
+    for subscribed, least in (min_amount or {}).items():
+        baskets = baskets.filter((F.col("subscribed") != subscribed) | (F.col("total_amount") >= least))
+    return baskets
 
-def order_count(intents: DataFrame, start: str, end: str, subscribed: bool) -> DataFrame:
-    """Baskets of the kind that became orders, whatever their value: one row, ``total_orders``."""
-    return (
-        _selected(intents, start, end, subscribed)
-        .filter(F.col("orderNumber").isNotNull())
-        .agg(F.count(F.lit(1)).alias("total_orders"))
-    )
 
-
-def _kind() -> Column:
-    return F.when(F.col("order_number").isNotNull(), F.lit("orders")).otherwise(F.lit("attempts"))
+def order_counts(intents: DataFrame, start: str, end: str) -> DataFrame:
+    """Baskets that became orders, whatever their value: ``subscribed, total_orders``."""
+    return _parsed(intents, start, end).groupBy("subscribed").agg(F.count("orderNumber").alias("total_orders"))
 
 
 def _grouped(baskets: DataFrame, *by: Column | str) -> DataFrame:
-    return baskets.groupBy(_kind().alias("kind"), *by).agg(
+    kind = F.when(F.col("order_number").isNotNull(), F.lit("orders")).otherwise(F.lit("attempts"))
+    return baskets.groupBy("subscribed", kind.alias("kind"), *by).agg(
         F.count(F.lit(1)).alias("baskets"),
         F.avg("total_amount").alias("avg_amount"),
         F.avg("units").alias("avg_units"),
@@ -100,44 +109,52 @@ def basket_summary(baskets: DataFrame, total_orders: DataFrame, start: str, end:
     """Means, baskets per day, their share of all orders per day, and how many attempts became orders.
 
     Baskets per day count the days between the first and the last basket; all
-    orders per day count the period with both ends.
+    orders per day count the period with both ends. ``total_orders`` comes from
+    ``order_counts``.
     """
     period_days = (date.fromisoformat(end[:10]) - date.fromisoformat(start[:10])).days + 1
-    totals = _grouped(baskets).withColumn("_every", F.sum("baskets").over(W.partitionBy(F.lit(0))))  # two rows
-    every = F.col("_every")
-    all_per_day = safe_ratio(total_orders.select("total_orders").scalar(), F.lit(period_days))
+    # Two rows per kind of basket: the orders and the attempts.
+    every = F.sum("baskets").over(W.partitionBy("subscribed"))
+    totals = _grouped(baskets).withColumn("_every", every).join(total_orders, "subscribed", "left")
+    all_per_day = safe_ratio(F.col("total_orders"), F.lit(period_days))
     per_day = safe_ratio(F.col("baskets"), _days(F.col("_first"), F.col("_last")))
-    common = {"avg_amount": F.col("avg_amount"), "avg_units": F.col("avg_units"), "per_day": per_day}
-    rates = {"all_orders_per_day": all_per_day, "share_of_all_orders": safe_ratio(per_day, all_per_day)}
-    conversion = safe_ratio(every - F.col("baskets"), every)
+    is_order = F.col("kind") == "orders"
     # Orders and attempts list different figures; the others are left out.
     figures = {
-        **{n: v for n, v in common.items()},
-        **{n: F.when(F.col("kind") == "orders", v) for n, v in rates.items()},
-        "conversion": F.when(F.col("kind") == "attempts", conversion),
+        "avg_amount": F.col("avg_amount"),
+        "avg_units": F.col("avg_units"),
+        "per_day": per_day,
+        "all_orders_per_day": F.when(is_order, all_per_day),
+        "share_of_all_orders": F.when(is_order, safe_ratio(per_day, all_per_day)),
+        "conversion": F.when(~is_order, safe_ratio(F.col("_every") - F.col("baskets"), F.col("_every"))),
     }
-    return metric_rows(totals, figures, ["kind"]).filter(F.col("value").isNotNull())
+    return metric_rows(totals, figures, ["subscribed", "kind"]).filter(F.col("value").isNotNull())
 
 
-def _bin_labels(edges: Sequence[float]) -> list[str]:
-    return [f"{a} - {b}" for a, b in zip(edges, edges[1:])] + [f"> {edges[-1]}"]
+def _labels(edges: Sequence[float]) -> Column:
+    names = [f"{a} - {b}" for a, b in zip(edges, edges[1:])] + [f"> {edges[-1]}"]
+    return F.array(*[F.lit(n) for n in names])
 
 
-def basket_histogram(baskets: DataFrame, edges: Sequence[float]) -> DataFrame:
-    """Baskets per price bin: count, mean value, per day, share. Empty bins stay, without a mean."""
-    labels = _bin_labels(edges)
-    binned = _with_rates(_grouped(baskets, bin_of(F.col("total_amount"), edges).alias("bin")))
-    bins = F.sequence(F.lit(0), F.lit(len(labels) - 1))
-    table = binned.groupBy("kind").agg(
-        F.map_from_entries(
-            F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", F.struct("baskets", "avg_amount", "per_day", "share"))))
-        ).alias("_filled")
-    )
+def basket_histogram(baskets: DataFrame, ladders: Mapping[bool, Sequence[float]] = EDGES) -> DataFrame:
+    """Baskets per price bin: count, mean value, per day, share. Empty bins stay, without a mean.
+
+    ``ladders`` holds the edges for one-time (``False``) and subscribed baskets.
+    """
+    one_time, subscribed = ladders[False], ladders[True]
+    amount, is_subscribed = F.col("total_amount"), F.col("subscribed")
+    position = F.when(is_subscribed, bin_of(amount, subscribed)).otherwise(bin_of(amount, one_time))
+    binned = _with_rates(_grouped(baskets, position.alias("bin")))
+    # A map of at most one entry per bin and kind, so that empty bins can be listed.
+    entry = F.when(F.col("bin").isNotNull(), F.struct("bin", F.struct("baskets", "avg_amount", "per_day", "share")))
+    filled = binned.groupBy("subscribed", "kind").agg(F.map_from_entries(F.collect_list(entry)).alias("_filled"))
+    labels = F.when(is_subscribed, _labels(subscribed)).otherwise(_labels(one_time))
     cell = F.try_element_at("_filled", F.col("bin"))
-    return table.select("kind", "_filled", F.explode(bins).alias("bin")).select(
+    return filled.select("subscribed", "kind", "_filled", F.posexplode(labels).alias("bin", "label")).select(
+        "subscribed",
         "kind",
         "bin",
-        F.element_at(F.array(*[F.lit(t) for t in labels]), F.col("bin") + 1).alias("label"),
+        "label",
         F.coalesce(cell["baskets"], F.lit(0)).alias("baskets"),
         cell["avg_amount"].alias("avg_amount"),
         F.coalesce(cell["per_day"], F.lit(0.0)).alias("per_day"),
@@ -147,7 +164,8 @@ def basket_histogram(baskets: DataFrame, edges: Sequence[float]) -> DataFrame:
 
 def basket_units(baskets: DataFrame) -> DataFrame:
     """The same per number of units."""
-    return _with_rates(_grouped(baskets, "units")).select("kind", "units", "baskets", "avg_amount", "per_day", "share")
+    shown = ["subscribed", "kind", "units", "baskets", "avg_amount", "per_day", "share"]
+    return _with_rates(_grouped(baskets, "units")).select(*shown)
 
 
 def _with_rates(groups: DataFrame) -> DataFrame:
@@ -155,7 +173,7 @@ def _with_rates(groups: DataFrame) -> DataFrame:
 
     The windows see one row per bin (or number of units) of a kind.
     """
-    kind = W.partitionBy("kind")
+    kind = W.partitionBy("subscribed", "kind")
     days = _days(F.min("_first").over(kind), F.max("_last").over(kind))
     return groups.withColumn("per_day", safe_ratio(F.col("baskets"), days)).withColumn(
         "share", safe_ratio(F.col("baskets"), F.sum("baskets").over(kind))

@@ -15,10 +15,10 @@ from shopledger.operators.core import latest_two, metric_rows, settled, with_pre
 PROGRAM, NO_PROGRAM, EVERYONE = "program", "no_program", "all"
 
 
-def _cohorts(flag: Column) -> Column:
-    """Own cohort by the program flag (text), and everyone."""
+def _in_cohorts(rows: DataFrame, flag: Column) -> DataFrame:
+    """Each row once for its own cohort by the program flag (text) and once for everyone."""
     own = F.when(flag == "true", F.lit(PROGRAM)).when((flag == "false") | flag.isNull(), F.lit(NO_PROGRAM))
-    return F.array_compact(F.array(own, F.lit(EVERYONE)))
+    return rows.withColumn("cohort", F.explode(F.array(own, F.lit(EVERYONE)))).filter(F.col("cohort").isNotNull())
 
 
 def renewal_gap_simple(
@@ -35,15 +35,15 @@ def renewal_gap_simple(
         (F.col("status") != "CANCELLED") & in_period(F.col("createdAt"), start, end, "()")
     ).select(
         F.col("id").alias("subscription_id"),
-        _cohorts(F.get_json_object("additionalFields", "$.sms_renewal")).alias("cohorts"),
+        F.get_json_object("additionalFields", "$.sms_renewal").alias("_flag"),
     )
     view = subscriptions_view.select("subscription_id", "legacy_category", "delivery_frequency")
     days = elapsed_days_between(F.col("last_ts"), F.col("second_last_ts"))
+    rows = last_two.join(facts, "subscription_id").join(view, "subscription_id")
     return (
-        last_two.join(facts, "subscription_id")
-        .join(view, "subscription_id")
+        _in_cohorts(rows, F.col("_flag"))
         .select(
-            F.explode("cohorts").alias("cohort"),
+            "cohort",
             "subscription_id",
             days.alias("days_between_orders"),
             (days / F.lit(7.0)).alias("weeks_between_orders"),
@@ -222,18 +222,16 @@ def renewal_gap_enriched(
     Unlike the simple report, the cohort is decided by the *order*, so the last
     two orders are taken per cohort.
     """
-    flags = sales_orders.select(
-        "id", _cohorts(F.get_json_object("additionalFields", "$.sms_renewal")).alias("cohorts")
-    )
-    live = (
+    flags = sales_orders.select("id", F.get_json_object("additionalFields", "$.sms_renewal").alias("_flag"))
+    live = _in_cohorts(
         orders.filter(
             (F.col("status") != "CANCELLED")
             & F.col("subscription_id").isNotNull()
             & in_period(F.col("created_at"), start, end, "()")
         )
         .select("id", "subscription_id", "created_at")
-        .join(flags, "id")
-        .select("id", "subscription_id", "created_at", F.explode("cohorts").alias("cohort"))
+        .join(flags, "id"),
+        F.col("_flag"),
     )
     keys = ["cohort", "subscription_id"]
     last_two = latest_two(live, keys, "created_at", "id").filter(F.col("second_last_ts").isNotNull())

@@ -21,51 +21,29 @@ def _plan() -> Column:
     )
 
 
-def _answers(cust: Column, nation: Column, balance: Column) -> Column:
-    """Questionnaire JSON: a list for even customers, an object for odd ones, sometimes no JSON."""
-    experience = F.when(
-        nation % 5 == 0, F.element_at(F.array(F.lit(112), F.lit(116), F.lit(114)), (nation % 3 + 1).cast("int"))
-    ).otherwise(118 + nation % 3)
-    answered = [
-        (F.lit(4), 13 + cust % 3),
-        (F.when(nation % 5 == 0, F.lit(36)).otherwise(F.lit(40)), experience),
-        (F.lit(41), F.when(balance < 0, F.lit(121)).otherwise(F.lit(122))),
-        (F.lit(27), 1000 + cust),
-    ]
-    as_list = F.concat(
-        F.lit("["),
-        F.concat_ws(",", *[F.format_string('{"variable":%d,"value":%d}', v.cast("int"), a.cast("bigint")) for v, a in answered]),
-        F.lit("]"),
-    )
-    as_object = F.concat(
-        F.lit("{"),
-        F.concat_ws(
-            ",",
-            *[
-                F.format_string('"%d":{"value":"%d","variable":"%d"}', F.lit(900 + i), a.cast("bigint"), v.cast("int"))
-                for i, (v, a) in enumerate(answered)
-            ],
+def _answers(cust: str, nation: str, balance: str) -> str:
+    """SQL for questionnaire JSON: a list for even customers, an object for odd ones, sometimes no JSON."""
+    given = [
+        ("'4'", f"13 + {cust} % 3"),
+        (
+            f"if({nation} % 5 = 0, '36', '40')",
+            f"if({nation} % 5 = 0, element_at(array(112, 116, 114), {nation} % 3 + 1), 118 + {nation} % 3)",
         ),
-        F.lit("}"),
-    )
-    return (
-        F.when(cust % 97 == 0, F.lit('"not json"'))
-        .when(cust % 2 == 0, F.concat(F.lit('{"values":'), as_list, F.lit("}")))
-        .otherwise(F.concat(F.lit('{"values":'), as_object, F.lit("}")))
+        ("'41'", f"if({balance} < 0, 121, 122)"),
+        ("'27'", f"1000 + {cust}"),
+    ]
+    as_list = ", ',', ".join(f"""'{{"variable":', {v}, ',"value":', {a}, '}}'""" for v, a in given)
+    as_object = ", ',', ".join(
+        f"""'"{900 + i}":{{"value":"', {a}, '","variable":"', {v}, '"}}'""" for i, (v, a) in enumerate(given)
     )
+    return f"""CASE WHEN {cust} % 97 = 0 THEN '"not json"'
+        WHEN {cust} % 2 = 0 THEN concat('{{"values":[', {as_list}, ']}}')
+        ELSE concat('{{"values":{{', {as_object}, '}}}}') END"""
 
 
-def _program(nation: Column) -> Column:
-    return F.when(nation % 3 == 0, F.lit("true")).when(nation % 3 == 1, F.lit("false"))
-
-
-def _fields(*parts: tuple[str, Column]) -> Column:
-    """A JSON object of the parts that are not NULL; the values are JSON already."""
-    return F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{n}":'), v) for n, v in parts]), F.lit("}"))
-
-
-def _quoted(text: Column) -> Column:
-    return F.concat(F.lit('"'), text, F.lit('"'))
+def _program(nation: str) -> str:
+    """SQL for the program flag as a JSON member, absent for every third nation."""
+    return f"""CASE {nation} % 3 WHEN 0 THEN ',"sms_renewal":"true"' WHEN 1 THEN ',"sms_renewal":"false"' ELSE '' END"""
 
 
 def orders_light(c: Catalog) -> DataFrame:
@@ -131,10 +109,7 @@ def customer_facts(c: Catalog) -> DataFrame:
 
 def sales_orders(c: Catalog) -> DataFrame:
     people = customer_facts(c)
-    fields = _fields(
-        ("diagnostic", _answers(F.col("cust"), F.col("nation"), F.col("balance"))),
-        ("sms_renewal", _quoted(_program(F.col("nation")))),
-    )
+    fields = F.expr(f"""concat('{{"diagnostic":', {_answers("cust", "nation", "balance")}, {_program("nation")}, '}}')""")
     return (
         c.table("orders")
         .select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cust"), F.col("o_orderdate").alias("createdAt"))
@@ -181,12 +156,10 @@ def subscriptions(c: Catalog) -> DataFrame:
         .groupBy(F.col("o_custkey").alias("id"))
         .agg(F.min("o_orderdate").alias("createdAt"), F.max("o_orderdate").alias("updatedAt"))
     )
-    key, nation, balance = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_acctbal")
-    fields = _fields(
-        ("frequency", _quoted(F.format_string("Every %d weeks", (1 + key % 8).cast("int")))),
-        ("sms_renewal", _quoted(_program(nation))),
-        ("snooze", _quoted(F.when(balance < 0, F.lit("1")).otherwise(F.lit("0")))),
-        ("diagnostic", _answers(key, nation, balance)),
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    fields = F.expr(
+        f"""concat('{{"frequency":"Every ', 1 + c_custkey % 8, ' weeks","snooze":"', if(c_acctbal < 0, '1', '0'),
+        '","diagnostic":', {_answers("c_custkey", "c_nationkey", "c_acctbal")}, {_program("c_nationkey")}, '}}')"""
     )
     people = c.table("customer").select(
         key.alias("id"),
@@ -204,7 +177,7 @@ def subscriptions_view(c: Catalog) -> DataFrame:
     return c.table("customer").select(
         key.alias("subscription_id"),
         F.when(key % 2 == 0, F.lit("CAT_A")).otherwise(F.lit("CAT_B")).alias("legacy_category"),
-        F.format_string("%d days", (7 * (1 + key % 8)).cast("int")).alias("delivery_frequency"),
+        F.concat(7 * (1 + key % 8), F.lit(" days")).alias("delivery_frequency"),
         _status(key).alias("status"),
     )
 
@@ -243,7 +216,7 @@ def products(c: Catalog) -> DataFrame:
 
 
 def customers(c: Catalog) -> DataFrame:
-    email = F.format_string("user%d@example.com", F.col("c_custkey"))
+    email = F.concat(F.lit("user"), F.col("c_custkey"), F.lit("@example.com"))
     return c.table("customer").select(
         F.col("c_custkey").alias("id"), F.when(F.col("c_nationkey") < 13, email).alias("email")
     )
@@ -310,10 +283,12 @@ def _entity() -> Column:
 
 def payments(c: Catalog) -> DataFrame:
     k = _k()
-    coded = F.format_string(
-        '{"isBackupPayment":%s,"stripeError":{"error":{"decline_code":"code_%d"}}}',
+    coded = F.concat(
+        F.lit('{"isBackupPayment":'),
         F.when(k % 2 == 0, F.lit("true")).otherwise(F.lit("false")),
+        F.lit(',"stripeError":{"error":{"decline_code":"code_'),
         k % 10,
+        F.lit('"}}}'),
     )
     return (
         c.table("events")
@@ -335,7 +310,7 @@ def payment_attempts(c: Catalog) -> DataFrame:
         .filter(F.col("event_type").isin("error", "purchase"))
         .select(
             F.date_format("ts", "yyyyMMdd").alias("description"),
-            F.format_string("user%d@example.com", F.col("user_id")).alias("customer_email"),
+            F.concat(F.lit("user"), F.col("user_id"), F.lit("@example.com")).alias("customer_email"),
             F.when(F.col("event_type") == "error", F.lit("Failed")).otherwise(F.lit(" Paid")).alias("status"),
             F.col("ts").alias("created_utc"),
             F.concat(F.lit("card"), _k() % 3).alias("card_id"),
@@ -345,8 +320,8 @@ def payment_attempts(c: Catalog) -> DataFrame:
 
 def blocked_payments(c: Catalog) -> DataFrame:
     k = _k()
-    device = F.when(k % 4 == 0, F.format_string(" device_id:user%d@example.com end", F.col("user_id"))).when(
-        k % 4 == 2, F.format_string(" device_id:dev%d", F.col("user_id"))
+    device = F.when(k % 4 == 0, F.concat(F.lit(" device_id:user"), F.col("user_id"), F.lit("@example.com end"))).when(
+        k % 4 == 2, F.concat(F.lit(" device_id:dev"), F.col("user_id"))
     )
     return (
         c.table("events")

@@ -963,28 +963,24 @@ _add(
 
 _add(
     "basket_value",
-    f"""SELECT order_number, {_stamp('happened')} AS created_at, {_r('amount')} AS total_amount, {_r('units')} AS units
-    FROM basket WHERE subscribed AND happened>'{BEFORE}' AND happened<'{AFTER}'""",
+    f"""SELECT subscribed, order_number, {_stamp('happened')} AS created_at, {_r('amount')} AS total_amount, {_r('units')} AS units
+    FROM basket WHERE happened>'{BEFORE}' AND happened<'{AFTER}'""",
 )
 _period = f"(date_diff('day', DATE '{BEFORE}', DATE '{AFTER}')+1)"
-_orders_all = "(SELECT count(*) FROM lineitem WHERE l_linestatus<>'O' AND l_returnflag<>'R')"
-_once = "(SELECT * FROM kindtotals WHERE NOT subscribed)"
-_both = "(SELECT SUM(n) FROM kindtotals WHERE NOT subscribed)"
-_common = {"avg_amount": "avg_amount", "avg_units": "avg_units", "per_day": "n/days"}
+_kinds = f"""(SELECT t.*, n/days AS per_day, o.c/{_period} AS all_per_day, SUM(n) OVER (PARTITION BY t.subscribed) AS every
+    FROM kindtotals t JOIN (SELECT l_linestatus='O' AS subscribed, count(*) AS c FROM lineitem WHERE l_returnflag<>'R' GROUP BY 1) o
+    ON o.subscribed=t.subscribed)"""
+_common = {"avg_amount": "avg_amount", "avg_units": "avg_units", "per_day": "per_day"}
 _add(
     "basket_summary",
     _metrics(
-        {
-            **_common,
-            "all_orders_per_day": f"{_orders_all}/{_period}",
-            "share_of_all_orders": f"(n/days)/({_orders_all}/{_period})",
-        },
-        f"(SELECT * FROM {_once} WHERE kind='orders')",
-        "kind",
+        {**_common, "all_orders_per_day": "all_per_day", "share_of_all_orders": "per_day/all_per_day"},
+        f"(SELECT * FROM {_kinds} WHERE kind='orders')",
+        "subscribed, kind",
     )
     + "\nUNION ALL "
     + _metrics(
-        {**_common, "conversion": f"({_both}-n)/{_both}"}, f"(SELECT * FROM {_once} WHERE kind='attempts')", "kind"
+        {**_common, "conversion": "(every-n)/every"}, f"(SELECT * FROM {_kinds} WHERE kind='attempts')", "subscribed, kind"
     ),
 )
 
@@ -993,8 +989,9 @@ def _histogram(edges: list[int], subscribed: bool) -> str:
     labels = [f"{a} - {b}" for a, b in zip(edges, edges[1:])] + [f"> {edges[-1]}"]
     ladder = "CASE " + " ".join(f"WHEN amount<={e} THEN {i}" for i, e in enumerate(edges[1:])) + f" ELSE {len(edges)-1} END"
     flag = str(subscribed).lower()
-    return f"""SELECT t.kind, b.bin, count(k.amount) AS baskets, {_r('AVG(k.amount)')} AS avg_amount, {labels}[b.bin+1] AS label,
-    {_r('count(k.amount)/any_value(t.days)')} AS per_day, {_r('count(k.amount)/any_value(t.n)')} AS share, {flag} AS subscribed
+    return f"""SELECT {flag} AS subscribed, t.kind, b.bin, {labels}[b.bin+1] AS label, count(k.amount) AS baskets,
+    {_r('AVG(k.amount)')} AS avg_amount, {_r('count(k.amount)/any_value(t.days)')} AS per_day,
+    {_r('count(k.amount)/any_value(t.n)')} AS share
     FROM (SELECT * FROM kindtotals WHERE subscribed={flag}) t CROSS JOIN (SELECT unnest(range({len(labels)})) AS bin) b
     LEFT JOIN (SELECT kind, amount, {ladder} AS bin FROM kinds WHERE subscribed={flag}) k ON k.kind=t.kind AND k.bin=b.bin
     GROUP BY t.kind, b.bin"""
@@ -1006,9 +1003,9 @@ _add(
 )
 _add(
     "basket_units",
-    f"""SELECT k.kind, {_r('k.units')} AS units, count(*) AS baskets, {_r('AVG(k.amount)')} AS avg_amount,
+    f"""SELECT k.subscribed, k.kind, {_r('k.units')} AS units, count(*) AS baskets, {_r('AVG(k.amount)')} AS avg_amount,
     {_r('count(*)/any_value(t.days)')} AS per_day, {_r('count(*)/any_value(t.n)')} AS share
-    FROM kinds k JOIN kindtotals t ON t.kind=k.kind AND NOT t.subscribed WHERE NOT k.subscribed GROUP BY 1,2""",
+    FROM kinds k JOIN kindtotals t ON t.kind=k.kind AND t.subscribed=k.subscribed GROUP BY 1,2,3""",
 )
 
 # --- reviews ------------------------------------------------------------------

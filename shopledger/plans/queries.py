@@ -605,32 +605,29 @@ def trend_line(c: Catalog) -> DataFrame:
 # --- baskets ------------------------------------------------------------------
 
 
-def _baskets(c: Catalog, subscribed: bool, least: float | None) -> DataFrame:
-    return basket.basket_value(c.table("intents"), BEFORE, AFTER, subscribed, least)
+def _free_shipping(c: Catalog) -> DataFrame:
+    return basket.basket_value(c.table("intents"), BEFORE, AFTER, basket.FREE_SHIPPING)
 
 
 @query
 def basket_value(c: Catalog) -> DataFrame:
-    return _baskets(c, True, None)
+    return basket.basket_value(c.table("intents"), BEFORE, AFTER)
 
 
 @query
 def basket_summary(c: Catalog) -> DataFrame:
-    total = basket.order_count(c.table("intents"), BEFORE, AFTER, False)
-    return basket.basket_summary(_baskets(c, False, 35), total, BEFORE, AFTER)
+    totals = basket.order_counts(c.table("intents"), BEFORE, AFTER)
+    return basket.basket_summary(_free_shipping(c), totals, BEFORE, AFTER)
 
 
 @query
 def basket_histogram(c: Catalog) -> DataFrame:
-    one_time = basket.basket_histogram(_baskets(c, False, 35), basket.ONE_TIME_EDGES)
-    return one_time.withColumn("subscribed", F.lit(False)).unionByName(
-        basket.basket_histogram(_baskets(c, True, 15), basket.SUBSCRIBED_EDGES).withColumn("subscribed", F.lit(True))
-    )
+    return basket.basket_histogram(_free_shipping(c))
 
 
 @query
 def basket_units(c: Catalog) -> DataFrame:
-    return basket.basket_units(_baskets(c, False, 35))
+    return basket.basket_units(_free_shipping(c))
 
 
 # --- reviews ------------------------------------------------------------------
