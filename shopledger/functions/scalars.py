@@ -21,7 +21,7 @@ def percent(numerator: Column, denominator: Column) -> Column:
 
 def percent_text(value: Column) -> Column:
     """``12.30%``; an empty string where there is no value."""
-    return F.coalesce(F.format_string("%.2f%%", value.cast("double")), F.lit(""))
+    return F.when(value.isNull(), F.lit("")).otherwise(F.format_string("%.2f%%", value.cast("double")))
 
 
 def percent_number(text: Column) -> Column:
@@ -155,7 +155,11 @@ def stable_id(prefix: str, width: int, *parts: Column) -> Column:
     return F.concat(F.lit(prefix), F.upper(F.substring(F.sha2(text, 256), 1, width - len(prefix))))
 
 
-def deviation_flag(share: Column, historic: Column, tolerance: float = 0.4) -> Column:
-    """``high`` / ``low`` where a share is off its historic value by more than ``tolerance`` of it."""
-    deviation = F.when(historic > 0, (share - historic) / historic)
+def deviation(share: Column, historic: Column) -> Column:
+    """How far a share is off its historic value, as a part of that; NULL without a history."""
+    return F.when(historic > 0, (share - historic) / historic)
+
+
+def deviation_flag(deviation: Column, tolerance: float = 0.4) -> Column:
+    """``high`` / ``low`` where a deviation exceeds ``tolerance``."""
     return F.when(deviation > tolerance, F.lit("high")).when(deviation < -tolerance, F.lit("low"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shopledger.functions.answers import answer_to, code_by_precedence, first_code, labelled
 from shopledger.functions.periods import day_of, in_period, month_of
-from shopledger.functions.scalars import deviation_flag, percent, reason_root, safe_ratio
+from shopledger.functions.scalars import deviation, deviation_flag, percent, reason_root, safe_ratio
 from shopledger.operators.core import last_before, settled, small_table, with_group_total
 from shopledger.operators.orders import counted_orders
 
@@ -364,7 +364,7 @@ def cancel_item_monthly(rows: DataFrame, tolerance: float = 0.4) -> DataFrame:
             "cancellations",
             share.alias("share"),
             historic.alias("historic_share"),
-            deviation_flag(share, historic, tolerance).alias("flag"),
+            deviation_flag(F.when(historic > 0, share / historic - 1), tolerance).alias("flag"),
         )
     )
 
@@ -428,5 +428,5 @@ def cancel_reason_calendar(
         F.when(kind != "mean", F.col("cancellations")).alias("cancellations"),
         F.when(kind != "total", F.col("share")).alias("share"),
         historic.alias("historic_share"),
-        F.when(kind == "month", deviation_flag(F.col("share"), historic, tolerance)).alias("flag"),
+        F.when(kind == "month", deviation_flag(deviation(F.col("share"), historic), tolerance)).alias("flag"),
     )

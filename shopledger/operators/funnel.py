@@ -52,7 +52,7 @@ def funnel_daily(steps: DataFrame) -> DataFrame:
         "label",
         "users",
         F.when(~is_first, F.try_divide(F.col("users").cast("double"), first.cast("double")) * 100.0).alias("pct_of_first"),
-        F.when(~is_first, F.greatest(ratio, F.lit(0.0))).alias("pct_of_previous"),
+        F.when(~is_first, F.when(ratio < 0, F.lit(0.0)).otherwise(ratio)).alias("pct_of_previous"),
     )
 
 

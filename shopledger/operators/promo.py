@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shopledger.functions.periods import day_of, in_period, month_of
 from shopledger.functions.scalars import percent, safe_ratio
-from shopledger.operators.core import metric_rows
+from shopledger.operators.core import metric_rows, settled
 
 
 def promo_daily(discounts: DataFrame, orders: DataFrame, start: str, end: str, name_prefix: str) -> DataFrame:
@@ -32,7 +32,8 @@ def promo_daily(discounts: DataFrame, orders: DataFrame, start: str, end: str, n
         .groupBy(day_of(F.col("created_at")).alias("day"))
         .agg(F.count(F.lit(1)).alias("orders"))
     )
-    return (
+    # One row per day, read by every report on promotions.
+    return settled(
         every.unionByName(discounted, allowMissingColumns=True)
         .groupBy("day")
         .agg(F.sum("orders").alias("orders"), F.sum("discounted").alias("discounted"))
@@ -101,11 +102,7 @@ def trend_line(points: DataFrame, order: str, value: str, series: str | None = N
     rows = points if series else points.withColumn("series", F.lit("all"))
     key = series or "series"
     x = (F.row_number().over(W.partitionBy(key).orderBy(order)) - 1).cast("double")
+    whole = W.partitionBy(key)
     placed = rows.withColumn("_x", x).withColumn("_y", F.col(value).cast("double"))
-    lines = placed.groupBy(key).agg(
-        F.regr_slope("_y", "_x").alias("_slope"),
-        F.regr_intercept("_y", "_x").alias("_intercept"),
-        F.max(F.col("_y") != 0).alias("_any"),
-    )
-    fitted = F.when(F.col("_any"), F.col("_slope") * F.col("_x") + F.col("_intercept"))
-    return placed.join(lines, key).withColumn("trend", fitted).drop("_x", "_y", "_slope", "_intercept", "_any")
+    fitted = F.regr_slope("_y", "_x").over(whole) * F.col("_x") + F.regr_intercept("_y", "_x").over(whole)
+    return placed.withColumn("trend", F.when(F.max(F.col("_y") != 0).over(whole), fitted)).drop("_x", "_y")

@@ -548,7 +548,7 @@ _add(
 )
 _add(
     "addon_subscriptions",
-    f"""SELECT CASE WHEN p_size%5 IN (0,1) THEN 'refill' WHEN p_size%5=2 THEN 'scrub' ELSE 'all_in_one' END AS addon,
+    f"""SELECT CASE WHEN p_size%5 IN (0,1) THEN 'group_01' WHEN p_size%5=2 THEN 'group_2' ELSE 'group_3' END AS addon,
     count(*) AS subscriptions FROM sub_items si JOIN part ON p_partkey=si.item JOIN subs s ON s.cust=si.cust
     WHERE si.remaining=-1 AND p_size%5<>4 AND s.created>'{BEFORE}' AND s.created<'{END}' GROUP BY 1""",
 )

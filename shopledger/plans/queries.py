@@ -63,9 +63,9 @@ WANTED_ANSWERS = {
 }
 BUNDLES = [["Brand#1", "Brand#2"], ["Brand#3", "Brand#4"], ["Brand#5", "Brand#6", "Brand#7"]]
 ADDONS = {
-    "scrub": {"items": list(range(0, 100)), "base": ["PROMO"]},
-    "wipes": {"items": list(range(100, 150)), "base": ["PROMO", "ECONOMY"]},
-    "shampoo": {"items": list(range(150, 260)), "base": ["ECONOMY"]},
+    "addon_a": {"items": list(range(0, 100)), "base": ["PROMO"]},
+    "addon_b": {"items": list(range(100, 150)), "base": ["PROMO", "ECONOMY"]},
+    "addon_c": {"items": list(range(150, 260)), "base": ["ECONOMY"]},
 }
 SOURCES = [f"SOURCE_{i}" for i in range(8)]
 SKU_RULES = [
@@ -193,7 +193,7 @@ def addon_subscriptions(c: Catalog) -> DataFrame:
         c.table("items_item_groups"),
         BEFORE,
         END,
-        {"refill": ["G0", "G1"], "scrub": ["G2"], "all_in_one": ["G3"]},
+        {"group_01": ["G0", "G1"], "group_2": ["G2"], "group_3": ["G3"]},
     )
 
 
