@@ -25,10 +25,14 @@ EDGES = {False: [0, 20, 35, 50, 65, 80, 95], True: [0, 15, 30, 45, 60, 75, 90]}
 FREE_SHIPPING = {False: 35, True: 15}
 
 
-def _total(array: Column, amount) -> Column:
-    """Sum over an array, NULL (not 0) if it adds nothing."""
-    start = F.lit(None).cast("double")
-    return F.aggregate(array, start, lambda acc, e: F.coalesce(acc + amount(e), amount(e), acc))
+def _total(array: str, wanted, amount) -> Column:
+    """Sum over the wanted elements of an array, NULL (not 0) if it adds nothing."""
+
+    def add(acc: Column, element: Column) -> Column:
+        counts = wanted(element) & amount(element).isNotNull()
+        return F.when(counts, F.coalesce(acc, F.lit(0.0)) + amount(element)).otherwise(acc)
+
+    return F.aggregate(array, F.lit(None).cast("double"), add)
 
 
 def _once(value: Column) -> Column:
@@ -60,15 +64,17 @@ def basket_value(
     baskets alike; ``min_amount`` sets a least value for either kind. A basket
     without priced items has no value and is dropped.
     """
-    priced = F.filter("_c.items", lambda i: i["unitPrice"] > 0)
-    deducted = F.filter(
-        "_c.discounts",
-        lambda d: (d["additionalFields"]["type"] != "shipping") | d["additionalFields"]["type"].isNull(),
-    )
-    value = _total(priced, lambda i: i["unitPrice"] * i["quantity"]) - F.coalesce(
-        _total(deducted, lambda d: d["value"]), F.lit(0.0)
+
+    def priced(item: Column) -> Column:
+        return item["unitPrice"] > 0
+
+    def deducted(discount: Column) -> Column:
+        return ~discount["additionalFields"]["type"].eqNullSafe("shipping")
+
+    value = _total("_c.items", priced, lambda i: i["unitPrice"] * i["quantity"]) - F.coalesce(
+        _total("_c.discounts", deducted, lambda d: d["value"]), F.lit(0.0)
     )
-    units = _total(priced, lambda i: i["quantity"])
+    units = _total("_c.items", priced, lambda i: i["quantity"])
     baskets = (
         _parsed(intents, start, end)
         .select(

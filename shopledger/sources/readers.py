@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from shopledger.functions.predicates import require_columns
 from shopledger.operators.funnel import funnel_steps
 
-BLOCKED_SCHEMA = (
-    "customer_id string, payment_intent_id string, description string, amount double, rule_decision_created timestamp_ntz"
-)
 ATTEMPT_COLUMNS = {
     "Description": "description",
     "Customer Email": "customer_email",
@@ -31,8 +28,9 @@ def normalized_columns(df: DataFrame) -> DataFrame:
 
 
 def _in_file_order(df: DataFrame) -> DataFrame:
-    """Adds ``row_no``: increasing along the file (splits are numbered in order)."""
-    return df.withColumn("row_no", F.monotonically_increasing_id())
+    """Adds ``row_no``, which sorts as the file does: by file, split, and row of the split."""
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return df.withColumn("row_no", place)
 
 
 def read_csv(spark: SparkSession, path: str, required: list[str] = (), encoding: str = "UTF-8") -> DataFrame:
@@ -64,25 +62,23 @@ def read_funnel_csv(spark: SparkSession, path: str, funnel: str, preamble: int =
 
 def read_blocked_payments(spark: SparkSession, path: str) -> DataFrame:
     df = read_csv(spark, path, ["customer_id", "payment_intent_id", "description", "amount", "rule_decision_created"])
-    return _in_file_order(
-        df.select(
-            "customer_id",
-            "payment_intent_id",
-            "description",
-            F.col("amount").try_cast("double").alias("amount"),
-            F.col("rule_decision_created").try_cast("timestamp_ntz").alias("rule_decision_created"),
-        )
+    return _in_file_order(df).select(
+        "customer_id",
+        "payment_intent_id",
+        "description",
+        F.col("amount").try_cast("double").alias("amount"),
+        F.col("rule_decision_created").try_cast("timestamp_ntz").alias("rule_decision_created"),
+        "row_no",
     )
 
 
 def read_processor_payments(spark: SparkSession, path: str) -> DataFrame:
     df = read_csv(spark, path, ["Description", "Status", "Amount"])
-    return _in_file_order(
-        df.select(
-            F.col("Description").alias("description"),
-            F.col("Status").alias("status"),
-            F.col("Amount").try_cast("double").alias("amount"),
-        )
+    return _in_file_order(df).select(
+        F.col("Description").alias("description"),
+        F.col("Status").alias("status"),
+        F.col("Amount").try_cast("double").alias("amount"),
+        "row_no",
     )
 
 
