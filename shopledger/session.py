@@ -30,6 +30,8 @@ def local_session(app: str = "shopledger", cores: str = "*", shuffle_partitions:
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Call-site capture for error messages costs more than building the plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in SQL_SETTINGS.items():

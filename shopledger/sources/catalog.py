@@ -27,8 +27,15 @@ class Catalog:
         self.builders = dict(builders or {})
         self.reader = reader
         self.options = dict(options or {})
+        self._opened: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
+        """A base table, opened (listed, its schema read) once per catalog."""
+        if name not in self._opened:
+            self._opened[name] = self._open(name)
+        return self._opened[name]
+
+    def _open(self, name: str) -> DataFrame:
         if self.reader:
             return self.spark.read.format(self.reader).options(**self.options).option("dbtable", name).load()
         return self.spark.read.parquet(f"{self.base}/{name}.parquet")
