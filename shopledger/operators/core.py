@@ -1,9 +1,9 @@
 """Building blocks shared by the reports.
 
 Blocks that follow rows in time order (numbering, previous value, last fact
-before an event) work per key *and day* first and then carry a small per-day
-summary along the key. A single key may hold a third of all rows: its days are
-spread over the cluster, and only one row per day has to meet in one task.
+before an event) work per key *and hour* first and then carry a small hourly
+summary along the key. A single key may hold a third of all rows: its hours are
+spread over the cluster, and only one row per hour has to meet in one task.
 """
 
 from __future__ import annotations
@@ -93,6 +93,11 @@ def with_group_total(df: DataFrame, value: str, by: Sequence[str], name: str) ->
     return df.join(totals, list(by))
 
 
+def _slot(ts: Column) -> Column:
+    """The hour of a row (missing times first): a decade of one key is at most some 90,000 slots."""
+    return F.coalesce(F.date_trunc("hour", ts), F.lit(_BEFORE_ALL).cast("timestamp"))
+
+
 def numbered(
     df: DataFrame, key: Sequence[str], ts: str, tie: Sequence[str], name: str, first: Sequence[str] = ()
 ) -> DataFrame:
@@ -100,42 +105,41 @@ def numbered(
 
     The columns ``first`` of each key's first row come along as ``first_<column>``.
     """
-    day = F.coalesce(F.to_date(F.col(ts)), F.lit(_BEFORE_ALL).cast("date"))
-    rows = df.withColumn("_day", day)
+    rows = df.withColumn("_slot", _slot(F.col(ts)))
     opening = F.min(F.struct(F.col(ts), *tie, *first)) if first else F.lit(None)
-    per_day = rows.groupBy(*key, "_day").agg(F.count(F.lit(1)).alias("_rows"), opening.alias("_opening"))
-    earlier = W.partitionBy(*key).orderBy("_day").rowsBetween(W.unboundedPreceding, -1)
-    openings = W.partitionBy(*key).orderBy("_day")
-    per_day = per_day.select(
+    per_slot = rows.groupBy(*key, "_slot").agg(F.count(F.lit(1)).alias("_rows"), opening.alias("_opening"))
+    earlier = W.partitionBy(*key).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+    openings = W.partitionBy(*key).orderBy("_slot")
+    per_slot = per_slot.select(
         *key,
-        "_day",
+        "_slot",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
         *[F.first("_opening").over(openings)[c].alias(f"first_{c}") for c in first],
     )
-    inside = W.partitionBy(*key, "_day").orderBy(F.col(ts), *tie)
+    inside = W.partitionBy(*key, "_slot").orderBy(F.col(ts), *tie)
     return (
         rows.withColumn("_position", F.row_number().over(inside))
-        .join(per_day, [*key, "_day"])
+        .join(per_slot, [*key, "_slot"])
         .withColumn(name, (F.col("_offset") + F.col("_position")).cast("int"))
-        .drop("_day", "_position", "_offset")
+        .drop("_slot", "_position", "_offset")
     )
 
 
 def with_previous(df: DataFrame, key: Sequence[str], ts: str, tie: Sequence[str], value: str, name: str) -> DataFrame:
     """``lag(value)`` per key in ``ts, tie`` order."""
-    rows = df.withColumn("_day", F.to_date(ts))
+    rows = df.withColumn("_slot", _slot(F.col(ts)))
     # The value is wrapped so that "no earlier row" and "earlier NULL" stay apart.
     last = F.max(F.struct(F.col(ts), *tie, F.struct(value).alias("_last")))["_last"]
-    per_day = rows.groupBy(*key, "_day").agg(last.alias("_last"))
-    by_day = W.partitionBy(*key).orderBy("_day")
-    per_day = per_day.select(*key, "_day", F.lag("_last").over(by_day)[value].alias("_carried"))
-    inside = W.partitionBy(*key, "_day").orderBy(F.col(ts), *tie)
+    per_slot = rows.groupBy(*key, "_slot").agg(last.alias("_last"))
+    by_slot = W.partitionBy(*key).orderBy("_slot")
+    per_slot = per_slot.select(*key, "_slot", F.lag("_last").over(by_slot)[value].alias("_carried"))
+    inside = W.partitionBy(*key, "_slot").orderBy(F.col(ts), *tie)
     return (
         rows.withColumn("_first", F.row_number().over(inside) == 1)
         .withColumn("_inside", F.lag(value).over(inside))
-        .join(per_day, [*key, "_day"])
+        .join(per_slot, [*key, "_slot"])
         .withColumn(name, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_inside")))
-        .drop("_day", "_first", "_inside", "_carried")
+        .drop("_slot", "_first", "_inside", "_carried")
     )
 
 
@@ -164,20 +168,20 @@ def last_before(
     right = facts.filter(F.col(fact_ts).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("_key"), F.col(fact_ts).alias("_ts"), F.lit(1).alias("_kind"), fact.alias("_fact")
     )
-    both = left.unionByName(right, allowMissingColumns=True).withColumn("_day", F.to_date("_ts"))
+    both = left.unionByName(right, allowMissingColumns=True).withColumn("_slot", _slot(F.col("_ts")))
 
     # At one instant events sort ahead of facts, hence "strictly before".
     inside = (
-        W.partitionBy("_key", "_day").orderBy("_ts", "_kind", "_fact").rowsBetween(W.unboundedPreceding, W.currentRow)
+        W.partitionBy("_key", "_slot").orderBy("_ts", "_kind", "_fact").rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     seen = both.withColumn("_seen", F.last("_fact", ignorenulls=True).over(inside)).filter(F.col("_kind") == 0)
 
-    per_day = both.groupBy("_key", "_day").agg(F.max("_fact").alias("_fact"))
-    earlier_days = W.partitionBy("_key").orderBy("_day").rowsBetween(W.unboundedPreceding, -1)
-    per_day = per_day.select(
-        "_key", "_day", F.last("_fact", ignorenulls=True).over(earlier_days).alias("_carried")
+    per_slot = both.groupBy("_key", "_slot").agg(F.max("_fact").alias("_fact"))
+    earlier_slots = W.partitionBy("_key").orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+    per_slot = per_slot.select(
+        "_key", "_slot", F.last("_fact", ignorenulls=True).over(earlier_slots).alias("_carried")
     )
-    found = seen.join(per_day, ["_key", "_day"]).withColumn("_found", F.coalesce("_seen", "_carried"))
+    found = seen.join(per_slot, ["_key", "_slot"]).withColumn("_found", F.coalesce("_seen", "_carried"))
     return found.filter(F.col("_found").isNotNull()).select(
         "_event.*", *[F.col("_found")[c].alias(c) for c in payload]
     )

@@ -16,7 +16,7 @@ def hot_rows(n=400, seed=7):
     rows = []
     for i in range(n):
         key = "hot" if rng.random() < 0.6 else f"k{rng.randrange(6)}"
-        ts = None if rng.random() < 0.03 else T0 + dt.timedelta(hours=rng.randrange(24 * 20))
+        ts = None if rng.random() < 0.03 else T0 + dt.timedelta(hours=rng.randrange(6 * 24 * 3) / 6)
         rows.append((i, key, ts, rng.choice("abc")))
     return rows
 
@@ -25,7 +25,7 @@ def sort_key(row):
     return (row[2] is not None, row[2] or T0, row[0])
 
 
-def test_numbered_counts_on_over_days(spark):
+def test_numbered_counts_on_over_hours(spark):
     rows = hot_rows()
     df = spark.createDataFrame(rows, "id int, key string, ts timestamp_ntz, v string")
     out = core.numbered(df, ["key"], "ts", ["id"], "n", ["v"]).collect()
@@ -39,8 +39,8 @@ def test_numbered_counts_on_over_days(spark):
     assert {r.key: r.first_v for r in out} == first
 
 
-def test_with_previous_crosses_days(spark):
-    rows = [r for r in hot_rows() if r[2] is not None]
+def test_with_previous_crosses_hours(spark):
+    rows = hot_rows()
     df = spark.createDataFrame(rows, "id int, key string, ts timestamp_ntz, v string")
     out = core.with_previous(df, ["key"], "ts", ["id"], "v", "prev").collect()
     expected = {}
