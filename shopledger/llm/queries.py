@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import mixing, packing
+from shopledger.llm import language, mixing, packing, quality, toxicity
+from shopledger.llm.fitting import remainder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +19,21 @@ def _tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    model = language.train(docs, ~held_out)
+    predicted = language.predict(docs, model, keep=["doc_id"])
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    model = toxicity.train(docs, labels, ~held_out)
+    return toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(_table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -27,9 +43,19 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), _tokenizer(), with_ids=False)
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    model = quality.train(docs, labels, ~held_out)
+    return quality.score(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
+    "op4_language": op4_language,
+    "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
     "op8_packing": op8_packing,
+    "op9_quality": op9_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -15,8 +15,11 @@ import numpy as np
 import pyarrow as pa
 
 SLICE = 1 << 20
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Everything but ASCII letters and the bytes of other characters.
+NO_LETTER = np.ones(256, dtype=bool)
+NO_LETTER[65:91] = NO_LETTER[97:123] = NO_LETTER[128:] = False
 _U = np.uint64
 
 
@@ -84,8 +87,8 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
 
 
-def split_words(data: np.ndarray, bounds: np.ndarray, rows: range) -> Slice:
-    space = _SPACE[data]
+def split_words(data: np.ndarray, bounds: np.ndarray, rows: range, between: np.ndarray = SPACE) -> Slice:
+    space = between[data]
     first = ~space
     last = first.copy()
     word = first.copy()
@@ -101,14 +104,14 @@ def split_words(data: np.ndarray, bounds: np.ndarray, rows: range) -> Slice:
     return Slice(rows, data, bounds, starts, ends, doc, np.searchsorted(starts, bounds))
 
 
-def slices(column: pa.Array, size: int = SLICE) -> Iterator[Slice]:
-    """The texts of a column, some documents at a time, with their words."""
+def slices(column: pa.Array, size: int = SLICE, between: np.ndarray = SPACE) -> Iterator[Slice]:
+    """The texts of a column, some documents at a time, with their words; ``between`` marks other bytes."""
     data, offsets = text_buffers(column)
     i, n = 0, len(offsets) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1)
         part = data[offsets[i] : offsets[j]]
-        yield split_words(part, offsets[i : j + 1] - offsets[i], range(i, j))
+        yield split_words(part, offsets[i : j + 1] - offsets[i], range(i, j), between)
         i = j
 
 
