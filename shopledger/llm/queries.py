@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import fingerprints, language, mixing, packing, quality, toxicity
+from shopledger.llm import fingerprints, language, mixing, packing, quality, substrings, toxicity
 from shopledger.llm.fitting import remainder
 
 
@@ -43,6 +43,11 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.remove_repeats(_table(spark, folder, "documents"), keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), _tokenizer(), with_ids=False)
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op4_language": op4_language,
     "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
+    "op7_substrings": op7_substrings,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
 }
