@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import fingerprints, language, mixing, packing, quality, substrings, toxicity
+from shopledger.llm import fingerprints, language, mixing, neardup, packing, quality, substrings, toxicity
 from shopledger.llm.fitting import remainder
 
 
@@ -19,6 +19,10 @@ def _tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_fingerprints(_table(spark, folder, "documents"))
 
@@ -60,6 +64,7 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_neardup": op1_neardup,
     "op2_fingerprints": op2_fingerprints,
     "op4_language": op4_language,
     "op5_toxicity": op5_toxicity,
