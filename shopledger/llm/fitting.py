@@ -65,10 +65,17 @@ def labelled_ids(labels: DataFrame, id: str, label: str, train: Column) -> DataF
 def bounded_sample(rows: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
     """At most ``per_label`` rows of each label, those with the least hashes of ``key``.
 
-    The rank filter is cut per task before the shuffle, so a frequent label moves few rows.
+    Hashes above the share that twice the wanted number needs are left out before the ranking, so
+    that no task ranks more than about ``2 * per_label`` rows, whatever the label's frequency.
     """
-    order = W.partitionBy(label).orderBy(F.xxhash64(F.lit(11), F.col(key)), F.col(key))
-    return rows.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= per_label).drop("_rank")
+    counts = rows.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_rows"))
+    hashed = F.pmod(F.xxhash64(F.lit(11), F.col(key)), F.lit(1 << 40))
+    limit = F.col("_rows") * hashed.cast("double") < 2.0 * per_label * float(1 << 40)
+    few = F.col("_rows") <= 4 * per_label
+    near = rows.join(counts, F.col(label) == F.col("_label")).filter(few | limit)
+    order = W.partitionBy(label).orderBy(hashed, F.col(key))
+    ranked = near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= per_label)
+    return ranked.select(*rows.columns)
 
 
 def sampled_texts(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import fingerprints, language, mixing, neardup, packing, quality, substrings, toxicity
+from shopledger.llm import embeddings, fingerprints, language, mixing, neardup, packing, quality, substrings, toxicity
 from shopledger.llm.fitting import remainder
 
 
@@ -27,6 +27,10 @@ def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_fingerprints(_table(spark, folder, "documents"))
 
 
+def op3_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(_table(spark, folder, "embeddings"))
+
+
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
@@ -66,6 +70,7 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_neardup": op1_neardup,
     "op2_fingerprints": op2_fingerprints,
+    "op3_embeddings": op3_embeddings,
     "op4_language": op4_language,
     "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
