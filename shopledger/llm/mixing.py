@@ -117,7 +117,7 @@ def mix_sources(
     counts = units.groupBy("source").agg(F.count(F.lit(1)).alias("_units"))
     ratios = targets.join(counts, targets["source"].eqNullSafe(counts["source"])).select(
         targets["source"].alias("_source"),
-        (F.col("target") / F.col("source_size")).alias("_ratio"),
+        F.try_divide("target", "source_size").alias("_ratio"),
         F.ceil(F.col("_units") / block).alias("blocks"),
     )
     units = units.join(ratios, F.col("source").eqNullSafe(F.col("_source")))
@@ -144,7 +144,7 @@ def mix_sources(
     marked = docs.select(*own, size.alias("size"), key.alias("_key")).join(extras, "_key", "left")
     per_source = targets.select(F.col("source").alias("_source"), "source_size", "target")
     marked = marked.join(per_source, F.col(source).eqNullSafe(F.col("_source")), "left")
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + _EPS)).otherwise(0)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.try_divide("target", "source_size") + _EPS)).otherwise(0)
     copies = (whole + F.coalesce("extra", F.lit(0))).cast("long")
     marked = marked.withColumn("copies", copies).withColumn("taken", F.col("size") * F.col("copies"))
     return marked.select(*own, "size", "source_size", "target", "copies", "taken")

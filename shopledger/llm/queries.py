@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import embeddings, fingerprints, language, mixing, neardup, packing, quality, substrings, toxicity
+from shopledger.llm import embeddings, fingerprints, language, mixing, neardup, packing, quality, substrings, token_counts, toxicity
 from shopledger.llm.fitting import remainder
+from shopledger.llm.workspace import Workspace
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _tokenizer() -> str:
+def tokenizer_file() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -57,7 +58,7 @@ def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(_table(spark, folder, "documents"), _tokenizer(), with_ids=False)
+    return packing.pack(_table(spark, folder, "documents"), tokenizer_file(), with_ids=False)
 
 
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,6 +68,30 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+WORDS_AND_MARKS = r"[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]"
+
+
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals after an insert of all documents and a batch of changes, each sent twice.
+
+    The second batch deletes the documents whose id ends in 3 and revises those whose id ends in 7:
+    their text now holds itself twice, and those of no language are of the language ``und``.
+    """
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    versions = {"words-1": mixing.WORD, "marks-1": WORDS_AND_MARKS}
+    counts = token_counts.counted(docs, versions)
+    ends_in = F.pmod(F.col("doc_id"), F.lit(10))
+    inserts = token_counts.changes(counts)
+    gone = token_counts.changes(counts.withColumn("tokens", F.lit(0)).filter(ends_in == 3), deleted=True)
+    twice = docs.filter(ends_in == 7).withColumn("text", F.concat_ws(" ", "text", "text"))
+    revised = token_counts.counted(twice.withColumn("lang", F.coalesce("lang", F.lit("und"))), versions)
+    ledger = token_counts.Ledger(spark, Workspace(spark, "ledger").root)
+    for _ in range(2):
+        ledger.commit("first", inserts)
+        ledger.commit("second", gone.unionByName(token_counts.changes(revised)))
+    return ledger.totals()
+
+
 QUERIES = {
     "op1_neardup": op1_neardup,
     "op2_fingerprints": op2_fingerprints,
@@ -77,6 +102,94 @@ QUERIES = {
     "op7_substrings": op7_substrings,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
+    "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_GROUPS = """
+groups AS (
+  SELECT id AS start, id AS reached FROM nodes
+  UNION
+  SELECT g.start, l.b FROM groups g JOIN both_ways l ON l.a = g.reached
+),
+least AS (SELECT start AS id, min(reached) AS component_id FROM groups GROUP BY start)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_neardup": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id AS id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT id, array_to_string(w[p : p + 4], ' ') AS s
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+common AS (
+  SELECT x.id AS a, y.id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.id < y.id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+nodes AS (SELECT id FROM words),
+""" + _GROUPS + """
+SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = id AS kept
+FROM least LEFT JOIN sizes USING (id)
+""",
+    "op3_embeddings": """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+),
+usable AS (
+  SELECT id, v FROM vectors
+  WHERE len(v) > 0 AND len(list_filter(v, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, x -> x <> 0)) > 0
+),
+links AS (
+  SELECT x.id AS a, y.id AS b FROM usable x JOIN usable y ON x.id < y.id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.95
+),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+nodes AS (SELECT id FROM vectors),
+""" + _GROUPS + """,
+counts AS (SELECT a AS id, count(*) AS n FROM both_ways GROUP BY a)
+SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, component_id = id AS kept
+FROM least LEFT JOIN counts USING (id)
+""",
+    "op7_substrings": r"""
+WITH words AS (
+  SELECT doc_id AS id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+windows AS (
+  SELECT id, p, array_to_string(w[p : p + 12], ' ') AS s
+  FROM (SELECT id, w, unnest(range(1, len(w) - 11)) AS p FROM words WHERE len(w) >= 13)
+),
+first AS (SELECT s, min(id) AS low FROM windows GROUP BY s),
+gone AS (
+  SELECT DISTINCT id, p + j AS p FROM windows JOIN first USING (s), (SELECT unnest(range(0, 13)) AS j) WHERE low < id
+),
+single AS (SELECT id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words),
+kept AS (
+  SELECT id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text FROM single ANTI JOIN gone USING (id, p) GROUP BY id
+)
+SELECT id AS doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (id)
+""",
+    "op10_token_counts": r"""
+WITH counts AS (
+  SELECT doc_id, source, lang, 'words-1' AS version,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens FROM documents
+  UNION ALL
+  SELECT doc_id, source, lang, 'marks-1',
+    len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]')) FROM documents
+),
+now AS (
+  SELECT source, CASE WHEN doc_id % 10 = 7 THEN coalesce(lang, 'und') ELSE lang END AS lang, version,
+    CASE WHEN doc_id % 10 = 7 THEN 2 * tokens ELSE tokens END AS tokens
+  FROM counts WHERE doc_id % 10 <> 3
+)
+SELECT source, lang, version, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens FROM now GROUP BY ALL
+""",
+}
