@@ -13,6 +13,8 @@ from shopledger.sources.catalog import Catalog
 
 MONEY = "decimal(18,2)"
 
+ITEM_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
 
 def _plan() -> Column:
     level = F.substring("o_orderpriority", 1, 1)
@@ -87,18 +89,28 @@ def fact_orders(c: Catalog) -> DataFrame:
     return orders_flagged(c).join(units, "id", "left")
 
 
+def _item() -> Column:
+    """The shop's item of a part: one for each brand and type, so that item lists weigh the same at every size."""
+    kind = F.array_position(F.array(*[F.lit(t) for t in ITEM_TYPES]), F.col("p_type")) - 1
+    return F.substring_index("p_brand", "#", -1).cast("bigint") * 10 + kind
+
+
+def item_lines(c: Catalog) -> DataFrame:
+    parts = c.table("part").select(F.col("p_partkey").alias("l_partkey"), _item().alias("itemId"), F.col("p_type").alias("category"))
+    return c.table("lineitem").join(parts, "l_partkey")
+
+
 def order_items(c: Catalog) -> DataFrame:
     """Order lines without category."""
-    return c.table("lineitem").select(
-        F.col("l_orderkey").alias("salesOrderId"),
-        F.col("l_partkey").alias("itemId"),
-        F.col("l_quantity").cast("int").alias("quantity"),
+    return item_lines(c).select(
+        F.col("l_orderkey").alias("salesOrderId"), "itemId", F.col("l_quantity").cast("int").alias("quantity")
     )
 
 
 def fact_order_items(c: Catalog) -> DataFrame:
-    parts = c.table("part").select(F.col("p_partkey").alias("itemId"), F.col("p_type").alias("category"))
-    return order_items(c).join(parts, "itemId")
+    return item_lines(c).select(
+        "itemId", F.col("l_orderkey").alias("salesOrderId"), F.col("l_quantity").cast("int").alias("quantity"), "category"
+    )
 
 
 def customer_facts(c: Catalog) -> DataFrame:
@@ -120,9 +132,7 @@ def sales_orders(c: Catalog) -> DataFrame:
 
 def order_items_raw(c: Catalog) -> DataFrame:
     """Order lines with the questionnaire on the first line of an order."""
-    lines = c.table("lineitem").select(
-        F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("itemId"), "l_linenumber"
-    )
+    lines = item_lines(c).select(F.col("l_orderkey").alias("id"), "itemId", "l_linenumber")
     whole = sales_orders(c).select("id", "additionalFields")
     return lines.join(whole, "id").select(
         F.col("id").alias("salesOrderId"),
@@ -190,29 +200,28 @@ def subscription_items(c: Catalog) -> DataFrame:
         .select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("subscriptionId"))
     )
     return (
-        c.table("lineitem")
+        item_lines(c)
         .join(owners, "l_orderkey")
         .select(
             "subscriptionId",
-            F.col("l_partkey").alias("itemId"),
+            "itemId",
             F.when(F.col("l_quantity") > 25, F.lit(-1)).otherwise(F.lit(1)).alias("timesRemaining"),
         )
     )
 
 
 def items_item_groups(c: Catalog) -> DataFrame:
-    return c.table("part").select(
-        F.col("p_partkey").alias("itemId"), F.concat(F.lit("G"), F.col("p_size") % 5).alias("itemGroupId")
+    item = _item().alias("itemId")
+    return c.table("part").select(item).distinct().select(
+        "itemId", F.concat(F.lit("G"), (F.col("itemId") / 10).cast("int") % 5).alias("itemGroupId")
     )
 
 
 def products(c: Catalog) -> DataFrame:
     """Product names; several items share one name."""
     return c.table("part").select(
-        F.col("p_partkey").alias("itemId"),
-        F.col("p_brand").alias("product_name"),
-        F.col("p_type").alias("product"),
-    )
+        _item().alias("itemId"), F.col("p_brand").alias("product_name"), F.col("p_type").alias("product")
+    ).distinct()
 
 
 def customers(c: Catalog) -> DataFrame:
@@ -446,12 +455,16 @@ def reviews(c: Catalog) -> DataFrame:
     )
     return (
         c.table("documents")
-        .join(c.table("labels"), "doc_id")
+        .join(c.table("labels"), "doc_id", "left")
         .select(
             F.concat(F.lit("Item "), F.col("source")).alias("title"),
             F.struct(
-                F.when(F.col("toxic") == 0, F.lit(" verified_buyer")).otherwise(F.lit("PENDING")).alias("adminStatus"),
-                (3 + F.col("quality") + doc % 2).cast("string").alias("rating"),
+                # Documents without labels: some verified without a rating, others rated without a status.
+                F.when(F.col("toxic") == 0, F.lit(" verified_buyer"))
+                .when(F.col("toxic") == 1, F.lit("PENDING"))
+                .when(doc % 2 == 0, F.lit("VERIFIED"))
+                .alias("adminStatus"),
+                F.coalesce(3 + F.col("quality") + doc % 2, F.when(doc % 4 != 0, 1 + doc % 5)).cast("string").alias("rating"),
                 F.when(F.col("lang") == "en", F.lit("")).otherwise(F.concat(F.lit("Product "), F.col("lang"))).alias("productName"),
                 sku.alias("sku"),
                 doc.cast("string").alias("orderId"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from shopledger.plans.fixtures import ITEM_TYPES
 from shopledger.plans.queries import (
     ADDONS,
     AFTER,
@@ -74,10 +75,12 @@ PARTS: dict[str, str] = {
         SELECT fo.*, u.units FROM fo LEFT JOIN
           (SELECT l_orderkey, CAST(SUM(CAST(l_quantity AS INT)) AS BIGINT) AS units FROM lineitem GROUP BY 1) u
           ON u.l_orderkey=fo.id""",
+    "catalogue": f"""
+        SELECT p_partkey, CAST(split_part(p_brand,'#',2) AS BIGINT)*10 + list_position({list(ITEM_TYPES)}, p_type) - 1 AS item,
+               p_type AS category, p_brand AS brand FROM part""",
     "items": """
-        SELECT l_orderkey AS oid, l_partkey AS item, CAST(l_quantity AS INT) AS quantity, p_type AS category,
-               p_brand AS brand, l_linenumber AS line
-        FROM lineitem JOIN part ON p_partkey=l_partkey""",
+        SELECT l_orderkey AS oid, item, CAST(l_quantity AS INT) AS quantity, category, brand, l_linenumber AS line
+        FROM lineitem JOIN catalogue ON p_partkey=l_partkey""",
     "people": """
         SELECT c_custkey AS cust, c_nationkey AS nation,
                ['CANCELLED','ACTIVE','PROCESSING','ON_HOLD'][CAST(c_custkey%4+1 AS INT)] AS status,
@@ -96,8 +99,8 @@ PARTS: dict[str, str] = {
           (SELECT o_custkey, min(o_orderdate) AS created, max(o_orderdate) AS updated FROM orders GROUP BY 1) d
           ON d.o_custkey=p.cust""",
     "sub_items": """
-        SELECT fo.customer_id AS cust, l.l_partkey AS item, CASE WHEN l_quantity>25 THEN -1 ELSE 1 END AS remaining
-        FROM lineitem l JOIN fo ON fo.id=l.l_orderkey WHERE fo.order_plan='SUBSCRIPTION'""",
+        SELECT fo.customer_id AS cust, l.item, l.category, CASE WHEN l.quantity>25 THEN -1 ELSE 1 END AS remaining
+        FROM items l JOIN fo ON fo.id=l.oid WHERE fo.order_plan='SUBSCRIPTION'""",
     "cancels": """
         SELECT o_orderkey AS cancel_id, o_custkey AS cust, o_orderpriority || ' -> P' AS reason,
                o_orderpriority AS root, o_orderdate AS happened
@@ -226,9 +229,9 @@ PARTS: dict[str, str] = {
             WHERE g.status<>'CANCELLED' AND g.order_plan='OTO' AND g.recurrent=0 AND g.is_first_order=1
               AND g.created_at BETWEEN '{START}' AND '{END}')""",
     # The kit line with the lowest item id decides; it has answers only as the first line.
-    "kit": """
-        SELECT l_orderkey AS oid, arg_min(l_linenumber, (l_partkey, CASE WHEN l_linenumber=1 THEN 1 ELSE 0 END))=1 AS has_answers
-        FROM lineitem WHERE l_partkey<2000 GROUP BY 1""",
+    "kit": f"""
+        SELECT oid, arg_min(line, (item, CASE WHEN line=1 THEN 1 ELSE 0 END))=1 AS has_answers
+        FROM items WHERE item IN {_in(KIT_ITEMS)} GROUP BY 1""",
     "cohortkit": f"""
         SELECT f.id, f.customer_id, f.created_at, c.n AS customs, COALESCE(k.has_answers,false) AS has_answers,
                (SELECT count(DISTINCT i.item) FROM items i WHERE i.oid=f.id AND i.item IN {_in(EXCLUDED_ITEMS)}) AS tracked
@@ -266,9 +269,9 @@ PARTS: dict[str, str] = {
     "xlevel": """
         SELECT cust, happened, min(root) AS root, min(any_code) AS code FROM xlast GROUP BY 1,2""",
     "calrows": """
-        SELECT CAST(c.happened AS DATE) AS d, pt.p_type AS product, count(*) AS n
+        SELECT CAST(c.happened AS DATE) AS d, s.category AS product, count(*) AS n
         FROM cancels c JOIN people p ON p.cust=c.cust AND p.status='CANCELLED'
-        JOIN sub_items s ON s.cust=c.cust JOIN part pt ON pt.p_partkey=s.item GROUP BY 1,2""",
+        JOIN sub_items s ON s.cust=c.cust GROUP BY 1,2""",
     "calmonth": """
         SELECT m.y, m.mo, t.product, COALESCE(SUM(r.n),0) AS n
         FROM (SELECT DISTINCT year(d) AS y, month(d) AS mo FROM calrows) m
@@ -318,11 +321,13 @@ PARTS: dict[str, str] = {
                date_diff('day', min(happened), max(happened))+1 AS days FROM kinds GROUP BY 1,2""",
     # --- reviews --------------------------------------------------------------
     "rev": """
-        SELECT d.doc_id, d.lang, d.source, d.text, l.quality, l.toxic, 3+l.quality+d.doc_id%2 AS rating,
+        SELECT d.doc_id, d.lang, d.source, d.text, l.quality,
+               CASE WHEN l.toxic=0 OR (l.toxic IS NULL AND d.doc_id%2=0) THEN 0 ELSE 1 END AS toxic,
+               COALESCE(3+l.quality+d.doc_id%2, CASE WHEN d.doc_id%4<>0 THEN 1+d.doc_id%5 END) AS rating,
                CASE d.doc_id%5 WHEN 0 THEN '77-' || d.doc_id WHEN 1 THEN 'KIT1' WHEN 2 THEN CAST(5000+d.doc_id AS VARCHAR)
                     ELSE 'x' || d.doc_id END AS sku,
                '2024-01-' || lpad(CAST(1+d.doc_id%28 AS VARCHAR),2,'0') AS d1
-        FROM documents d JOIN labels l ON l.doc_id=d.doc_id""",
+        FROM documents d LEFT JOIN labels l ON l.doc_id=d.doc_id""",
     "verified": "SELECT * FROM rev WHERE toxic=0 AND rating IN (4,5)",
 }
 
@@ -548,9 +553,9 @@ _add(
 )
 _add(
     "addon_subscriptions",
-    f"""SELECT CASE WHEN p_size%5 IN (0,1) THEN 'group_01' WHEN p_size%5=2 THEN 'group_2' ELSE 'group_3' END AS addon,
-    count(*) AS subscriptions FROM sub_items si JOIN part ON p_partkey=si.item JOIN subs s ON s.cust=si.cust
-    WHERE si.remaining=-1 AND p_size%5<>4 AND s.created>'{BEFORE}' AND s.created<'{END}' GROUP BY 1""",
+    f"""SELECT CASE WHEN item//10%5 IN (0,1) THEN 'group_01' WHEN item//10%5=2 THEN 'group_2' ELSE 'group_3' END AS addon,
+    count(*) AS subscriptions FROM sub_items si JOIN subs s ON s.cust=si.cust
+    WHERE si.remaining=-1 AND item//10%5<>4 AND s.created>'{BEFORE}' AND s.created<'{END}' GROUP BY 1""",
 )
 _refill = f"""(SELECT count(*) AS a, SUM(is_first_order) AS b, SUM(quantity) AS q FROM (
     SELECT f.id, f.is_first_order, arg_min(i.quantity, (i.item, i.quantity)) AS quantity FROM fo f JOIN items i ON i.oid=f.id

@@ -23,7 +23,7 @@ from shopledger.operators import (
     subscriptions,
     tracker,
 )
-from shopledger.plans.fixtures import catalog
+from shopledger.plans.fixtures import ITEM_TYPES, catalog
 from shopledger.session import tune
 from shopledger.sources.catalog import Catalog
 
@@ -35,10 +35,17 @@ START, END = "1995-01-01", "2001-08-02"
 BEFORE, AFTER = "1994-12-31", "2024-12-31"
 EVENTS_START, EVENTS_END = "2024-01-01", "2024-02-01"
 
-EXCLUDED_ITEMS = list(range(1, 51))
-KIT_ITEMS = list(range(0, 200))
-LISTED_ITEMS = list(range(0, 60))
-CALENDAR_ITEMS = list(range(0, 500))
+
+
+def _items(*brands: int) -> list[int]:
+    """All items of some brands: the same share of the order lines at every size."""
+    return [10 * b + t for b in brands for t in range(len(ITEM_TYPES))]
+
+
+EXCLUDED_ITEMS = _items(1, 2)
+KIT_ITEMS = _items(*range(3, 13))
+LISTED_ITEMS = _items(*range(1, 5))
+CALENDAR_ITEMS = _items(*range(1, 11))
 SEGMENTS = {"segment_13": 13, "segment_14": 14, "segment_15": 15}
 EXPERIENCE = {"current": ["118", "112"], "before": ["119", "116"], "never": ["120", "114"]}
 SHOWN_EXPERIENCE = {"current": "current", "before": "before", "never": "never", "unknown": "Unknown"}
@@ -63,9 +70,9 @@ WANTED_ANSWERS = {
 }
 BUNDLES = [["Brand#1", "Brand#2"], ["Brand#3", "Brand#4"], ["Brand#5", "Brand#6", "Brand#7"]]
 ADDONS = {
-    "addon_a": {"items": list(range(0, 100)), "base": ["PROMO"]},
-    "addon_b": {"items": list(range(100, 150)), "base": ["PROMO", "ECONOMY"]},
-    "addon_c": {"items": list(range(150, 260)), "base": ["ECONOMY"]},
+    "addon_a": {"items": _items(1, 2, 3, 4, 5), "base": ["PROMO"]},
+    "addon_b": {"items": _items(6, 7), "base": ["PROMO", "ECONOMY"]},
+    "addon_c": {"items": _items(8, 9, 10, 11, 12), "base": ["ECONOMY"]},
 }
 SOURCES = [f"SOURCE_{i}" for i in range(8)]
 SKU_RULES = [
@@ -404,7 +411,7 @@ def _cohort(c: Catalog, start: str = START, end: str = END) -> DataFrame:
         END,
         "PROMO",
         ["PROMO", "ECONOMY"],
-        list(range(0, 2000)),
+        KIT_ITEMS,
         tracked_items=EXCLUDED_ITEMS,
     )
 
