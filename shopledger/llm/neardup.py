@@ -5,12 +5,12 @@ A document is the set of its distinct ``words``-word shingles, each a 64-bit has
 
 1. *Inverted lists.* Two sets with a Jaccard index of at least 3/4 share at least ``_least_common``
    retained values, for certain where the sketches are the whole sets and else but for about one
-   pair in 10^9. So it is enough to list a document under its rarest retained values, as many as
+   in a million of the pairs that lie on the limit. So it is enough to list a document under its rarest retained values, as many as
    leave fewer than that out: passages that many documents share fill no lists unless they are
    about half of a document.
-2. *Pairs.* In each list every document is compared with the least one, then with the greatest. That
-   is linear in the list and joins near copies, however many. What then is still in different
-   components is compared pair by pair, if the sizes allow 3/4, so that no link is lost.
+2. *Pairs.* In each list every document is compared with the least and the greatest one, and those
+   that are not joined yet with some of the list's largest component. That is linear in the list and
+   joins near copies, however many. What then is still in different components is compared pair by pair, if sizes and sketches allow 3/4, so that no link is lost.
 3. *Union sketch.* The ``k`` least values of both sketches are a sketch of the union, and the share
    of them that both retain estimates the Jaccard index: pairs far below go.
 4. *Exact.* The rest is decided on full sets: ``100 * common >= 75 * union``.
@@ -32,9 +32,10 @@ from shopledger.llm.components import components
 from shopledger.llm.words import Hasher, mix, shingle_sets, slices
 from shopledger.llm.workspace import Workspace
 
-K = 64
+K = 128
 WORDS = 5
 PERCENT = 75
+PIVOTS = 8
 _WORD = Hasher(71, fold=True)
 _TOP, _OTHER = np.uint64(1 << 63), np.uint64(0x9FB21C651E98DF25)
 
@@ -88,14 +89,14 @@ def full_sets(docs: DataFrame, id: str, text: str, wanted: DataFrame, words: int
 def _least_common(n: Column, k: int, percent: int) -> Column:
     """How many retained values a set of ``n`` shares at least with any set that it is linked with.
 
-    Below ``percent`` of ``k`` both sets are whole in their sketches, and the bound is exact. Above,
-    at least ``percent`` of the ``k`` least values of the union are common in the mean; six standard
-    deviations are left for chance.
+    With small sets both are whole in their sketches, and the bound is exact. Else at least
+    ``percent`` of the ``k`` least values of the union (which has ``n / percent`` elements at most)
+    are common in the mean, as drawn without replacement; five standard deviations are left for chance.
     """
     share = percent / 100
-    bound = max(1, int(share * k - 6 * (k * share * (1 - share)) ** 0.5))
-    whole = F.ceil(n * percent / 100)
-    return F.when(n <= int(k * share), whole).otherwise(F.least(whole, F.lit(bound))).cast("int")
+    union = F.greatest(n / share, F.lit(k))
+    deviation = F.sqrt(k * share * (1 - share) * (union - k) / (union - 1))
+    return F.least(F.ceil(n * percent / 100), F.greatest(F.floor(k * share - 5 * deviation), F.lit(1))).cast("int")
 
 
 def inverted_lists(sketched: DataFrame, k: int, percent: int) -> DataFrame:
@@ -131,6 +132,16 @@ def verified(pairs: DataFrame, sketched: DataFrame, sets: DataFrame, k: int, per
     return near.filter(common * 100 >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
+def open_lists(work: Workspace, lists: DataFrame, groups: DataFrame) -> DataFrame:
+    """``value, id, n, component, main`` of the lists that hold several components; ``main`` is the largest."""
+    labelled = lists.join(groups, "id", "left").select("value", "id", "n", F.coalesce("component", "id").alias("component"))
+    labelled = work.keep(labelled, "labelled")
+    parts = labelled.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy("value").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count(F.lit(1)).alias("parts"))
+    main = work.keep(main.filter("parts > 1").select("value", "main"), "main")
+    return labelled.join(main, "value")
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = K, words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -144,11 +155,13 @@ def near_duplicates(
     """
     work = Workspace(docs.sparkSession, "neardup")
     every = work.keep(sketches(docs, id, text, k, words), "sketches")
+    sizes = work.keep(every.select("id", "n"), "sizes")
     some = every.filter("n > 0 and id is not null")
     equal = work.keep(some.groupBy("n", "ha", "hb").agg(F.min("id").alias("rep")), "equal")
     members = work.keep(some.select("id", "n", "ha", "hb").join(equal, ["n", "ha", "hb"]).select("id", "rep"), "members")
     reps = some.join(equal.select(F.col("rep").alias("id"), "n", "ha", "hb"), ["id", "n", "ha", "hb"], "left_semi")
     reps = work.keep(reps.select("id", "n", "sketch").dropDuplicates(["id", "n"]), "reps")
+    work.drop(every)
     lists = work.keep(inverted_lists(reps, k, percent), "lists")
     sets = work.keep(full_sets(docs, id, text, lists.select("id").distinct(), words).dropDuplicates(["id"]), "sets")
 
@@ -159,22 +172,35 @@ def near_duplicates(
     links = work.keep(verified(pairs, reps, sets, k, percent), "links")
     groups = components(work, links)
 
-    # Lists with several components left: what the ends have not joined, pair by pair.
-    labelled = lists.join(groups, "id", "left").select("value", "id", "n", F.coalesce("component", "id").alias("component"))
-    labelled = work.keep(labelled, "labelled")
-    several = work.keep(
-        labelled.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("value"), "several"
+    # Lists with several components left: first against some documents of the largest component ...
+    left = work.keep(open_lists(work, lists, groups), "open")
+    some_of_main = left.filter("component = main").groupBy("value").agg(
+        F.array(*[F.min(F.struct(F.xxhash64("id", F.lit(i)), "id"))["id"] for i in range(PIVOTS)]).alias("pivots")
     )
-    left = work.keep(labelled.join(several, "value", "left_semi"), "open")
-    other = left.select("value", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("other"))
-    fits = (F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent) & (F.col("component") != F.col("other"))
-    rest = left.join(other, "value").filter((F.col("id") < F.col("b")) & fits).select(F.col("id").alias("a"), "b").distinct()
-    rest = work.keep(verified(rest.join(pairs, ["a", "b"], "left_anti"), reps, sets, k, percent), "rest")
+    some_of_main = work.keep(some_of_main, "pivots")
+    to_main = left.filter("component != main").join(some_of_main, "value").select("id", F.explode("pivots").alias("pivot"))
+    pairs = to_main.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+    more = work.keep(verified(pairs, reps, sets, k, percent), "more")
+    links = links.unionByName(more)
+    groups = components(work, links)
+    work.drop(left)
+    # ... then what is still apart, pair by pair. One of each pair is outside of the list's largest
+    # component, so that is not compared with itself.
+    left = open_lists(work, lists, groups).join(reps.select("id", "sketch"), "id")
+    left = work.keep(left.withColumn("least", _least_common(F.col("n"), k, percent)), "apart")
+    outside = left.filter("component != main")
+    other = left.select("value", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "component", "sketch", "least")])
+    fits = (F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent) & (F.col("component") != F.col("component_b"))
+    # The sketches are compared inside the join, so that only pairs which may be linked leave it.
+    fits &= F.size(F.array_intersect("sketch", "sketch_b")) >= F.greatest("least", "least_b")
+    rest = outside.join(other, (outside["value"] == other["value"]) & fits)
+    rest = rest.select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")).distinct()
+    rest = work.keep(verified(rest, reps, sets, k, percent), "rest")
     everything = links.unionByName(rest).unionByName(members.filter("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b")))
     groups = components(work, everything)
-    for table in (reps, lists, sets, ends, links, labelled, several, left, rest, equal, members):
+    for table in (reps, lists, sets, ends, some_of_main, more, left, rest, equal, members):
         work.drop(table)
-    out = every.select("id", F.col("n").alias("n_shingles")).join(groups, "id", "left")
+    out = sizes.select("id", F.col("n").alias("n_shingles")).join(groups, "id", "left")
     component = F.coalesce("component", "id")
     kept = F.coalesce(component == F.col("id"), F.lit(True))
     return out.select(F.col("id").alias(id), "n_shingles", component.alias("component_id"), kept.alias("kept"))

@@ -5,10 +5,11 @@
 same anchor at the same place, and neighbouring windows mostly share it. Only anchors that occur in
 two different documents go on.
 
-*Extend.* Around a shared anchor a match is extended both ways, word by word, to all windows that
-keep this anchor; a window is known by a 128-bit hash of its words. Of each window the smallest
-document is found, and every window that a smaller document holds is a repeat; repeats that overlap
-are one maximal repeat. All of them are at least ``span`` words long.
+*Extend.* Around a shared anchor a match is extended both ways over the whole run of windows that
+keep this anchor. Of each run (known by its anchor and a second 64-bit hash of all its words) the
+smallest document is found, and what any other document has of it is a repeat. Where one anchor has
+several runs, they may still agree in part: the windows of each run's smallest document are compared
+one by one. Repeats that overlap are one maximal repeat, at least ``span`` words long.
 
 Nothing is done in pairs of documents: an anchor or window that a third of all documents share costs
 one row for each of them, reduced by a minimum in the map tasks, and the join back to these rows has
@@ -25,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.words import Hasher, Slice, slices, window_hashes
+from shopledger.llm.words import Hasher, Slice, SpanHasher, slices, window_hashes
 from shopledger.llm.workspace import Workspace
 
 SPAN = 13
 ANCHOR = 5
 _WORD = Hasher(51)
-_OTHER = Hasher(61)
+_RUN = SpanHasher(61)
 
 
 def anchors(part: Slice, h: np.ndarray, span: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,8 +56,8 @@ def _runs(values: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.flatnonzero(values[1:] != values[:-1]) + 1, [len(values)])) if len(values) else np.zeros(1, np.int64)
 
 
-def _anchor_rows(span: int, anchor: int, places: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows ``anchor, id`` once for each document; with ``places``: each run of windows, its start and length."""
+def _anchor_rows(span: int, anchor: int, runs: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows ``anchor, id`` once for each document; with ``runs``: each run of windows, its words' hash and place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,14 +66,15 @@ def _anchor_rows(span: int, anchor: int, places: bool) -> Callable[[Iterator[pa.
                 h = _WORD(part.data, part.starts, part.ends)
                 starts, at = anchors(part, h, span, anchor)
                 grams = window_hashes(h, anchor)
-                runs = _runs(at)
-                first, length = runs[:-1], np.diff(runs)
-                doc = part.doc[starts[first]]
-                key = grams[at[first]].view(np.int64)
-                if places:
-                    begin = starts[first] - part.first[doc]
-                    columns = [pa.array(key), pa.array(ids[part.rows.start + doc]), pa.array(begin.astype(np.int32)), pa.array(length.astype(np.int32))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["anchor", "id", "begin", "windows"])
+                borders = _runs(at)
+                first, length = starts[borders[:-1]], np.diff(borders)
+                doc = part.doc[first]
+                key = grams[at[borders[:-1]]].view(np.int64)
+                if runs:
+                    words = _RUN(h, first, first + length + (span - 1)).view(np.int64)
+                    place = [(first - part.first[doc]).astype(np.int32), length.astype(np.int32)]
+                    columns = [key, words, ids[part.rows.start + doc], *place]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "words", "id", "begin", "windows"])
                 else:
                     order = np.lexsort((key, doc))
                     key, doc = key[order], doc[order]
@@ -84,27 +86,28 @@ def _anchor_rows(span: int, anchor: int, places: bool) -> Callable[[Iterator[pa.
 
 
 def _window_rows(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows ``a, b, id, at`` for the windows of candidate runs: two 64-bit hashes and the place."""
+    """Rows ``anchor, words, id, at`` for the windows of the given runs of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            runs = batch.column(2).to_pylist()
+            lists = batch.column(2)
+            flat, offsets = lists.flatten(), lists.offsets.to_numpy()
+            keys, begins, counts = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+            offsets = offsets - offsets[0]
             for part in slices(batch.column(1)):
-                wanted = np.zeros(len(part.starts) + 1, np.int32)
-                for i, row in enumerate(part.rows):
-                    low = int(part.first[i])
-                    for r in runs[row]:
-                        wanted[low + r["begin"]] += 1
-                        wanted[low + r["begin"] + r["windows"]] -= 1
-                at = np.flatnonzero(np.cumsum(wanted)[:-1] > 0)
-                if not len(at):
+                low, high = offsets[part.rows.start], offsets[part.rows.stop]
+                count = counts[low:high].astype(np.int64)
+                if not count.sum():
                     continue
-                a = window_hashes(_WORD(part.data, part.starts, part.ends), span, 9)[at]
-                b = window_hashes(_OTHER(part.data, part.starts, part.ends), span, 10)[at]
-                doc = part.doc[at]
-                columns = [a.view(np.int64), b.view(np.int64), ids[part.rows.start + doc], (at - part.first[doc]).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "id", "at"])
+                doc = np.repeat(np.arange(len(part.rows)), np.diff(offsets[part.rows.start : part.rows.stop + 1]))
+                start = part.first[doc] + begins[low:high]
+                nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                at = np.repeat(start, count) + nth
+                doc = np.repeat(doc, count)
+                words = window_hashes(_WORD(part.data, part.starts, part.ends), span, 9)[at].view(np.int64)
+                columns = [np.repeat(keys[low:high], count), words, ids[part.rows.start + doc], (at - part.first[doc]).astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "words", "id", "at"])
 
     return run
 
@@ -135,16 +138,28 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", span: int =
     seeds = seeds.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     shared = work.keep(seeds.filter("low < high").select("anchor"), "anchors")
 
-    runs = texts.mapInArrow(_anchor_rows(span, anchor, True), "anchor bigint, id bigint, begin int, windows int")
-    runs = runs.join(shared, "anchor", "left_semi")
-    runs = work.keep(runs.groupBy("id").agg(F.collect_list(F.struct("begin", "windows")).alias("runs")), "runs")
-    candidates = texts.join(runs, "id").select("id", "text", "runs")
-    windows = work.keep(candidates.mapInArrow(_window_rows(span), "a bigint, b bigint, id bigint, at int"), "windows")
-    first = windows.groupBy("a", "b").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    first = work.keep(first.filter("low < high").select("a", "b", "low"), "first")
-    later = windows.join(first, ["a", "b"]).filter(F.col("low") < F.col("id"))
-    out = work.keep(later.groupBy("id").agg(F.collect_set("at").alias("places")), "places")
-    for table in (shared, runs, windows, first):
+    runs = texts.mapInArrow(_anchor_rows(span, anchor, True), "anchor bigint, words bigint, id bigint, begin int, windows int")
+    runs = work.keep(runs.join(shared, "anchor", "left_semi"), "runs")
+    work.drop(shared)
+    first = work.keep(runs.groupBy("anchor", "words").agg(F.min("id").alias("low")), "first-runs")
+    several = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    several = work.keep(first.join(several, "anchor", "left_semi"), "several")
+    again = runs.join(first, ["anchor", "words"]).filter("low < id")
+    again = work.keep(again.select("id", F.explode(F.sequence(F.col("begin"), F.col("begin") + F.col("windows") - 1)).alias("at")), "again")
+
+    # Runs that agree in part: of each the smallest document, window by window.
+    part = runs.join(several, ["anchor", "words"]).filter("low = id").groupBy("id")
+    part = work.keep(part.agg(F.collect_list(F.struct("anchor", "begin", "windows")).alias("runs")), "part")
+    for table in (runs, first, several):
+        work.drop(table)
+    windows = texts.join(part, "id").select("id", "text", "runs")
+    windows = work.keep(windows.mapInArrow(_window_rows(span), "anchor bigint, words bigint, id bigint, at int"), "windows")
+    first = windows.groupBy("anchor", "words").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    first = work.keep(first.filter("low < high").drop("high"), "first-windows")
+    later = windows.join(first, ["anchor", "words"]).filter("low < id").select("id", "at")
+    out = later.unionByName(again).groupBy("id").agg(F.collect_set("at").alias("places"))
+    out = work.keep(out, "places")
+    for table in (part, windows, first, again):
         work.drop(table)
     return out
 

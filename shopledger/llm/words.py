@@ -36,14 +36,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-class Hasher:
-    """One hash function for words; ``fold`` lower-cases A-Z."""
+class SpanHasher:
+    """Hashes of many spans of one array of 64-bit numbers from one prefix sum."""
 
-    def __init__(self, seed: int = 1, fold: bool = False):
-        self._bytes = _random(seed, 256)
-        if fold:
-            self._bytes[65:91] = self._bytes[97:123]
-        self._base = int(_random(seed + 1, 1)[0])
+    def __init__(self, seed: int):
+        self._base = int(_random(seed, 1)[0])
         self._inverse = pow(self._base, -1, 1 << 64)
         self._powers(SLICE)
 
@@ -55,15 +52,28 @@ class Hasher:
 
         self._up, self._down = powers(self._base), powers(self._inverse)
 
-    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        if len(data) >= len(self._up):
-            self._powers(len(data))
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(self._bytes[data] * self._up[: len(data)], out=sums[1:])
+    def __call__(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if len(values) >= len(self._up):
+            self._powers(len(values))
+        sums = np.zeros(len(values) + 1, dtype=np.uint64)
+        np.cumsum(values * self._up[: len(values)], out=sums[1:])
         lengths = (ends - starts).astype(np.uint64)
         return mix((sums[ends] - sums[starts]) * self._down[starts] + lengths)
 
 
+class Hasher:
+    """One hash function for words; ``fold`` lower-cases A-Z."""
+
+    def __init__(self, seed: int = 1, fold: bool = False):
+        self._bytes = _random(seed, 256)
+        if fold:
+            self._bytes[65:91] = self._bytes[97:123]
+        self._spans = SpanHasher(seed + 1)
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return self._spans(self._bytes[data], starts, ends)
+
+
 @dataclass
 class Slice:
     """Some documents: their rows in the batch, their bytes, and where their words lie."""
