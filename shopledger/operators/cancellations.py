@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shopledger.functions.answers import answer_to, code_by_precedence, first_code, labelled
+from shopledger.functions.answers import answer_to, code_by_precedence, first_code, labelled, parsed
 from shopledger.functions.periods import day_of, in_period, month_of
 from shopledger.functions.scalars import deviation, deviation_flag, percent, reason_root, safe_ratio
-from shopledger.operators.core import last_before, settled, small_table, with_group_total
+from shopledger.operators.core import last_before, small_table
 from shopledger.operators.orders import counted_orders
 
 Labels = Mapping[str, Sequence[str]]
@@ -33,6 +33,7 @@ def cancellation_base(
     kit_items: Sequence,
     segment_codes: Sequence[int],
     experience: Labels,
+    experience_variables: Sequence[int],
     dedupe: bool = True,
 ) -> DataFrame:
     """Cancellations of ``[start, end]`` whose last valid order before holds a listed item.
@@ -60,11 +61,12 @@ def cancellation_base(
     if dedupe:
         kit = kit.groupBy("order_id").agg(F.min(F.struct("itemId", "_kit_answers"))["_kit_answers"].alias("_kit_answers"))
     whole = sales_orders.select(F.col("id").alias("order_id"), _diagnostic().alias("_order_answers"))
-    answers = F.coalesce("_kit_answers", "_order_answers")
+    answers = F.col("_answers")
     return (
         found.join(listed, "order_id")
         .join(kit.drop("itemId"), "order_id", "left")
         .join(whole, "order_id", "left")
+        .withColumn("_answers", parsed(F.coalesce("_kit_answers", "_order_answers")))
         .select(
             "cancel_id",
             "subscription_id",
@@ -74,7 +76,7 @@ def cancellation_base(
             "order_number",
             "listed_items",
             first_code(answers, segment_codes).alias("segment_code"),
-            labelled(answer_to(answers, (40, 36)), experience).alias("experience"),
+            labelled(answer_to(answers, experience_variables), experience).alias("experience"),
         )
     )
 
@@ -87,8 +89,8 @@ def cancel_by_last_order(
     start: str,
     end: str,
     category: str,
+    segment_codes: Sequence[int],
     listed_items: Sequence = (),
-    segment_codes: Sequence[int] = (14, 15, 13),
 ) -> DataFrame:
     """Cancellations of ``[start, end)`` with the listed items of their last order, if it holds the category.
 
@@ -141,13 +143,24 @@ def cancellation_level(item_rows: DataFrame) -> DataFrame:
 
 
 def _with_shares(table: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """Adds each measure's percentage of its column total, rounded to 2."""
-    table = settled(table)
-    totals = table.agg(*[F.sum(m).alias(m) for m in measures])
-    shares = {
-        f"{m}_pct": F.round(percent(F.col(m), totals.select(m).scalar()), 2) for m in measures
-    }
-    return table.withColumns(shares)
+    """Adds each measure's percentage of its column total, rounded to 2. One row per reason: a window over all of them."""
+    everything = W.partitionBy()
+    return table.withColumns({f"{m}_pct": F.round(percent(F.col(m), F.sum(m).over(everything)), 2) for m in measures})
+
+
+def _filled(rows: DataFrame, keys: Sequence[str], what: str, listed: Column) -> DataFrame:
+    """A row for each value in the array ``listed`` per ``keys``, with 0 cancellations where absent; others are left out.
+
+    ``rows`` is aggregated, so each group folds into a map no longer than what is printed in a row.
+    """
+    cells = F.map_from_entries(F.collect_list(F.when(F.array_contains(listed, F.col(what)), F.struct(what, "cancellations"))))
+    count = F.coalesce(F.try_element_at("_cells", what), F.lit(0))
+    return (
+        rows.groupBy(*keys)
+        .agg(cells.alias("_cells"))
+        .withColumn(what, F.explode(listed))
+        .select(*keys, what, count.alias("cancellations"))
+    )
 
 
 def cancel_by_reason_segment(base: DataFrame, segments: Mapping[str, int], blank_is_missing: bool = False) -> DataFrame:
@@ -180,16 +193,16 @@ def _by_reason_item(rows: DataFrame, listed_items: Sequence, segments: Mapping[s
     own = [F.when(F.col("segment_code") == code, F.lit(name)) for name, code in segments.items()]
     split = rows.withColumn("segment", F.explode(F.array_compact(F.array(F.lit("all"), *own))))
     item_type = rows.schema["item_ids"].dataType.elementType
-    counts = settled(
+    counts = (
         split.select("segment", "reason", F.explode("item_ids").alias("item_id"))
         .groupBy("segment", "reason", "item_id")
         .agg(F.count(F.lit(1)).alias("cancellations"))
     )
     listed = F.array(*[F.lit(i).cast(item_type) for i in listed_items])
-    spine = counts.select("segment", "reason").distinct().select("segment", "reason", F.explode(listed).alias("item_id"))
-    matrix = spine.join(counts, ["segment", "reason", "item_id"], "left").na.fill(0, ["cancellations"])
-    totals = with_group_total(matrix, "cancellations", ["segment", "item_id"], "_total")
-    return totals.withColumn("share_pct", F.round(percent(F.col("cancellations"), F.col("_total")), 2)).drop("_total")
+    matrix = _filled(counts, ["segment", "reason"], "item_id", listed)
+    # One row per reason in each window.
+    total = F.sum("cancellations").over(W.partitionBy("segment", "item_id"))
+    return matrix.withColumn("share_pct", F.round(percent(F.col("cancellations"), total), 2))
 
 
 def cancel_by_reason_item(base: DataFrame, listed_items: Sequence, segments: Mapping[str, int]) -> DataFrame:
@@ -221,6 +234,7 @@ def active_distribution(
     listed_items: Sequence,
     segments: Mapping[str, int],
     experience: Labels,
+    experience_variables: Sequence[int],
 ) -> DataFrame:
     """Subscriptions with an order in ``[start, end]`` by segment, item and experience, with shares.
 
@@ -238,13 +252,14 @@ def active_distribution(
         .agg(F.min("itemId").alias("item_id"))
     )
     rows = (
-        subscriptions.select("id", _diagnostic().alias("answers"))
+        subscriptions.select("id", _diagnostic().alias("text"))
         .join(item, "id")
         .join(ordered, "id", "left_semi")
+        .withColumn("answers", parsed(F.col("text")))
         .select(
             F.col("item_id").cast("string").alias("item"),
             first_code(F.col("answers"), list(segments.values())).alias("code"),
-            labelled(answer_to(F.col("answers"), (40, 36)), experience).alias("experience"),
+            labelled(answer_to(F.col("answers"), experience_variables), experience).alias("experience"),
         )
     )
     segment = F.lit("none")
@@ -293,7 +308,7 @@ def cancel_item_rows(
     per_day = cancellations.groupBy(
         F.col("subscriptionId").alias("subscription_id"), day_of(F.col("createdAt")).alias("day")
     ).agg(F.count(F.lit(1)).alias("_cancellations"))
-    return settled(
+    return (
         per_day.join(cancelled, "subscription_id")
         .join(per_subscription, "subscription_id")
         .groupBy("day", "product")
@@ -301,24 +316,13 @@ def cancel_item_rows(
     )
 
 
-def _filled(rows: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
-    """Every ``what`` for every combination of ``keys``, 0 where absent.
+def _literals(values: Sequence) -> Column:
+    return F.array(*[F.lit(v) for v in values])
 
-    The products are the columns of a printed table; their number is bounded by
-    the product dimension.
-    """
-    listed = rows.select(what).distinct().agg(F.array_sort(F.collect_list(what)).alias("all")).scalar()
-    spine = rows.select(*keys).distinct().withColumn(what, F.explode(listed))
-    return (
-        spine.unionByName(rows.select(*keys, what, "cancellations"), allowMissingColumns=True)
-        .groupBy(*keys, what)
-        .agg(F.coalesce(F.sum("cancellations"), F.lit(0)).alias("cancellations"))
-    )
 
-
-def cancel_item_daily(rows: DataFrame) -> DataFrame:
-    """Product x day counts, a total row, and each product's share of all cancellations."""
-    daily = _filled(rows, ["day"], "product")
+def cancel_item_daily(rows: DataFrame, products: Sequence[str]) -> DataFrame:
+    """Counts per day and listed product, a total row, and each product's share of all cancellations of listed ones."""
+    daily = _filled(rows, ["day"], "product", _literals(products))
     labels = F.explode(F.array(F.lit("day"), F.lit("total")))
     table = (
         daily.withColumn("row_type", labels)
@@ -326,46 +330,44 @@ def cancel_item_daily(rows: DataFrame) -> DataFrame:
         .groupBy("row_type", "label", "product")
         .agg(F.sum("cancellations").alias("cancellations"))
     )
-    everything = rows.agg(F.sum("cancellations")).scalar()
-    return table.withColumn(
-        "historic_share",
-        F.when(F.col("row_type") == "total", safe_ratio(F.col("cancellations"), everything)),
-    )
+    # One row per product in each window.
+    everything = F.sum("cancellations").over(W.partitionBy("row_type", "label"))
+    share = F.when(F.col("row_type") == "total", safe_ratio(F.col("cancellations"), everything))
+    return table.withColumn("historic_share", share)
 
 
-def cancel_item_monthly(rows: DataFrame, tolerance: float = 0.4) -> DataFrame:
-    """Product x month counts and shares with a total per year, flagged where far off the overall share."""
+def cancel_item_monthly(rows: DataFrame, products: Sequence[str], tolerance: float = 0.4) -> DataFrame:
+    """Counts and shares per month and listed product with a total per year, flagged where far off the overall share."""
     monthly = (
         rows.withColumn("month", month_of(F.col("day")))
         .groupBy("month", "product")
         .agg(F.sum("cancellations").alias("cancellations"))
     )
-    filled = _filled(monthly, ["month"], "product").withColumn("year", F.year("month"))
+    # Windows over months x products: a bounded, already aggregated table.
+    of_product = F.sum("cancellations").over(W.partitionBy("product"))
+    everything = F.sum("cancellations").over(W.partitionBy())
+    filled = (
+        _filled(monthly, ["month"], "product", _literals(products))
+        .withColumn("year", F.year("month"))
+        .withColumn("historic_share", safe_ratio(of_product, everything))
+    )
     leveled = filled.withColumn("row_type", F.explode(F.array(F.lit("month"), F.lit("total"))))
     table = (
         leveled.withColumn("month", F.when(F.col("row_type") == "month", F.month("month")))
         .groupBy("year", "row_type", "month", "product")
-        .agg(F.sum("cancellations").alias("cancellations"))
+        .agg(F.sum("cancellations").alias("cancellations"), F.first("historic_share").alias("historic_share"))
     )
-    # Windows over months x products: a bounded, already aggregated table.
     row_total = F.sum("cancellations").over(W.partitionBy("year", "row_type", "month"))
-    overall = rows.groupBy("product").agg(F.sum("cancellations").alias("_of_product"))
-    everything = rows.agg(F.sum("cancellations")).scalar()
-    historic = safe_ratio(F.col("_of_product"), everything)
-    share = safe_ratio(F.col("cancellations"), F.col("_row_total"))
-    return (
-        table.withColumn("_row_total", row_total)
-        .join(overall, "product")
-        .select(
-            "year",
-            "row_type",
-            "month",
-            "product",
-            "cancellations",
-            share.alias("share"),
-            historic.alias("historic_share"),
-            deviation_flag(F.when(historic > 0, share / historic - 1), tolerance).alias("flag"),
-        )
+    share, historic = F.col("share"), F.col("historic_share")
+    return table.withColumn("share", safe_ratio(F.col("cancellations"), row_total)).select(
+        "year",
+        "row_type",
+        "month",
+        "product",
+        "cancellations",
+        "share",
+        "historic_share",
+        deviation_flag(F.when(historic > 0, share / historic - 1), tolerance).alias("flag"),
     )
 
 
@@ -389,7 +391,7 @@ def cancel_reason_calendar(
     if exclude_items is not None:
         items = items.filter(~F.col("itemId").isin(list(exclude_items)))
     per_subscription = items.groupBy("subscriptionId").agg(F.count(F.lit(1)).alias("_items"))
-    monthly = settled(
+    monthly = (
         cancellations.filter(in_period(F.col("createdAt"), start, end, "()"))
         .groupBy("subscriptionId", reason_root(F.col("reason"), "-").alias("reason"), month_of(F.col("createdAt")).alias("date"))
         .agg(F.count(F.lit(1)).alias("_cancellations"))
@@ -397,36 +399,39 @@ def cancel_reason_calendar(
         .groupBy("reason", F.year("date").alias("year"), F.month("date").alias("month"))
         .agg(F.sum(F.col("_items") * F.col("_cancellations")).alias("cancellations"))
     )
-    # A year's table lists the reasons of that year for each of its months.
-    spine = (
-        monthly.select("year", "month").distinct().join(monthly.select("year", "reason").distinct(), "year")
-    )
-    filled = (
-        spine.unionByName(monthly, allowMissingColumns=True)
-        .groupBy("year", "month", "reason")
-        .agg(F.coalesce(F.sum("cancellations"), F.lit(0)).alias("cancellations"))
-    )
-    shared = with_group_total(filled, "cancellations", ["year", "month"], "_month_total").withColumn(
-        "share", safe_ratio(F.col("cancellations"), F.col("_month_total"))
+    # A year's table lists the reasons of that year for each of its months. From here on all
+    # windows run over years x months x reasons.
+    filled = _filled(
+        monthly.withColumn("_months", F.array_sort(F.collect_set("month").over(W.partitionBy("year")))),
+        ["year", "reason", "_months"],
+        "month",
+        F.col("_months"),
+    ).drop("_months")
+    month_total = F.sum("cancellations").over(W.partitionBy("year", "month"))
+    of_reason, everything = F.sum("cancellations").over(W.partitionBy("reason")), F.sum("cancellations").over(W.partitionBy())
+    shared = filled.withColumn("share", safe_ratio(F.col("cancellations"), month_total)).withColumn(
+        "historic_share", safe_ratio(of_reason, everything)
     )
-    overall = monthly.groupBy("reason").agg(F.sum("cancellations").alias("_of_reason"))
-    everything = monthly.agg(F.sum("cancellations")).scalar()
     kinds = F.explode(F.array(F.lit("month"), F.lit("total"), F.lit("mean")))
     kind = F.col("row_type")
     table = (
         shared.withColumn("row_type", kinds)
         .withColumn("month", F.when(kind == "month", F.col("month")))
         .groupBy("year", "row_type", "month", "reason")
-        .agg(F.sum("cancellations").alias("cancellations"), F.avg("share").alias("share"))
+        .agg(
+            F.sum("cancellations").alias("cancellations"),
+            F.avg("share").alias("share"),
+            F.first("historic_share").alias("historic_share"),
+        )
     )
-    historic = safe_ratio(F.col("_of_reason"), everything)
-    return table.join(overall, "reason").select(
+    historic = F.col("historic_share")
+    return table.select(
         "year",
         "row_type",
         "month",
         "reason",
         F.when(kind != "mean", F.col("cancellations")).alias("cancellations"),
         F.when(kind != "total", F.col("share")).alias("share"),
-        historic.alias("historic_share"),
+        historic,
         F.when(kind == "month", deviation_flag(deviation(F.col("share"), historic), tolerance)).alias("flag"),
     )

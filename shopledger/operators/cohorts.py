@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.functions.answers import answer_to, labelled
+from shopledger.functions.answers import answer_to, labelled, parsed
 from shopledger.functions.periods import month_of
 from shopledger.operators.core import calendar
 from shopledger.operators.orders import counted_orders
 
 
+def last_one_time_order(orders: DataFrame) -> Column:
+    """The day of the last one-time order of anybody: a reporting date from one narrow scan."""
+    one_time = counted_orders(orders).filter(F.col("order_plan") == "OTO")
+    return one_time.agg(F.to_date(F.max("created_at"))).scalar()
+
+
 def subscriber_facts(
     orders: DataFrame,
     customers: DataFrame,
@@ -24,17 +30,17 @@ def subscriber_facts(
     first_to: str,
     kit_pattern: str,
     experience: Mapping[str, Sequence[str]],
-    variables: Sequence[int] = (40, 36),
-    as_of: str | None = None,
+    variables: Sequence[int],
+    as_of: str | Column,
 ) -> DataFrame:
     """One row per customer whose first subscription order lies between two dates (both included).
 
     All order figures of a customer come from one aggregation. Activity is
-    judged as of ``as_of``, by default the members' last one-time order.
+    judged as of ``as_of``, the reporting date (see ``last_one_time_order``).
     """
     subscribed = F.col("order_plan").isin("SUBSCRIPTION", "MIXED")
     # Sorted by time, then highest total: the first element carries both.
-    opening = F.struct("created_at", (-F.col("total")).alias("minus_total"))
+    opening = F.struct("created_at", (-F.coalesce("total", F.lit(0))).alias("minus_total"))
     per_customer = counted_orders(orders).groupBy("customer_id").agg(
         F.min(F.when(subscribed, opening)).alias("_opening"),
         F.min(F.when(subscribed, F.struct("created_at", "id")))["id"].alias("first_order_id"),
@@ -80,16 +86,16 @@ def subscriber_facts(
         F.col("id").alias("first_order_id"),
         F.get_json_object("additionalFields", "$.diagnostic").alias("_order_answers"),
     )
-    code = answer_to(F.coalesce("_kit_answers", "_order_answers"), variables)
-    latest = F.lit(as_of).cast("date") if as_of else members.agg(F.max("last_oto_date")).scalar()
+    latest = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
     return (
         members.join(per_subscriber, "customer_id", "left")
         .join(kit, "first_order_id", "left")
         .join(whole, "first_order_id", "left")
-        .withColumn("experience", labelled(code, experience, default=None))
+        .withColumn("_answers", parsed(F.coalesce("_kit_answers", "_order_answers")))
+        .withColumn("experience", labelled(answer_to(F.col("_answers"), variables), experience, default=None))
         .withColumn("has_active_subscription", F.coalesce("has_active_subscription", F.lit(False)))
         .withColumn("as_of", latest)
-        .drop("_kit_answers", "_order_answers")
+        .drop("_kit_answers", "_order_answers", "_answers")
     )
 
 

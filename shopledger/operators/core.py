@@ -8,7 +8,6 @@ spread over the cluster, and only one row per hour has to meet in one task.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
@@ -24,25 +23,6 @@ def small_table(spark: SparkSession, columns: Mapping[str, Sequence], schema: st
     return spark.createDataFrame(pa.table({n: pa.array(v) for n, v in columns.items()}), schema)
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """An aggregated table computed once, for plans that read it several times.
-
-    Kept in the shared checkpoint folder of the session (``spark.checkpoint.dir``),
-    so it outlives executors. A local session without one gets a folder of its
-    own; a cluster without one recomputes.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="shopledger-")
-        if folder is None:
-            return df
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
 def calendar(spark: SparkSession, start: str, end: str, step: str = "1 day", name: str = "day") -> DataFrame:
     """Every date from ``start`` to ``end``, both included."""
     dates = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr(f"interval {step}"))
@@ -84,15 +64,6 @@ def with_totals(
     return leveled.groupBy(*keys, "row_type", "label").agg(*aggs)
 
 
-def with_group_total(df: DataFrame, value: str, by: Sequence[str], name: str) -> DataFrame:
-    """Adds the total of ``value`` over each ``by`` group of an aggregated table.
-
-    A join instead of an unbounded window: the groups may have many rows.
-    """
-    totals = df.groupBy(*by).agg(F.sum(value).alias(name))
-    return df.join(totals, list(by))
-
-
 def _slot(ts: Column) -> Column:
     """The hour of a row (missing times first): a decade of one key is at most some 90,000 slots."""
     return F.coalesce(F.date_trunc("hour", ts), F.lit(_BEFORE_ALL).cast("timestamp"))

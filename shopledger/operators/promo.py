@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shopledger.functions.periods import day_of, in_period, month_of
 from shopledger.functions.scalars import percent, safe_ratio
-from shopledger.operators.core import metric_rows, settled
+from shopledger.operators.core import metric_rows
 
 
 def promo_daily(discounts: DataFrame, orders: DataFrame, start: str, end: str, name_prefix: str) -> DataFrame:
@@ -32,8 +32,7 @@ def promo_daily(discounts: DataFrame, orders: DataFrame, start: str, end: str, n
         .groupBy(day_of(F.col("created_at")).alias("day"))
         .agg(F.count(F.lit(1)).alias("orders"))
     )
-    # One row per day, read by every report on promotions.
-    return settled(
+    return (
         every.unionByName(discounted, allowMissingColumns=True)
         .groupBy("day")
         .agg(F.sum("orders").alias("orders"), F.sum("discounted").alias("discounted"))
@@ -51,17 +50,13 @@ def promo_comparison(daily: DataFrame) -> DataFrame:
 def promo_means(daily: DataFrame) -> DataFrame:
     """Average discounted and all orders per listed day and per listed month."""
     monthly = daily.groupBy(month_of(F.col("day")).alias("month")).agg(
-        F.sum("orders").alias("orders"), F.sum("discounted").alias("discounted")
+        *[f(c).alias(f"{c}_{n}") for c in ("orders", "discounted") for n, f in (("sum", F.sum), ("days", F.count))]
     )
-    per_day = daily.agg(F.avg("orders").alias("orders"), F.avg("discounted").alias("discounted"))
-    per_month = monthly.agg(F.avg("orders").alias("orders"), F.avg("discounted").alias("discounted"))
-
-    def rows(df: DataFrame, unit: str) -> DataFrame:
-        return metric_rows(
-            df, {f"{c}_per_{unit}": F.coalesce(c, F.lit(0.0)) for c in ("orders", "discounted")}
-        )
-
-    return rows(per_day, "day").unionByName(rows(per_month, "month"))
+    means = monthly.agg(
+        *[F.try_divide(F.sum(f"{c}_sum"), F.sum(f"{c}_days")).alias(f"{c}_per_day") for c in ("orders", "discounted")],
+        *[F.avg(f"{c}_sum").alias(f"{c}_per_month") for c in ("orders", "discounted")],
+    )
+    return metric_rows(means, {c: F.coalesce(c, F.lit(0.0)) for c in means.columns})
 
 
 def recent_or_all(daily: DataFrame, value: str, since: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shopledger.functions.periods import calendar_days_between, elapsed_days_between, in_period
 from shopledger.functions.scalars import days_as_weeks, every_n_weeks, in_parentheses, percent
-from shopledger.operators.core import latest_two, metric_rows, settled, with_previous
+from shopledger.operators.core import latest_two, metric_rows, with_previous
 
 PROGRAM, NO_PROGRAM, EVERYONE = "program", "no_program", "all"
 
@@ -79,33 +79,31 @@ def renewal_gap_comparison(gaps: DataFrame, categories: Sequence[str]) -> DataFr
     own = F.when((F.col("series") == "actual") & F.col("category").isin(list(categories)), F.col("category"))
     series = rows.withColumn("series", F.explode(F.array_compact(F.array("series", own)))).drop("category")
     listed = F.array(*[F.lit(s) for s in ("configured", "actual", *categories)])
-    # The distinct gaps are few, so averages and modes are taken from their counts.
-    counted = settled(series.groupBy("cohort", "series", "weeks", "days").agg(F.count(F.lit(1)).alias("n")))
-    keys = ["cohort", "series"]
-    tied = counted.filter(F.col("weeks").isNotNull())
-    order = W.partitionBy(*keys).orderBy(F.desc("n"))
-    tied = (
-        tied.withColumn("_position", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("n"), "days")))
-        .filter("_position <= 3")
-        .withColumn("_rank", F.rank().over(order))
-        .filter("_rank = 1")
-    )
-
-    def texts(name: str) -> Column:
-        ordered = F.array_sort(F.collect_list(name))
-        return F.array_join(F.transform(ordered, lambda v: F.format_string("%.2f", v)), ", ")
-
-    modes = tied.groupBy(*keys).agg(texts("weeks").alias("mode_weeks"), texts("days").alias("mode_days"))
+    # The distinct gaps are few: averages and modes of a series are taken from its counts.
+    counted = series.groupBy("cohort", "series", "weeks", "days").agg(F.count(F.lit(1)).alias("n"))
     weighted = F.when(F.col("weeks").isNotNull(), F.col("n"))
-    means = counted.groupBy(*keys).agg(
+    per_series = counted.groupBy("cohort", "series").agg(
         (F.sum(F.col("days") * F.col("n")) / F.sum(weighted)).alias("avg_days"),
         F.sum("n").alias("rows"),
+        F.array_sort(
+            F.collect_list(F.when(F.col("weeks").isNotNull(), F.struct((-F.col("n")).alias("order"), "days", "weeks")))
+        ).alias("gaps"),
     )
-    spine = means.select("cohort").distinct().select("cohort", F.explode(listed).alias("series"))
+    tied = F.filter(F.slice("gaps", 1, 3), lambda g: g["order"] == F.col("gaps")[0]["order"])
+
+    def texts(name: str) -> Column:
+        ordered = F.array_sort(F.transform(tied, lambda g: g[name]))
+        joined = F.array_join(F.transform(ordered, lambda v: F.format_string("%.2f", v)), ", ")
+        return F.when(F.size("gaps") > 0, joined)
+
+    found = F.struct("avg_days", "rows", texts("weeks").alias("mode_weeks"), texts("days").alias("mode_days"))
+    per_cohort = per_series.groupBy("cohort").agg(F.map_from_entries(F.collect_list(F.struct("series", found))).alias("found"))
+    spine = per_cohort.withColumn("series", F.explode(listed))
+    keys = ["cohort", "series"]
     no_rows = F.col("rows").isNull()
     return (
-        spine.join(means, keys, "left")
-        .join(modes, keys, "left")
+        spine.withColumn("_one", F.try_element_at("found", "series"))
+        .select(*keys, "_one.*")
         .select(
             *keys,
             F.when(no_rows, F.lit(0.0)).otherwise(F.col("avg_days") / 7).alias("avg_weeks"),

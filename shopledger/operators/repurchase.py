@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shopledger.functions.answers import answer_list
+from shopledger.functions.answers import answer_list, parsed
 from shopledger.functions.periods import in_period
 from shopledger.functions.scalars import percent
-from shopledger.operators.core import settled, small_table
+from shopledger.operators.core import small_table
 from shopledger.operators.orders import counted_orders
 
 
@@ -171,9 +171,8 @@ def labelled_answers(
         {"value_code": list(value_labels), "value_label": list(value_labels.values())},
         "value_code int, value_label string",
     )
-    answers = cohort.filter(F.col("diagnostic").isNotNull()).select(
-        *[c for c in cohort.columns if c != "diagnostic"], F.inline(answer_list(F.col("diagnostic")))
-    )
+    known = cohort.filter(F.col("diagnostic").isNotNull()).withColumn("_answers", parsed(F.col("diagnostic")))
+    answers = known.select(*[c for c in cohort.columns if c != "diagnostic"], F.inline(answer_list(F.col("_answers"))))
     return (
         answers.withColumn("value_code", F.trim("value").try_cast("int"))
         .join(variables, "variable", "left")
@@ -201,7 +200,7 @@ def _by_outcome(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def repurchase_by_answer(
-    answers: DataFrame, skipped_variables: Sequence[int] = (27,), tracked_item: str | None = None
+    answers: DataFrame, skipped_variables: Sequence[int], tracked_item: str | None = None
 ) -> DataFrame:
     """Per translated answer: who bought again. Codes with one label count together.
 
@@ -245,17 +244,15 @@ def repurchase_period_table(tables: DataFrame, periods: Sequence[str]) -> DataFr
         )
         for p in periods
     ]
-    filled = settled(tables.groupBy(*keys).agg(F.array(*cells).alias("cells")).select(*keys, F.inline("cells")))
-    per_variable = filled.groupBy("period", "variable").agg(
-        F.sum("total").alias("_variable"), F.max("total").alias("_top")
-    )
-    # One row per period and variable: the questionnaire's length at most.
-    per_variable = per_variable.withColumn("_largest", F.max("_top").over(W.partitionBy("period")))
-    return filled.join(per_variable, ["period", "variable"]).select(
+    filled = tables.groupBy(*keys).agg(F.array(*cells).alias("cells")).select(*keys, F.inline("cells"))
+    # The table has one row per answer and period: the questionnaire's length.
+    largest = F.max("total").over(W.partitionBy("period"))
+    of_variable = F.sum("total").over(W.partitionBy("period", "variable"))
+    return filled.select(
         "period",
         *keys,
         *counts,
-        percent(F.col("total"), F.col("_largest")).alias("pct_of_max"),
-        percent(F.col("total"), F.col("_variable")).alias("pct_of_variable"),
+        percent(F.col("total"), largest).alias("pct_of_max"),
+        percent(F.col("total"), of_variable).alias("pct_of_variable"),
         percent(F.col("repurchased"), F.col("total")).alias("repurchase_pct"),
     )

@@ -814,8 +814,8 @@ _inv = f"""
    JOIN people p ON p.cust=s.customer_id
    LEFT JOIN (SELECT cust, max(happened) AS happened FROM cancels GROUP BY 1) c ON c.cust=s.customer_id
    WHERE CAST(s.happened AS DATE) BETWEEN '{START}' AND '{END}'),
- act AS (SELECT *, active_sub OR COALESCE(oto>cohort AND oto >= (SELECT max(oto) FROM facts) - 365, false)
-     OR COALESCE(gone >= (SELECT max(oto) FROM facts) - 90, false) AS active FROM facts),
+ act AS (SELECT *, active_sub OR COALESCE(oto>cohort AND oto >= (SELECT CAST(max(created_at) AS DATE) FROM valid WHERE order_plan='OTO') - 365, false)
+     OR COALESCE(gone >= (SELECT CAST(max(created_at) AS DATE) FROM valid WHERE order_plan='OTO') - 90, false) AS active FROM facts),
  spl AS (SELECT unnest(CASE WHEN experience IS NULL THEN ['all'] ELSE ['all', experience] END) AS split, * FROM act)
 SELECT s.split, {_day('m.m')} AS cohort_month, count(x.customer_id) AS new_users, CAST(COALESCE(SUM(x.n),0) AS BIGINT) AS orders,
    {_r('COALESCE(SUM(x.revenue),0)')} AS revenue, count(*) FILTER (x.n>=2) AS repurchasing_users,

@@ -48,6 +48,8 @@ LISTED_ITEMS = _items(*range(1, 5))
 CALENDAR_ITEMS = _items(*range(1, 11))
 SEGMENTS = {"segment_13": 13, "segment_14": 14, "segment_15": 15}
 EXPERIENCE = {"current": ["118", "112"], "before": ["119", "116"], "never": ["120", "114"]}
+EXPERIENCE_VARIABLES = (40, 36)
+SKIPPED_VARIABLES = (27,)
 SHOWN_EXPERIENCE = {"current": "current", "before": "before", "never": "never", "unknown": "Unknown"}
 VARIABLE_LABELS = {4: "KIND", 36: "EXPERIENCE", 40: "EXPERIENCE", 41: "REACTION"}
 VALUE_LABELS = {
@@ -435,7 +437,7 @@ def first_order_cohort(c: Catalog) -> DataFrame:
 
 @query
 def repurchase_by_answer(c: Catalog) -> DataFrame:
-    return repurchase.repurchase_by_answer(_answers(c))
+    return repurchase.repurchase_by_answer(_answers(c), SKIPPED_VARIABLES)
 
 
 @query
@@ -447,7 +449,7 @@ def repurchase_by_combination(c: Catalog) -> DataFrame:
 def repurchase_period_table(c: Catalog) -> DataFrame:
     tables = None
     for name, (start, end) in PERIODS.items():
-        part = repurchase.repurchase_by_answer(_answers(c, start, end)).withColumn("period", F.lit(name))
+        part = repurchase.repurchase_by_answer(_answers(c, start, end), SKIPPED_VARIABLES).withColumn("period", F.lit(name))
         tables = part if tables is None else tables.unionByName(part)
     return repurchase.repurchase_period_table(tables, list(PERIODS))
 
@@ -465,6 +467,8 @@ def investor_cohorts(c: Catalog) -> DataFrame:
         END,
         "%1%",
         EXPERIENCE,
+        EXPERIENCE_VARIABLES,
+        cohorts.last_one_time_order(c.table("orders_light")),
     )
     return cohorts.investor_cohorts(cohorts.with_activity(facts), "1995-01-01", "2001-08-01", list(EXPERIENCE))
 
@@ -485,6 +489,7 @@ def _cancelled(c: Catalog) -> DataFrame:
         KIT_ITEMS,
         list(SEGMENTS.values()),
         EXPERIENCE,
+        EXPERIENCE_VARIABLES,
     )
 
 
@@ -497,6 +502,7 @@ def _last_items(c: Catalog) -> DataFrame:
         START,
         END,
         "PROMO",
+        [14, 15, 13],
     )
 
 
@@ -531,6 +537,7 @@ def active_distribution(c: Catalog) -> DataFrame:
         CALENDAR_ITEMS,
         SEGMENTS,
         EXPERIENCE,
+        EXPERIENCE_VARIABLES,
     )
 
 
@@ -558,12 +565,12 @@ def _calendar_rows(c: Catalog) -> DataFrame:
 
 @query
 def cancel_item_daily(c: Catalog) -> DataFrame:
-    return cancellations.cancel_item_daily(_calendar_rows(c))
+    return cancellations.cancel_item_daily(_calendar_rows(c), ITEM_TYPES)
 
 
 @query
 def cancel_item_calendar(c: Catalog) -> DataFrame:
-    return cancellations.cancel_item_monthly(_calendar_rows(c))
+    return cancellations.cancel_item_monthly(_calendar_rows(c), ITEM_TYPES)
 
 
 @query

@@ -42,12 +42,15 @@ def read_csv(spark: SparkSession, path: str, required: list[str] = (), encoding:
 def read_funnel_csv(spark: SparkSession, path: str, funnel: str, preamble: int = 9) -> DataFrame:
     """Step rows of a daily funnel export whose header follows ``preamble`` lines.
 
-    Such an export has one line per day, so a file is one short text.
+    Such an export has one line per day, so a file is one short text. All files
+    of ``path`` must have the same header.
     """
     texts = spark.read.text(path, wholetext=True)
     lines = F.split("value", "\r?\n")
-    header = texts.select(F.get(lines, F.lit(preamble))).first()[0]
-    names = next(csv.reader([header]))
+    headers = texts.select(F.get(lines, F.lit(preamble)).alias("header")).distinct().take(2)
+    if len(headers) != 1 or headers[0]["header"] is None:
+        raise ValueError(f"{path}: expected one header after {preamble} lines, found {[h['header'] for h in headers]}")
+    names = next(csv.reader([headers[0]["header"]]))
     fields = [f"c{i}" for i in range(len(names))]
     schema = ", ".join(f"{f} string" for f in fields)
     rows = (

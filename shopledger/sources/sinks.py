@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -34,8 +35,20 @@ def write_kpis(kpis: DataFrame, path: str) -> None:
 
 
 def load_reviews(load_set: DataFrame, path: str) -> None:
-    """Appends the reviews, or none at all if any row has no readable date or rating."""
-    bad = review_load_errors(load_set).take(10)
-    if bad:
-        raise ValueError(f"reviews not loaded, unreadable rows: {[r.asDict() for r in bad]}")
-    load_set.write.mode("append").parquet(path)
+    """Appends the reviews, or none at all if any row has no readable date or rating.
+
+    They are written beside ``path`` first, so that the rows that were checked
+    are those that are appended even if the source changes meanwhile.
+    """
+    spark = load_set.sparkSession
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    load_set.write.parquet(staging)
+    try:
+        staged = spark.read.schema(load_set.schema).parquet(staging)
+        bad = review_load_errors(staged).take(10)
+        if bad:
+            raise ValueError(f"reviews not loaded, unreadable rows: {[r.asDict() for r in bad]}")
+        staged.write.mode("append").parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(staging)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

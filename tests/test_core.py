@@ -107,9 +107,3 @@ def test_bins_are_closed_on_the_right(spark, value, expected):
 def test_value_counts_ignores_missing(spark):
     df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "x string")
     assert [tuple(r) for r in core.value_counts(df, "x").collect()] == [("b", 2), ("a", 1)]
-
-
-def test_settled_uses_the_named_folder(spark, tmp_path):
-    df = core.settled(spark.range(5).groupBy().sum("id"))
-    assert df.first()[0] == 10
-    assert spark.sparkContext.getCheckpointDir() is not None

@@ -129,7 +129,7 @@ BARE_OBJECT = '{"9":{"value":"15","variable":"4"}}'
 
 
 def test_answers_in_all_shapes(spark):
-    read = lambda text: [tuple(r) for r in one(spark, text, answers.answer_list)]
+    read = lambda text: [tuple(r) for r in one(spark, text, lambda c: answers.answer_list(answers.parsed(c)))]
     assert read(LIST) == [(4, "14"), (40, "118")]
     assert read(OBJECT) == [(4, "14"), (5, "13")]
     assert read(BARE_LIST) == [(4, "13")]
@@ -141,11 +141,11 @@ def test_answers_in_all_shapes(spark):
     ("text", "code"), [(LIST, 14), (BARE_LIST, 13), (BARE_OBJECT, 15), (OBJECT, None), ("bad", None), (None, None)]
 )
 def test_first_code_skips_wrapped_objects(spark, text, code):
-    assert one(spark, text, lambda c: answers.first_code(c, [13, 14, 15])) == code
+    assert one(spark, text, lambda c: answers.first_code(answers.parsed(c), [13, 14, 15])) == code
 
 
 def test_first_code_can_read_wrapped_objects_in_document_order(spark):
-    assert one(spark, OBJECT, lambda c: answers.first_code(c, [13, 14, 15], wrapped_objects=True)) == 14
+    assert one(spark, OBJECT, lambda c: answers.first_code(answers.parsed(c), [13, 14, 15], wrapped_objects=True)) == 14
 
 
 def test_precedence(spark):
@@ -158,7 +158,7 @@ def test_precedence(spark):
 
 def test_answer_to_prefers_the_first_variable(spark):
     experience = {"now": ["118", "112"], "never": ["120"]}
-    get = lambda text: one(spark, text, lambda c: answers.labelled(answers.answer_to(c, [40, 36]), experience))
+    get = lambda text: one(spark, text, lambda c: answers.labelled(answers.answer_to(answers.parsed(c), [40, 36]), experience))
     assert get('[{"variable":36,"value":120},{"variable":40,"value":118}]') == "now"
     assert get('[{"variable":36,"value":120}]') == "never"
     assert get('[{"variable":40,"value":null},{"variable":36,"value":120}]') == "Unknown"
@@ -185,3 +185,9 @@ def test_filters_as_data(spark):
     with pytest.raises(ValueError):
         predicates.require_valid(df, "s", ["i"])
     assert predicates.require_valid(df, "i", ["i"]) is df
+
+
+def test_entries_may_use_short_keys(spark):
+    text = '{"values":[{"var":"40","val":"118"},{"variable":36,"value":"116"}]}'
+    assert one(spark, text, lambda c: answers.answer_to(answers.parsed(c), [40, 36])) == "118"
+    assert [tuple(r) for r in one(spark, text, lambda c: answers.answer_list(answers.parsed(c)))] == [(40, "118"), (36, "116")]

@@ -374,10 +374,10 @@ def test_answers_by_label(spark):
         "order_id int, customer_id int, diagnostic string, total_custom_orders int, tracked_items array<string>",
     )
     labelled = repurchase.labelled_answers(cohort, {4: "COLOR"}, {33: "BLACK", 40: "BLACK"})
-    out = by(repurchase.repurchase_by_answer(labelled), "variable", "value")
+    out = by(repurchase.repurchase_by_answer(labelled, (27,)), "variable", "value")
     assert (out["COLOR", "BLACK"].repurchased, out["COLOR", "BLACK"].total) == (1, 2)  # equal labels merge
     assert out["VARIABLE_99", "odd"].total == 1 and len(out) == 2
-    only = repurchase.repurchase_by_answer(labelled, tracked_item="d").collect()
+    only = repurchase.repurchase_by_answer(labelled, (27,), tracked_item="d").collect()
     assert [(r.variable, r.total) for r in only] == [("COLOR", 1)]
     combos = repurchase.repurchase_by_combination(labelled, {"a": [("COLOR", "BLACK"), ("VARIABLE_27", "Ann")], "b": [("COLOR", "RED")]})
     assert [(r.combination, r.repurchased, r.total) for r in combos.collect()] == [("a", 1, 1)]
@@ -404,8 +404,10 @@ def test_cohort_activity(spark):
     gone = frame(spark, [(7, 2, "x", at(2))], "id int, subscriptionId int, reason string, createdAt timestamp_ntz")
     raw = frame(spark, [], "salesOrderId int, itemId string, additionalFields string")
     whole = frame(spark, [(1, '{"diagnostic":[{"variable":36,"value":114}]}')], "id int, additionalFields string")
+    o = frame(spark, rows, ORDERS)
+    latest = cohorts.last_one_time_order(o)
     facts = cohorts.subscriber_facts(
-        frame(spark, rows, ORDERS), people, subs, gone, raw, whole, "2024-01-01", "2024-12-31", "%k%", {"never": ["114"]}
+        o, people, subs, gone, raw, whole, "2024-01-01", "2024-12-31", "%k%", {"never": ["114"]}, (40, 36), latest
     )
     out = by(cohorts.with_activity(facts), "customer_id")
     assert set(out) == {1, 2}
@@ -430,7 +432,7 @@ def cancelled(spark, dedupe=True):
     whole = frame(spark, [(1, kit % 15), (2, kit % 15)], "id int, additionalFields string")
     c = frame(spark, [(1, 1, "bad -> x", at(7)), (2, 1, None, at(3)), (3, 2, "bad", at(7)), (4, 1, "bad", at(40))], CANCEL)
     return cancellations.cancellation_base(
-        c, o, i, raw, whole, "2024-01-01", "2024-02-01", ["a", "b"], ["k1", "k2"], [13, 14, 15], {"now": ["118"]}, dedupe
+        c, o, i, raw, whole, "2024-01-01", "2024-02-01", ["a", "b"], ["k1", "k2"], [13, 14, 15], {"now": ["118"]}, (40, 36), dedupe
     )
 
 
@@ -459,10 +461,10 @@ def test_last_order_of_any_status_keeps_ties(spark):
     i = frame(spark, [(2, "a", "c", 1), (3, "b", "c", 1), (3, "b", "c", 1), (1, "z", "c", 1)], ITEMS)
     c = frame(spark, [(1, 1, "bad -> x", at(5)), (2, 1, "bad -> x", at(5))], CANCEL)
     subs = frame(spark, [(1, 1, "x", 1, '{"diagnostic":{"values":[{"value":13},{"value":15}]}}', at(1))], SUBS)
-    rows = cancellations.cancel_by_last_order(c, o, i, subs, "2024-01-01", "2024-02-01", "c")
+    rows = cancellations.cancel_by_last_order(c, o, i, subs, "2024-01-01", "2024-02-01", "c", (14, 15, 13))
     assert sorted((r.order_id, r.item_id, r.segment_code) for r in rows.collect()) == [(2, "a", 15), (3, "b", 15)]
     assert cancellations.cancellation_level(rows).count() == 1
-    few = cancellations.cancel_by_last_order(c, o, i, subs, "2024-01-01", "2024-02-01", "c", ["a"])
+    few = cancellations.cancel_by_last_order(c, o, i, subs, "2024-01-01", "2024-02-01", "c", (14, 15, 13), ["a"])
     assert few.count() == 1
     out = by(cancellations.cancel_by_reason_last_item(rows, ["a", "b"], {"s15": 15}), "segment", "item_id")
     assert out["all", "b"].cancellations == 1 and out["s15", "a"].share_pct == 100
@@ -474,9 +476,9 @@ def test_calendars(spark):
     items = frame(spark, [(1, "a"), (1, "b"), (2, "a")], "subscriptionId int, itemId string")
     names = frame(spark, [("a", "A"), ("b", "B")], "itemId string, product string")
     rows = cancellations.cancel_item_rows(c, view, items, names)
-    daily = by(cancellations.cancel_item_daily(rows), "label", "product")
+    daily = by(cancellations.cancel_item_daily(rows, ["A", "B"]), "label", "product")
     assert daily["2024-02-09", "B"].cancellations == 0 and daily["Total", "A"].historic_share == 0.6
-    monthly = by(cancellations.cancel_item_monthly(rows), "row_type", "month", "product")
+    monthly = by(cancellations.cancel_item_monthly(rows, ["A", "B"]), "row_type", "month", "product")
     assert monthly["month", 2, "B"].flag == "low" and monthly["month", 2, "A"].flag == "high"
     assert monthly["total", None, "A"].cancellations == 3 and monthly["month", 1, "A"].flag is None
     reasons = by(cancellations.cancel_reason_calendar(c, items, "2023-12-31", "2025-01-01"), "row_type", "month", "reason")
