@@ -107,11 +107,6 @@ def step_name(step: Column) -> Column:
 # --- JSON ---------------------------------------------------------------------
 
 
-def json_flag(fields: Column, path: str) -> Column:
-    """A JSON boolean (or its text) as ``'true'`` / ``'false'`` / NULL."""
-    return F.get_json_object(fields, path)
-
-
 def decline_code(metadata: Column, path: str = "$.stripeError.error.decline_code") -> Column:
     return F.when(F.try_parse_json(metadata).isNull(), F.lit("invalid_metadata")).otherwise(
         F.coalesce(F.get_json_object(metadata, path), F.lit("unknown_error"))

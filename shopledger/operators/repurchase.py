@@ -30,22 +30,18 @@ def product_purchases(
     first order inside ``[start, end]``. ``products``: itemId, product_name.
     """
     sold = orders.filter((F.col("status") != "CANCELLED") & (F.col("order_plan") == plan) & (F.col("recurrent") == 0))
-    lines = items.select(F.col("salesOrderId").alias("id"), "itemId", "category")
-    in_category = lines.filter(F.col("category") == category).select("id").distinct()
-    buyers = (
-        sold.filter((F.col("is_first_order") == 1) & in_period(F.col("created_at"), start, end, "[]"))
-        .join(lines.select("id").distinct(), "id", "left_semi")
-        .select("customer_id")
-        .distinct()
+    # Lines are folded per order: whether it holds the category, and its product names.
+    named = items.join(products.select("itemId", "product_name"), "itemId", "left")
+    per_order = named.groupBy(F.col("salesOrderId").alias("id")).agg(
+        F.max(F.col("category") == category).alias("_in_category"), F.collect_set("product_name").alias("names")
     )
+    sold = sold.join(per_order, "id")
+    first = (F.col("is_first_order") == 1) & in_period(F.col("created_at"), start, end, "[]")
+    buyers = sold.filter(first).select("customer_id").distinct()
     return (
-        sold.select("id", "customer_id")
-        .join(in_category, "id", "left_semi")
+        sold.filter("_in_category")
         .join(buyers, "customer_id", "left_semi")
-        .join(lines.select("id", "itemId"), "id")
-        .join(products.select("itemId", "product_name"), "itemId")
-        .select("customer_id", "id", "product_name")
-        .distinct()
+        .select("customer_id", "id", F.explode("names").alias("product_name"))
     )
 
 

@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 from shopledger.functions.scalars import lookup_key, percent_number
 
 
+def as_metrics(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """``(metric, value)`` rows of a wide table: the metric is named after the keys and the measure. No row without a value."""
+    name = lambda m: F.concat_ws(".", *[F.col(k).cast("string") for k in keys], F.lit(m))
+    cells = [F.struct(name(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in measures]
+    return df.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+
+
 def kpi_tracker(period: str, sections: Mapping[str, DataFrame]) -> DataFrame:
     """``(period, section, metric, value)`` from tables of metric and value."""
     parts = [

@@ -21,10 +21,15 @@ from shopledger.plans.queries import (
     EXCLUDED_ITEMS,
     KIT_ITEMS,
     LISTED_ITEMS,
+    ORDER_MEASURES,
     PERIODS,
     SEGMENTS,
     SOURCES,
     START,
+    TRACKED_PERIOD,
+    UPSIZE_MEASURES,
+    VALUE_LABELS,
+    VARIABLE_LABELS,
 )
 
 
@@ -1041,20 +1046,58 @@ _add(
 
 # --- trackers -----------------------------------------------------------------
 
+_reasons = "(SELECT DISTINCT ' ' || upper(o_orderpriority) AS second FROM orders)"
+_segments = ",".join(f"{{'first':'{n}','value':{n}_pct}}" for n in SEGMENTS)
+_pairs = [(v, a) for v in dict.fromkeys((*VARIABLE_LABELS.values(), "OTHER")) for a in dict.fromkeys((*VALUE_LABELS.values(), "NONE "))]
 _add(
     "tracker_merge",
-    f"""SELECT ' ' || m.p AS reason, 'reasons' AS sheet, t.cancellations_pct AS value
-    FROM (SELECT DISTINCT upper(o_orderpriority) AS p FROM orders) m
-    LEFT JOIN ({_by_reason('xbase', {})}) t ON t.reason=m.p""",
+    f"""SELECT 'answers' AS sheet, m.first, m.second, t.repurchase_pct AS value
+    FROM (VALUES {", ".join(f"('{v}','{a}')" for v, a in _pairs)}) m(first, second)
+    LEFT JOIN (SELECT variable, value, ROUND(repurchase_pct,2) AS repurchase_pct FROM ({_BODIES["repurchase_by_answer"]})) t
+      ON t.variable=m.first AND t.value=trim(m.second)
+    UNION ALL
+    SELECT 'segments', m.first, m.second, t.cell.value
+    FROM (SELECT second, unnest({[*SEGMENTS, "segment_99"]}) AS first FROM {_reasons}) m
+    LEFT JOIN (SELECT reason, unnest([{_segments}]) AS cell FROM ({_BODIES["cancel_by_reason_segment"]})) t
+      ON t.cell.first=m.first AND t.reason=trim(m.second)
+    UNION ALL
+    SELECT 'items', m.name, m.second, t.share_pct
+    FROM (SELECT second, unnest({[f"ITEM {i}" for i in LISTED_ITEMS] + ["Item10", "ITEM 9999"]}) AS name FROM {_reasons}) m
+    LEFT JOIN (SELECT * FROM ({_BODIES["cancel_by_reason_item"]}) WHERE segment='all') t
+      ON CAST(t.item_id AS VARCHAR)=regexp_extract(m.name,'[0-9]+') AND t.reason=trim(m.second)""",
 )
+
+
+def _metrics(name: str, keys: list[str], measures: list[str], where: str = "true") -> str:
+    cells = ",".join(f"{{'m':'{m}','v':CAST({m} AS DOUBLE)}}" for m in measures)
+    metric = " || '.' || ".join([*[f"CAST({k} AS VARCHAR)" for k in keys], "u.m"])
+    return f"""SELECT {metric} AS metric, u.v AS value FROM (SELECT *, unnest([{cells}]) AS u
+      FROM ({_BODIES.get(name, ORACLE_SQL[name])}) WHERE {where}) WHERE u.v IS NOT NULL"""
+
+
+_total = "row_type='total'"
+_SECTIONS = {
+    "orders": _metrics("daily_orders_kpi", ["segment"], ORDER_MEASURES, _total),
+    "sales": _metrics("daily_sales_split", [], ["daily_no_recurrent", "daily_recurrent"], _total),
+    "payments": _metrics("payment_error_daily", [], ["daily_errors", "daily_resolved"], _total),
+    "program": _BODIES["program_snapshot"],
+    "subscriptions": _BODIES["subscription_mix"],
+    "refills": _BODIES["category_refill"],
+    "survey": _BODIES["acquisition_survey"],
+    "addons": _metrics("addon_subscriptions", ["addon"], ["subscriptions"]),
+    "upsize": _metrics("upsize_attach", ["addon"], UPSIZE_MEASURES),
+    "funnels": _metrics("funnel_summary", ["funnel", "step"], ["users"]),
+}
+
+
+def _tracked(period: str, section: str, factor: int = 1) -> str:
+    return f"""SELECT '{period}' AS period, '{section}' AS section, metric, value*{factor} AS value FROM ({_SECTIONS[section]})"""
+
+
+_add("kpi_tracker", "\nUNION ALL ".join(_tracked(TRACKED_PERIOD, name) for name in _SECTIONS))
 _add(
-    "kpi_tracker",
+    "kpi_tracker_update",
     "\nUNION ALL ".join(
-        f"SELECT '2001-08' AS period, '{section}' AS section, metric, value FROM ({_BODIES[name]})"
-        for section, name in (
-            ("program", "program_snapshot"),
-            ("subscriptions", "subscription_mix"),
-            ("refills", "category_refill"),
-        )
+        [_tracked(TRACKED_PERIOD, "survey"), _tracked(TRACKED_PERIOD, "addons", 2), _tracked("2002", "addons", 2)]
     ),
 )

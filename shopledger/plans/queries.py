@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +24,7 @@ from shopledger.operators import (
     subscriptions,
     tracker,
 )
+from shopledger.operators.core import small_table
 from shopledger.plans.fixtures import ITEM_TYPES, catalog
 from shopledger.session import tune
 from shopledger.sources.catalog import Catalog
@@ -670,21 +672,78 @@ def review_load_set(c: Catalog) -> DataFrame:
 
 @query
 def tracker_merge(c: Catalog) -> DataFrame:
-    table = cancellations.cancel_by_reason_segment(_cancelled(c), SEGMENTS).select(
-        "reason", F.concat(F.col("cancellations_pct").cast("string"), F.lit("%")).alias("share")
+    """The three sheets of the master: answers, reasons by segment, reasons by item with loosely written names."""
+    spark = c.spark
+    reasons = c.table("orders").select(F.concat(F.lit(" "), F.upper("o_orderpriority")).alias("second")).distinct()
+
+    def every_reason(names: list[str]) -> DataFrame:
+        return reasons.withColumn("first", F.explode(F.array(*[F.lit(n) for n in names])))
+
+    pairs = [(v, a) for v in (*VARIABLE_LABELS.values(), "OTHER") for a in (*VALUE_LABELS.values(), "NONE ")]
+    answers = small_table(spark, {"first": [p[0] for p in pairs], "second": [p[1] for p in pairs]}, "first string, second string")
+    answered = repurchase.repurchase_by_answer(_answers(c), SKIPPED_VARIABLES)
+    answered = answered.select(F.col("variable").alias("first"), F.col("value").alias("second"), _percent_text("repurchase_pct"))
+    by_segment = cancellations.cancel_by_reason_segment(_cancelled(c), SEGMENTS)
+    cells = [F.struct(F.lit(n).alias("first"), _percent_text(f"{n}_pct")) for n in SEGMENTS]
+    by_segment = by_segment.select(F.col("reason").alias("second"), F.inline(F.array(*cells)))
+    by_item = cancellations.cancel_by_reason_item(_cancelled(c), LISTED_ITEMS, SEGMENTS).filter("segment = 'all'")
+    by_item = by_item.select(
+        F.concat(F.lit("item-"), "item_id").alias("first"), F.col("reason").alias("second"), _percent_text("share_pct")
     )
-    master = (
-        c.table("orders")
-        .select(F.concat(F.lit(" "), F.upper("o_orderpriority")).alias("reason"))
-        .distinct()
-        .withColumn("sheet", F.lit("reasons"))
-    )
-    return tracker.tracker_merge(master, table, ["reason"], "share")
+    sheets = {
+        "answers": (answers.distinct(), answered, []),
+        "segments": (every_reason([*SEGMENTS, "segment_99"]), by_segment, []),
+        # "ITEM 10" and "Item10" both mean item-10; there is no item 9999.
+        "items": (every_reason([f"ITEM {i}" for i in LISTED_ITEMS] + ["Item10", "ITEM 9999"]), by_item, ["first"]),
+    }
+    merged = [
+        tracker.tracker_merge(master, source, ["first", "second"], "share", loose=loose).withColumn("sheet", F.lit(name))
+        for name, (master, source, loose) in sheets.items()
+    ]
+    return reduce(DataFrame.unionByName, merged).select("sheet", "first", "second", "value")
+
+
+def _percent_text(column: str) -> Column:
+    return F.concat(F.round(column, 2).cast("string"), F.lit("%")).alias("share")
+
+
+TRACKED_PERIOD = "1995-2001"
+
+
+def _sections(c: Catalog) -> dict[str, DataFrame]:
+    total = F.col("row_type") == "total"
+    orders_kpi = orders.daily_orders_kpi(c.table("fact_orders"), c.table("order_items"), START, END, EXCLUDED_ITEMS)
+    sales = orders.daily_sales_split(c.table("orders_flagged"), START, END)
+    errors = payments.payment_error_daily(c.table("payments"), EVENTS_START, EVENTS_END)
+    return {
+        "orders": tracker.as_metrics(orders_kpi.filter(total), ["segment"], ORDER_MEASURES),
+        "sales": tracker.as_metrics(sales.filter(total), [], ["daily_no_recurrent", "daily_recurrent"]),
+        "payments": tracker.as_metrics(errors.filter(total), [], ["daily_errors", "daily_resolved"]),
+        "program": program_snapshot(c),
+        "subscriptions": subscription_mix(c),
+        "refills": category_refill(c),
+        "survey": acquisition_survey(c),
+        "addons": tracker.as_metrics(addon_subscriptions(c), ["addon"], ["subscriptions"]),
+        "upsize": tracker.as_metrics(upsize_attach(c), ["addon"], UPSIZE_MEASURES),
+        "funnels": tracker.as_metrics(funnel_summary(c), ["funnel", "step"], ["users"]),
+    }
+
+
+ORDER_MEASURES = ["revenue", "orders", "valid_items", "avg_items", "avg_value"]
+UPSIZE_MEASURES = ["base_orders", "upsized_orders", "pieces"]
 
 
 @query
 def kpi_tracker(c: Catalog) -> DataFrame:
-    return tracker.kpi_tracker(
-        "2001-08",
-        {"program": program_snapshot(c), "subscriptions": subscription_mix(c), "refills": category_refill(c)},
-    )
+    return tracker.kpi_tracker(TRACKED_PERIOD, _sections(c))
+
+
+@query
+def kpi_tracker_update(c: Catalog) -> DataFrame:
+    """A tracker of two sections, updated with a corrected section and a further period."""
+    sections = {name: df for name, df in _sections(c).items() if name in ("survey", "addons")}
+    known = tracker.kpi_tracker(TRACKED_PERIOD, sections)
+    corrected = sections["addons"].withColumn("value", F.col("value") * 2)
+    fresh = tracker.kpi_tracker(TRACKED_PERIOD, {"addons": corrected})
+    fresh = fresh.unionByName(tracker.kpi_tracker("2002", {"addons": corrected}))
+    return tracker.tracker_update(known, fresh)
