@@ -145,7 +145,7 @@ WITH RECURSIVE vectors AS (
 ),
 usable AS (
   SELECT id, v FROM vectors
-  WHERE len(v) > 0 AND len(list_filter(v, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, x -> x <> 0)) > 0
+  WHERE len(v) > 0 AND len([x FOR x IN v IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN v IF x <> 0]) > 0
 ),
 links AS (
   SELECT x.id AS a, y.id AS b FROM usable x JOIN usable y ON x.id < y.id AND len(x.v) = len(y.v)
