@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shopledger.functions.answers import answer_list, parsed
 from shopledger.functions.periods import in_period
 from shopledger.functions.scalars import percent
-from shopledger.operators.core import small_table
+from shopledger.operators.core import metric_rows, small_table
 from shopledger.operators.orders import counted_orders
 
 
@@ -64,6 +64,11 @@ def product_repurchase(purchases: DataFrame) -> DataFrame:
     return _repurchase_table(purchases, "product_name")
 
 
+def sample_size(purchases: DataFrame) -> DataFrame:
+    """How many customers ``product_purchases`` looks at."""
+    return metric_rows(purchases.agg(F.count_distinct("customer_id").alias("n")), {"customers": F.col("n")})
+
+
 def combinations(spark: SparkSession, named: Mapping[str, Sequence], columns: Sequence[str]) -> DataFrame:
     """A small dimension of (combination, wanted..., size) from caller-given lists."""
     rows = []
@@ -209,6 +214,14 @@ def repurchase_by_answer(
     return _by_outcome(rows, [F.col("variable_label").alias("variable"), F.col("value_label").alias("value")])
 
 
+def repurchase_by_answer_variants(answers: DataFrame, skipped_variables: Sequence[int], tracked_items: Sequence[str]) -> DataFrame:
+    """The same for all first orders (``item`` = all) and for those holding each of ``tracked_items``, in one pass."""
+    wanted = F.array(*[F.lit(str(i)) for i in tracked_items])
+    items = F.concat(F.array(F.lit("all")), F.array_intersect(wanted, F.col("tracked_items").cast("array<string>")))
+    rows = answers.filter(~F.col("variable").isin(list(skipped_variables))).withColumn("item", F.explode(items))
+    return _by_outcome(rows, ["item", F.col("variable_label").alias("variable"), F.col("value_label").alias("value")])
+
+
 def repurchase_by_combination(answers: DataFrame, wanted: Mapping[str, Sequence[tuple[str, str]]]) -> DataFrame:
     """Per named set of (variable label, value label): first orders giving all of them, and who bought again."""
     named = combinations(answers.sparkSession, wanted, ["variable_label", "value_label"])

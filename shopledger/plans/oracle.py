@@ -30,6 +30,7 @@ from shopledger.plans.queries import (
     UPSIZE_MEASURES,
     VALUE_LABELS,
     VARIABLE_LABELS,
+    VARIANT_ITEMS,
 )
 
 
@@ -239,7 +240,8 @@ PARTS: dict[str, str] = {
         FROM items WHERE item IN {_in(KIT_ITEMS)} GROUP BY 1""",
     "cohortkit": f"""
         SELECT f.id, f.customer_id, f.created_at, c.n AS customs, COALESCE(k.has_answers,false) AS has_answers,
-               (SELECT count(DISTINCT i.item) FROM items i WHERE i.oid=f.id AND i.item IN {_in(EXCLUDED_ITEMS)}) AS tracked
+               COALESCE((SELECT list_sort(list_distinct(list(CAST(i.item AS VARCHAR)))) FROM items i
+                         WHERE i.oid=f.id AND i.item IN {_in(EXCLUDED_ITEMS)}), []) AS tracked
         FROM fo f LEFT JOIN kit k ON k.oid=f.id JOIN (SELECT customer_id, count(DISTINCT id) AS n FROM fo
               WHERE status<>'CANCELLED' AND created_at BETWEEN '{START}' AND '{END}'
                 AND id IN (SELECT oid FROM items WHERE category IN ('PROMO','ECONOMY')) GROUP BY 1) c
@@ -247,7 +249,7 @@ PARTS: dict[str, str] = {
         WHERE f.is_first_order=1 AND f.status<>'CANCELLED' AND f.created_at BETWEEN '{START}' AND '{END}'
           AND f.id IN (SELECT oid FROM items WHERE category='PROMO')""",
     "given": """
-        SELECT c.id, c.created_at, c.customs, unnest([
+        SELECT c.id, c.created_at, c.customs, c.tracked, unnest([
             {'variable':'KIND','value':['A','B','C'][CAST(p.cust%3+1 AS INT)]},
             {'variable':'EXPERIENCE','value':upper(p.experience)},
             {'variable':'REACTION','value':CASE WHEN p.negative=1 THEN 'YES' ELSE 'NO' END}]) AS a
@@ -768,11 +770,18 @@ _add(
 _add(
     "first_order_cohort",
     f"""SELECT id AS order_id, customer_id, has_answers AS has_diagnostic, customs AS total_custom_orders,
-    tracked AS tracked_items, {_stamp('created_at')} AS first_order_date FROM cohortkit""",
+    array_to_string(tracked, ',') AS tracked_items, {_stamp('created_at')} AS first_order_date FROM cohortkit""",
 )
 _outcome = f"""count(*) FILTER (customs>1) AS repurchased, count(*) FILTER (customs<=1) AS not_repurchased, count(*) AS total,
     {_r(_pct('count(*) FILTER (customs>1)', 'count(*)'))} AS repurchase_pct"""
 _add("repurchase_by_answer", f"SELECT a.variable AS variable, a.value AS value, {_outcome} FROM given GROUP BY 1,2")
+_add(
+    "repurchase_by_answer_variants",
+    f"""SELECT item, a.variable AS variable, a.value AS value, {_outcome}
+    FROM (SELECT *, unnest(list_concat(['all'], [i FOR i IN {[str(i) for i in VARIANT_ITEMS]} IF list_contains(tracked, i)])) AS item
+          FROM given) v GROUP BY 1,2,3""",
+)
+_add("repurchase_sample_size", "SELECT 'customers' AS metric, count(DISTINCT customer_id) AS value FROM bought")
 _add(
     "repurchase_by_combination",
     "\nUNION ALL ".join(
@@ -1036,7 +1045,9 @@ _posted = _stamp("(CAST(d1 || ' 23:30:00' AS TIMESTAMP) + CASE WHEN doc_id%3=1 T
 _type = """CASE WHEN doc_id%5=0 THEN '07' WHEN doc_id%5=1 THEN '12' WHEN doc_id%5=2 AND 5000+doc_id<=5400 THEN '02' ELSE '01' END"""
 _add(
     "review_load_set",
-    f"""SELECT 'store' AS created_by, 'PRT' || repeat('0',27) || {_type} AS product_review_type_id, lang AS headline,
+    f"""SELECT 'REV' || upper(substr(sha256(concat_ws(chr(1), upper(sku), 'user' || doc_id || '@example.com',
+      d1 || 'T23:30:00' || CASE doc_id%3 WHEN 0 THEN 'Z' WHEN 1 THEN '-05:00' ELSE '' END, COALESCE(lang, chr(2)),
+      COALESCE(text, chr(2)))), 1, 29)) AS id, 'store' AS created_by, 'PRT' || repeat('0',27) || {_type} AS product_review_type_id, lang AS headline,
     trim(text, ' ') AS comment, 'User' AS nickname, 'user' || doc_id || '@example.com' AS email,
     CASE upper(sku) WHEN 'KIT1' THEN '{{"mainImage": "https://img.example.com/kit.jpg"}}'
                     WHEN 'X3' THEN '{{"mainImage": "https://img.example.com/x3.jpg"}}' END AS additional_fields,

@@ -52,6 +52,7 @@ SEGMENTS = {"segment_13": 13, "segment_14": 14, "segment_15": 15}
 EXPERIENCE = {"current": ["118", "112"], "before": ["119", "116"], "never": ["120", "114"]}
 EXPERIENCE_VARIABLES = (40, 36)
 SKIPPED_VARIABLES = (27,)
+VARIANT_ITEMS = EXCLUDED_ITEMS[2:4]
 SHOWN_EXPERIENCE = {"current": "current", "before": "before", "never": "never", "unknown": "Unknown"}
 VARIABLE_LABELS = {4: "KIND", 36: "EXPERIENCE", 40: "EXPERIENCE", 41: "REACTION"}
 VALUE_LABELS = {
@@ -400,6 +401,11 @@ def product_repurchase(c: Catalog) -> DataFrame:
     return repurchase.product_repurchase(_purchases(c))
 
 
+@query
+def repurchase_sample_size(c: Catalog) -> DataFrame:
+    return repurchase.sample_size(_purchases(c))
+
+
 @query
 def bundle_repurchase(c: Catalog) -> DataFrame:
     return repurchase.bundle_repurchase(_purchases(c), BUNDLES)
@@ -432,7 +438,7 @@ def first_order_cohort(c: Catalog) -> DataFrame:
         "customer_id",
         F.col("diagnostic").isNotNull().alias("has_diagnostic"),
         "total_custom_orders",
-        F.size("tracked_items").alias("tracked_items"),
+        F.array_sort("tracked_items").alias("tracked_items"),
         "first_order_date",
     )
 
@@ -442,6 +448,11 @@ def repurchase_by_answer(c: Catalog) -> DataFrame:
     return repurchase.repurchase_by_answer(_answers(c), SKIPPED_VARIABLES)
 
 
+@query
+def repurchase_by_answer_variants(c: Catalog) -> DataFrame:
+    return repurchase.repurchase_by_answer_variants(_answers(c), SKIPPED_VARIABLES, VARIANT_ITEMS)
+
+
 @query
 def repurchase_by_combination(c: Catalog) -> DataFrame:
     return repurchase.repurchase_by_combination(_answers(c), WANTED_ANSWERS)
@@ -663,8 +674,7 @@ def verified_reviews_summary(c: Catalog) -> DataFrame:
 def review_load_set(c: Catalog) -> DataFrame:
     enriched = reviews.verified_reviews(c.table("reviews")).withColumns({"pros": F.lit('["good"]'), "cons": F.lit(" ")})
     loaded = reviews.review_load_set(enriched, SKU_RULES, PICTURES, "https://img.example.com/", "store")
-    # The id is a hash of the row; its stability is covered by tests.
-    return loaded.drop("id")
+    return loaded
 
 
 # --- trackers -----------------------------------------------------------------
