@@ -14,8 +14,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _BEFORE_ALL = "0001-01-01"
+_TIES_PER_SLOT = 10_000
 
 
 def small_table(spark: SparkSession, columns: Mapping[str, Sequence], schema: str) -> DataFrame:
@@ -64,11 +66,24 @@ def with_totals(
     return leveled.groupBy(*keys, "row_type", "label").agg(*aggs)
 
 
-def _slot(ts: Column) -> Column:
-    """The hour of a row (missing times first): a decade of one key is at most some 90,000 slots."""
+def _hour(ts: Column) -> Column:
+    """The hour of a row (missing times first): a decade of one key is at most some 90,000 hours."""
     return F.coalesce(F.date_trunc("hour", ts), F.lit(_BEFORE_ALL).cast("timestamp"))
 
 
+def _slot(df: DataFrame, ts: str, tie: Sequence[str]) -> Column:
+    """Where a row of a key stands, in the order of ``ts, tie``: its hour, or without a time its range of ties.
+
+    Rows without a time are spread by a whole-number tie, so that a key which has many of them does
+    not put them into one task.
+    """
+    among_missing = F.lit(0).cast("long")
+    if tie and isinstance(df.schema[tie[0]].dataType, T.IntegralType):
+        part = F.coalesce(F.floor(F.col(tie[0]) / _TIES_PER_SLOT).cast("long"), F.lit(-(1 << 62)))
+        among_missing = F.when(F.col(ts).isNull(), part).otherwise(among_missing)
+    return F.struct(_hour(F.col(ts)).alias("hour"), among_missing.alias("part"))
+
+
 def numbered(
     df: DataFrame, key: Sequence[str], ts: str, tie: Sequence[str], name: str, first: Sequence[str] = ()
 ) -> DataFrame:
@@ -76,7 +91,7 @@ def numbered(
 
     The columns ``first`` of each key's first row come along as ``first_<column>``.
     """
-    rows = df.withColumn("_slot", _slot(F.col(ts)))
+    rows = df.withColumn("_slot", _slot(df, ts, tie))
     opening = F.min(F.struct(F.col(ts), *tie, *first)) if first else F.lit(None)
     per_slot = rows.groupBy(*key, "_slot").agg(F.count(F.lit(1)).alias("_rows"), opening.alias("_opening"))
     earlier = W.partitionBy(*key).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
@@ -98,7 +113,7 @@ def numbered(
 
 def with_previous(df: DataFrame, key: Sequence[str], ts: str, tie: Sequence[str], value: str, name: str) -> DataFrame:
     """``lag(value)`` per key in ``ts, tie`` order."""
-    rows = df.withColumn("_slot", _slot(F.col(ts)))
+    rows = df.withColumn("_slot", _slot(df, ts, tie))
     # The value is wrapped so that "no earlier row" and "earlier NULL" stay apart.
     last = F.max(F.struct(F.col(ts), *tie, F.struct(value).alias("_last")))["_last"]
     per_slot = rows.groupBy(*key, "_slot").agg(last.alias("_last"))
@@ -139,7 +154,7 @@ def last_before(
     right = facts.filter(F.col(fact_ts).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("_key"), F.col(fact_ts).alias("_ts"), F.lit(1).alias("_kind"), fact.alias("_fact")
     )
-    both = left.unionByName(right, allowMissingColumns=True).withColumn("_slot", _slot(F.col("_ts")))
+    both = left.unionByName(right, allowMissingColumns=True).withColumn("_slot", _hour(F.col("_ts")))
 
     # At one instant events sort ahead of facts, hence "strictly before".
     inside = (

@@ -107,3 +107,18 @@ def test_bins_are_closed_on_the_right(spark, value, expected):
 def test_value_counts_ignores_missing(spark):
     df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "x string")
     assert [tuple(r) for r in core.value_counts(df, "x").collect()] == [("b", 2), ("a", 1)]
+
+
+@pytest.mark.parametrize("step", ["missing", "day"])
+def test_hot_key_without_times_or_with_whole_days(spark, monkeypatch, step):
+    monkeypatch.setattr(core, "_TIES_PER_SLOT", 7)
+    rng = random.Random(11)
+    ids = rng.sample(range(-200, 400), 300)
+    rows = [(i, "hot", None if step == "missing" and i % 3 else T0 + dt.timedelta(days=i % 4), rng.choice("abc")) for i in ids]
+    df = spark.createDataFrame(rows, "id int, key string, ts timestamp_ntz, v string")
+    ordered = sorted(rows, key=sort_key)
+    out = core.numbered(df, ["key"], "ts", ["id"], "n", ["v"]).collect()
+    assert {r.id: r.n for r in out} == {r[0]: i + 1 for i, r in enumerate(ordered)}
+    assert {r.first_v for r in out} == {ordered[0][3]}
+    out = core.with_previous(df, ["key"], "ts", ["id"], "v", "prev").collect()
+    assert {r.id: r.prev for r in out} == {r[0]: (ordered[i - 1][3] if i else None) for i, r in enumerate(ordered)}
