@@ -1,10 +1,18 @@
-"""Embedding near-dedup by sorted passes of random hashes.
-
-Equal vectors are one from the start. In each pass a vector gets a key of concatenated random hashes:
-each hash rotates the vector at random and takes the axis it is closest to (with its sign), so close
-vectors often agree. Vectors are put in lexicographic order of their keys, each is compared with the
-``window`` next ones, and pairs with a cosine of at least ``cosine`` are links. Passes differ in their
-rotations; components of the links of all passes are the groups.
+"""Embedding near-dedup by passes of centred random keys.
+
+Equal vectors are one from the start. In each pass vectors get keys of random hashes, one hash after
+another: the members of a range (all vectors at first, then those of one key) are taken relative to
+the mean of the range, rotated at random, and each gets the axis it is closest to (with its sign). A
+range of more than ``window`` vectors gets further hashes, centred anew, until it fits, so the length
+of a key follows the number of rows, and a hot topic or a common direction of all vectors is spread
+like any other data. Vectors centred on their mean never agree in a hash all together, so this ends;
+vectors at the mean itself are dealt by a hash of their id and the pass. In each range that fits all
+pairs are compared, and those with a cosine of at least ``cosine`` are links. Passes differ in their
+rotations, and their number grows with the rows; components of the links of all passes are the groups.
+Tables of up to ``window`` vectors are compared whole.
+
+Ranges are split by Spark down to ``TASK_ROWS`` vectors (the means of the larger ones go through the
+driver) and inside a task from there on.
 
 A window bounds what a pass compares, not what is counted: the number of links of a vector is taken
 among all members of its component, in blocks of pairs of at most about ``block`` vectors, so that
@@ -13,28 +21,34 @@ large groups of close vectors lose none.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopledger.llm.components import components
+from shopledger.llm.words import mix
 from shopledger.llm.workspace import Workspace
 
 COSINE = 0.95
 PASSES = 16
-HASHES = 4
-WINDOW = 24
+PASSES_UP_TO = 20_000  # vectors; beyond, passes grow with the power GROWTH of their number
+GROWTH = 0.35
+WINDOW = 1024
+AXES = 64
+TASK_ROWS = 4096
+TOGETHER = 8  # passes at once, fewer from 6 million vectors on
+_CELL, _TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-@lru_cache(maxsize=64)
-def _rotation(dimension: int, turn: int) -> np.ndarray:
-    """A projection on at most 127 random directions, as many as there are dimensions and 8 at least."""
-    axes = min(max(dimension, 8), 127)
-    return np.random.default_rng((dimension, turn)).standard_normal((dimension, axes))
+@lru_cache(maxsize=256)
+def _rotation(dimension: int, turn: int, depth: int, axes: int) -> np.ndarray:
+    return np.random.default_rng((dimension, turn, depth, axes)).standard_normal((dimension, axes))
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -42,81 +56,161 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def keys(vectors: np.ndarray, turn: int, hashes: int) -> list[bytes]:
-    """Of each row the concatenated hashes of one pass."""
-    out = np.empty((len(vectors), hashes), np.uint8)
-    for h in range(hashes):
-        along = vectors @ _rotation(vectors.shape[1], turn * hashes + h)
-        best = np.abs(along).argmax(axis=1)
-        out[:, h] = 2 * best + (along[np.arange(len(best)), best] > 0)
-    return [row.tobytes() for row in out]
+def passes_for(rows: int, passes: int = PASSES) -> int:
+    return math.ceil(passes * max(1.0, rows / PASSES_UP_TO) ** GROWTH)
+
+
+def cells(x: np.ndarray, ids: np.ndarray, mean: np.ndarray, rows: int, turn: int, depth: int, window: int) -> np.ndarray:
+    """The next hash of members of a range of ``rows`` vectors."""
+    axes = min(max(math.ceil(rows / window), 2), AXES)
+    moved = x - mean
+    along = moved @ _rotation(x.shape[1], turn, depth, axes)
+    best = np.abs(along).argmax(axis=1)
+    out = 2 * best + (along[np.arange(len(best)), best] > 0)
+    same = np.flatnonzero(np.einsum("ij,ij->i", moved, moved) < 1e-20)
+    salt = np.uint64((turn << 16) + depth + 1)
+    out[same] = mix(ids[same].astype(np.uint64) ^ mix(np.full(len(same), salt) * _TURN)) % np.uint64(2 * axes)
+    return out
+
+
+def leaves(x: np.ndarray, ids: np.ndarray, turn: int, window: int) -> Iterator[np.ndarray]:
+    """The rows of each range of at most ``window`` vectors of one pass; single rows are left out."""
+    todo = [(np.arange(len(x)), 1 << 8)]  # depths that Spark has not used
+    while todo:
+        rows, depth = todo.pop()
+        if len(rows) <= window:
+            if len(rows) > 1:
+                yield rows
+            continue
+        own = x[rows]
+        cell = cells(own, ids[rows], own.mean(axis=0), len(rows), turn, depth, window)
+        order = np.argsort(cell, kind="stable")
+        todo += [(part, depth + 1) for part in np.split(rows[order], np.flatnonzero(np.diff(cell[order])) + 1)]
 
 
 def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(-1, dimension)
 
 
-def _keyed(passes: int, hashes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = np.diff(batch.column(1).offsets.to_numpy())
-            for dimension in np.unique(sizes):
-                rows = batch.take(pa.array(np.flatnonzero(sizes == dimension)))
-                for low in range(0, rows.num_rows, 4096):
-                    part = rows.slice(low, 4096)
-                    x = unit(_matrix(part.column(1), int(dimension)))
-                    for turn in range(passes):
-                        head = [pa.array(np.full(len(x), v, np.int32)) for v in (turn, dimension)]
-                        key = pa.array(keys(x, turn, hashes), pa.binary())
-                        yield pa.RecordBatch.from_arrays([*head, key, part.column(0), part.column(1)], names=["turn", "dimension", "key", "id", "vector"])
+def _parts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Slices of rows with vectors (column ``at``) of one dimension, and their unit vectors."""
+    for batch in batches:
+        sizes = np.diff(batch.column(at).offsets.to_numpy())
+        for dimension in np.unique(sizes):
+            rows = batch.take(pa.array(np.flatnonzero(sizes == dimension)))
+            for low in range(0, rows.num_rows, 4096):
+                part = rows.slice(low, 4096)
+                yield part, unit(_matrix(part.column(at), int(dimension)))
 
-    return run
+
+def _ranges(part: pa.RecordBatch) -> np.ndarray:
+    """The keys (last column, a list) of each row in each pass."""
+    return np.asarray(part.column(part.num_columns - 1).flatten()).reshape(part.num_rows, -1)
 
 
-def _find(parent: dict[int, int], x: int) -> int:
-    while parent.setdefault(x, x) != x:
-        parent[x] = parent[parent[x]]
-        x = parent[x]
-    return x
+Range = tuple[int, int, int]  # pass, dimension, key
 
 
-def _windowed(cosine: float, window: int):
-    """Links of neighbours in the order of a pass; of those in one task, enough to connect the same."""
+def _summed(large: set[Range], low: int):
+    """The sums of the unit vectors of each large range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail: tuple[tuple[int, int], np.ndarray, np.ndarray] | None = None
-        parent: dict[int, int] = {}
-        for batch in batches:
-            kind = batch.column(0).to_numpy().astype(np.int64) * (1 << 32) + batch.column(1).to_numpy()
-            borders = [0, *(np.flatnonzero(np.diff(kind)) + 1).tolist(), batch.num_rows]
-            for low, high in zip(borders[:-1], borders[1:], strict=True):
-                if low == high:
-                    continue
-                own = (int(kind[low]), batch.column(1)[low].as_py())
-                part = batch.slice(low, high - low)
-                ids, x = part.column(2).to_numpy(), unit(_matrix(part.column(3), own[1]))
-                old = 0
-                if tail is None or tail[0] != own:
-                    parent = {}
-                else:
-                    old = len(tail[1])
-                    ids, x = np.concatenate([tail[1], ids]), np.concatenate([tail[2], x])
-                out = []
-                for d in range(1, min(window, len(x) - 1) + 1):
-                    near = np.flatnonzero(np.einsum("ij,ij->i", x[d:], x[:-d]) >= cosine)
-                    near = near[near + d >= old]
-                    for a, b in zip(ids[near].tolist(), ids[near + d].tolist(), strict=True):
-                        ra, rb = _find(parent, a), _find(parent, b)
-                        if ra != rb:
-                            parent[max(ra, rb)] = min(ra, rb)
-                            out.append((a, b))
-                tail = (own, ids[-window:], x[-window:])
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
+        sums: dict[Range, np.ndarray] = {}
+        for part, x in _parts(batches, 1):
+            keys = _ranges(part)
+            for t in range(keys.shape[1]):
+                found, where = np.unique(keys[:, t], return_inverse=True)
+                for i, key in enumerate(found.tolist()):
+                    own = (low + t, x.shape[1], key)
+                    if own in large:
+                        sums[own] = sums.get(own, 0.0) + x[where == i].sum(axis=0)
+        if sums:
+            heads = [pa.array(c) for c in zip(*sums, strict=True)]
+            heads = [heads[0].cast(pa.int32()), heads[1].cast(pa.int32()), heads[2]]
+            yield pa.RecordBatch.from_arrays([*heads, pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["turn", "dimension", "key", "total"])
 
     return run
 
 
+def _split(means: dict[Range, tuple[int, np.ndarray]], low: int, depth: int, window: int):
+    """Longer keys of the members of the ranges in ``means``; other keys stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, x in _parts(batches, 1):
+            keys, ids = _ranges(part).copy(), part.column(0).to_numpy()
+            for t in range(keys.shape[1]):
+                found, where = np.unique(keys[:, t], return_inverse=True)
+                for i, key in enumerate(found.tolist()):
+                    n, mean = means.get((low + t, x.shape[1], key), (0, None))
+                    if n:
+                        rows = np.flatnonzero(where == i)
+                        cell = cells(x[rows], ids[rows], mean, n, low + t, depth, window)
+                        longer = mix(np.full(len(rows), key, np.int64).view(np.uint64) ^ mix((cell + 1).astype(np.uint64) * _CELL))
+                        keys[rows, t] = longer.view(np.int64)
+            offsets = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * keys.shape[1])
+            lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], names=["id", "vector", "keys"])
+
+    return run
+
+
+def _spanning(close: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pairs that connect what the symmetric ``close`` connects."""
+    seen = np.zeros(len(close), bool)
+    for start in np.flatnonzero(close.any(axis=1)).tolist():
+        if seen[start]:
+            continue
+        reached = np.zeros(len(close), bool)
+        front = np.array([start])
+        reached[start] = True
+        while len(front):
+            front = np.flatnonzero(close[front].any(axis=0) & ~reached)
+            reached[front] = True
+        seen |= reached
+        reached[start] = False
+        for other in np.flatnonzero(reached).tolist():
+            yield start, other
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], work: Callable[[pa.Table], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``work`` of each run of rows that agree in the first three columns."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        c, i, j = (batch.column(k).to_numpy() for k in range(3))
+        borders = np.flatnonzero((np.diff(c) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+        borders = [0, *borders.tolist(), batch.num_rows]
+        for low, high in zip(borders[:-1], borders[1:], strict=True):
+            if low == high:
+                continue
+            own = (c[low], i[low], j[low])
+            if held and own != last:
+                yield work(pa.Table.from_batches(held))
+                held = []
+            held.append(batch.slice(low, high - low))
+            last = own
+    if held:
+        yield work(pa.Table.from_batches(held))
+
+
+def _compared(cosine: float, window: int):
+    """Links within the ranges of one key, rows sorted by (turn, dimension, key); enough to connect the same."""
+
+    def links(group: pa.Table) -> pa.RecordBatch:
+        turn, dimension = group.column("turn")[0].as_py(), group.column("dimension")[0].as_py()
+        ids = group.column("id").to_numpy()
+        x = unit(_matrix(group.column("vector").combine_chunks(), dimension))
+        out = []
+        for rows in leaves(x, ids, turn, window):
+            close = x[rows] @ x[rows].T >= cosine
+            np.fill_diagonal(close, False)
+            out += [(ids[rows[a]], ids[rows[b]]) for a, b in _spanning(close)]
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return lambda batches: _grouped(batches, links)
+
+
 def _counted(cosine: float):
     """Links within each pair of blocks, rows sorted by (component, i, j)."""
 
@@ -135,26 +229,51 @@ def _counted(cosine: float):
             n[rows] = close @ copies[rows]
         return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "links"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        last = None
-        for batch in batches:
-            c, i, j = (batch.column(k).to_numpy() for k in range(3))
-            borders = np.flatnonzero((np.diff(c) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
-            borders = [0, *borders.tolist(), batch.num_rows]
-            for low, high in zip(borders[:-1], borders[1:], strict=True):
-                if low == high:
-                    continue
-                own = (c[low], i[low], j[low])
-                if held and own != last:
-                    yield links(pa.Table.from_batches(held))
-                    held = []
-                held.append(batch.slice(low, high - low))
-                last = own
-        if held:
-            yield links(pa.Table.from_batches(held))
-
-    return run
+    return lambda batches: _grouped(batches, links)
+
+
+def _links(work: Workspace, classes: DataFrame, cosine: float, passes: int, window: int) -> list[DataFrame]:
+    """Tables ``a, b`` of the links that the passes find between the rows ``id, vector``."""
+    by_size = classes.groupBy(F.size("vector").alias("dimension")).agg(F.count(F.lit(1)).alias("n")).collect()
+    rows = {r["dimension"]: r["n"] for r in by_size}
+    most = max(rows.values(), default=0)
+    passes = passes_for(most, passes) if most > window else 1
+    limit = max(window, TASK_ROWS)
+    together = max(1, min(TOGETHER, 50_000_000 // max(most, 1)))
+    several = [d for d, n in rows.items() if n > window]
+    dimension = F.size("vector").cast("long")
+    root_sums: dict[tuple[int, int], np.ndarray] = {}
+    found = []
+    for low in range(0, passes, together):
+        turns = min(together, passes - low)
+        # A dimension with few vectors is compared whole in the first pass.
+        state = classes.select("id", "vector", F.array_repeat(dimension, turns).alias("keys"))
+        sizes = {(low + t, d, d): n for d, n in rows.items() if n > limit for t in range(turns)}
+        depth = 0
+        while sizes:
+            if depth or not root_sums:
+                wanted = set(sizes) if depth else {k for k in sizes if k[0] == low}
+                sums = state.mapInArrow(_summed(wanted, low), "turn int, dimension int, key bigint, total binary")
+                sums = sums.groupBy("turn", "dimension", "key").agg(F.array_sort(F.collect_list("total")).alias("totals")).collect()
+                sums = {(r["turn"], r["dimension"], r["key"]): np.sum([np.frombuffer(b) for b in r["totals"]], axis=0) for r in sums}
+                if not depth:
+                    root_sums = {k[1:]: v for k, v in sums.items()}
+            means = {k: (n, (sums[k] if depth else root_sums[k[1:]]) / n) for k, n in sizes.items()}
+            longer = work.keep(state.mapInArrow(_split(means, low, depth, window), state.schema), "keys")
+            if depth:
+                work.drop(state)
+            state, depth = longer, depth + 1
+            each = state.select(F.size("vector").alias("dimension"), F.posexplode("keys").alias("turn", "key"))
+            large = each.groupBy("turn", "dimension", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit)
+            sizes = {(low + r["turn"], r["dimension"], r["key"]): r["n"] for r in large.collect()}
+        ranged = state.select(F.posexplode("keys").alias("turn", "key"), "id", "vector")
+        ranged = ranged.select((F.col("turn") + low).alias("turn"), F.size("vector").alias("dimension"), "key", "id", "vector")
+        ranged = ranged.filter((F.col("turn") == 0) | F.col("dimension").isin(several))
+        ranged = ranged.repartition("turn", "dimension", "key").sortWithinPartitions("turn", "dimension", "key", "id")
+        found.append(work.keep(ranged.mapInArrow(_compared(cosine, window), "a bigint, b bigint"), "links"))
+        if depth:
+            work.drop(state)
+    return found
 
 
 def near_vectors(
@@ -163,7 +282,6 @@ def near_vectors(
     vector: str = "embedding",
     cosine: float = COSINE,
     passes: int = PASSES,
-    hashes: int = HASHES,
     window: int = WINDOW,
     block: int = 512,
 ) -> DataFrame:
@@ -176,16 +294,16 @@ def near_vectors(
     work = Workspace(vectors.sparkSession, "embeddings")
     usable = "id is not null and size(vector) > 0 and exists(vector, x -> x != 0)"
     usable += " and forall(vector, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))"
-    rows = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
+    # Floats stay floats where they are stored; all is computed with doubles.
+    given = vectors.select(vector).schema[0].dataType
+    kind = "float" if isinstance(given, T.ArrayType) and isinstance(given.elementType, T.FloatType) else "double"
+    rows = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).cast(f"array<{kind}>").alias("vector"))
     classes = rows.filter(usable).groupBy("vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
     classes = work.keep(classes, "classes")
-    slots = int(work.spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = classes.select("id", "vector").mapInArrow(
-        _keyed(passes, hashes), "turn int, dimension int, key binary, id bigint, vector array<double>"
-    )
-    ordered = ordered.repartitionByRange(slots, "turn", "dimension", "key", "id")
-    ordered = ordered.sortWithinPartitions("turn", "dimension", "key", "id").select("turn", "dimension", "id", "vector")
-    links = work.keep(ordered.mapInArrow(_windowed(cosine, window), "a bigint, b bigint"), "links")
+    found = _links(work, classes.select("id", "vector"), cosine, passes, window)
+    links = found[0]
+    for more in found[1:]:
+        links = links.unionByName(more)
     members = rows.filter(usable).join(classes.select("vector", F.col("id").alias("rep")), "vector").select("id", "rep")
     members = work.keep(members, "members")
     groups = components(work, links)

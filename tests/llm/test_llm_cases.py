@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,6 +194,44 @@ def test_embeddings(spark):
     assert embeddings.near_vectors(df.limit(0)).count() == 0
 
 
+def dense_with_pairs(n, pairs, mutual, cosine, dimension=64, seed=0):
+    """Vectors of one mutual cosine; row ``n + i`` has the given cosine with row ``i``."""
+    rng = np.random.default_rng(seed)
+    axis = rng.standard_normal(dimension)
+    axis /= np.linalg.norm(axis)
+
+    def across(k, *others):
+        x = rng.standard_normal((k, dimension))
+        for o in others:
+            x -= (x * o).sum(axis=1, keepdims=True) * o
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    e = across(n, axis[None])
+    c = (cosine - mutual) / (1 - mutual)
+    e = np.concatenate([e, c * e[:pairs] + np.sqrt(1 - c * c) * across(pairs, axis[None], e[:pairs])])
+    return np.sqrt(mutual) * axis + np.sqrt(1 - mutual) * e
+
+
+@pytest.mark.parametrize("mutual, cosine", [(0.85, 0.951), (0.6, 0.951)])
+def test_embeddings_in_a_dense_background(spark, tmp_path, mutual, cosine):
+    n, pairs = 19_000, 1_000
+    x = dense_with_pairs(n, pairs, mutual, cosine)
+    flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * 64), pa.array(x.ravel()))
+    pq.write_table(pa.table({"vec_id": pa.array(np.arange(len(x))), "embedding": flat}), tmp_path / "x.parquet")
+    got = {r["vec_id"]: r for r in embeddings.near_vectors(spark.read.parquet(str(tmp_path / "x.parquet"))).collect()}
+    assert len(got) == len(x)
+    found = np.mean([got[n + i]["component_id"] == i and got[i]["n_links"] == got[n + i]["n_links"] == 1 for i in range(pairs)])
+    assert found >= 0.9
+
+
+def test_embedding_ranges_end_for_copies_and_outliers():
+    rng = np.random.default_rng(8)
+    for x in (np.ones((500, 4)) * rng.uniform(1, 9, (500, 1)), np.vstack([np.ones((499, 4)), -np.ones((1, 4))]), rng.standard_normal((500, 1))):
+        rows = list(embeddings.leaves(embeddings.unit(x), np.arange(500), 3, 16))
+        assert all(1 < len(r) <= 16 for r in rows) and len(set(np.concatenate(rows))) == sum(map(len, rows)) > 300
+    assert embeddings.passes_for(200_000) > embeddings.passes_for(20_000) == embeddings.PASSES
+
+
 def test_language(docs, empty, spark):
     rows = [(i, f"the of and is {prose(5, i)}" if i % 3 else f"der die und {prose(5, i)}", "en" if i % 3 else "de") for i in range(60)]
     rows += [(100 + i, f"le les une que {prose(5, i)}", "fr") for i in range(30)] + [(200, None, "fr"), (201, "123", "fr")]
