@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopledger.llm.fitting import minimise, sampled_texts, sigmoid, with_scores
+from shopledger.llm.fitting import labelled_ids, minimise, sampled_texts, sigmoid, with_scores
 from shopledger.llm.words import NO_LETTER, Hasher, Slice, slices
 from shopledger.llm.workspace import Workspace
 
@@ -130,21 +130,24 @@ def _telling(sample: DataFrame, vocabulary: int, least: int) -> np.ndarray:
 
 
 def fit(
-    x: np.ndarray, y: np.ndarray, twins: np.ndarray, of: np.ndarray, fairness: float, ridge: float = 2e-4
+    x: np.ndarray, y: np.ndarray, twins: np.ndarray, of: np.ndarray, fairness: float, ridge: float = 2e-4,
+    mass: np.ndarray | None = None,
 ) -> np.ndarray:
-    """Logistic weights; ``twins[i]`` is the swapped form of row ``of[i]``."""
+    """Logistic weights; ``twins[i]`` is the swapped form of row ``of[i]``, ``mass`` what each row counts."""
     n, k = x.shape
     moved = x[of] - twins
+    mass = np.full(n, 1 / n) if mass is None else mass / mass.sum()
+    moved_mass = mass[of] / mass[of].sum() if len(of) else mass[of]
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         s = x @ w[:-1] + w[-1]
-        wrong = (sigmoid(s) - y) / n
-        value = (np.logaddexp(0, s) - y * s).mean() + ridge / 2 * w[:-1] @ w[:-1]
+        wrong = (sigmoid(s) - y) * mass
+        value = mass @ (np.logaddexp(0, s) - y * s) + ridge / 2 * w[:-1] @ w[:-1]
         slope = np.append(x.T @ wrong + ridge * w[:-1], wrong.sum())
         if len(moved):
             d = moved @ w[:-1]
-            value += fairness * (d @ d) / len(moved)
-            slope[:-1] += 2 * fairness / len(moved) * (moved.T @ d)
+            value += fairness * (moved_mass @ d**2)
+            slope[:-1] += 2 * fairness * (moved.T @ (moved_mass * d))
         return value, slope
 
     return minimise(loss, np.zeros(k + 1))
@@ -165,9 +168,9 @@ def train(
     """A model of at most ``per_label`` documents of each label among those for which ``train`` holds.
 
     ``train`` is a condition on the columns of ``labels``. Features in fewer than ``least`` sampled
-    documents are not used. Only the counts of the vocabulary come to the driver. The constant is
-    set so that the mean score of the sample, weighted as the labels occur, is their true share.
-    ``None`` without documents of both labels.
+    documents are not used. Only the counts of the vocabulary come to the driver. The sampled rows of a
+    label count as much as the label occurs among all training labels, so the mean score of the sample,
+    weighted as the labels occur, is their true share, whatever ``per_label``. ``None`` without documents of both labels.
     """
     work = Workspace(docs.sparkSession, "toxicity")
     sample = work.keep(sampled_texts(docs, labels, id, text, label, train, per_label), "sample")
@@ -189,7 +192,9 @@ def train(
     has = got["twin"].notna().to_numpy()
     table = lambda rows: np.frombuffer(b"".join(rows), np.float32).reshape(-1, len(words) + 1)
     x, y = table(got["x"]), got["label"].to_numpy()
-    w = fit(x, y, table(got["twin"][has]), np.flatnonzero(has), fairness)
+    total = {r["label"]: r["count"] for r in labelled_ids(labels, id, label, train).groupBy("label").count().collect()}
+    mass = np.where(y == 1, total[1] / (y == 1).sum(), total[0] / (y == 0).sum())
+    w = fit(x, y, table(got["twin"][has]), np.flatnonzero(has), fairness, mass=mass)
     return Model(words, w)
 
 

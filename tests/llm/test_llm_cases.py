@@ -270,6 +270,23 @@ def test_toxicity_is_fair_to_groups(docs, empty, spark):
     assert {r["score"] for r in toxicity.score(docs, None).collect()} == {0.0}
 
 
+def test_toxicity_scores_do_not_depend_on_the_sample_size(spark):
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(3000):
+        bad = i % 10 == 0
+        rude = rng.random() < (0.7 if bad else 0.1)
+        rows.append((i, f"{prose(20, i)} {'idiot scum' if rude else ''}"))
+        labels.append((i, int(bad)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    label = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    texts = pa.array([t for _, t in rows])
+    few, all_ = (toxicity.train(df, label, F.lit(True), per_label=n, vocabulary=8).score(texts) for n in (300, 6000))
+    assert few.mean() == pytest.approx(0.1, abs=0.02) and all_.mean() == pytest.approx(0.1, abs=0.02)
+    assert np.abs(np.log(few / (1 - few)) - np.log(all_ / (1 - all_))).mean() < 0.5
+    assert abs((few >= toxicity.THRESHOLD).mean() - (all_ >= toxicity.THRESHOLD).mean()) < 0.03
+
+
 def test_quality(docs, empty, spark):
     rows = [(i, prose(40, i) if i % 3 else "!! ## " + prose(3, i).upper()) for i in range(90)]
     label = spark.createDataFrame([(i, int(bool(i % 3))) for i in range(90)], "doc_id bigint, quality int")
