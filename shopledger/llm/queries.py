@@ -1,11 +1,23 @@
-"""The ten operators as registered queries over the test tables, and their SQL twins."""
+"""The operators as registered queries over the test tables, and their SQL twins."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import embeddings, fingerprints, language, mixing, neardup, packing, quality, substrings, token_counts, toxicity
+from shopledger.llm import (
+    embeddings,
+    exact,
+    fingerprints,
+    language,
+    mixing,
+    neardup,
+    packing,
+    quality,
+    substrings,
+    token_counts,
+    toxicity,
+)
 from shopledger.llm.fitting import remainder
 from shopledger.llm.workspace import Workspace
 
@@ -92,6 +104,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return ledger.totals()
 
 
+def op12_exact(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.exact_duplicates(_table(spark, folder, "documents"), digests=True)
+
+
 QUERIES = {
     "op1_neardup": op1_neardup,
     "op2_fingerprints": op2_fingerprints,
@@ -103,6 +119,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_token_counts": op10_token_counts,
+    "op12_exact": op12_exact,
 }
 
 _GROUPS = """
@@ -191,5 +208,15 @@ now AS (
   FROM counts WHERE doc_id % 10 <> 3
 )
 SELECT source, lang, version, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens FROM now GROUP BY ALL
+""",
+    "op12_exact": r"""
+WITH texts AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents
+),
+ranked AS (
+  SELECT doc_id, t, first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size
+  FROM texts
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM ranked
 """,
 }
