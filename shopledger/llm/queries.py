@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopledger.llm import (
@@ -14,6 +14,7 @@ from shopledger.llm import (
     neardup,
     packing,
     quality,
+    runs,
     substrings,
     token_counts,
     toxicity,
@@ -104,6 +105,40 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return ledger.totals()
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``, where a tenth of the texts repeat from some word on with some period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def repeat(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+        again = F.transform(F.sequence(a, n - 1), lambda i: F.get(w, a + (i - a) % p))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(w, 1, a), again), " "))
+
+    # The words are bound as a lambda's argument, so that they are cut once for each text.
+    planted = F.transform(F.array(F.regexp_extract_all("text", F.lit(mixing.WORD), 0)), repeat)[0]
+    return docs.select("doc_id", F.coalesce(F.when(h % 10 == 0, planted), F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.periodic_runs(with_planted_periods(_table(spark, folder, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.s")).alias("start"),
+        F.col("longest.n").alias("length"),
+        (-F.col("longest.p")).alias("period"),
+        F.floor(F.lit(1000) * F.col("longest.n") / -F.col("longest.p")).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_exact(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_duplicates(_table(spark, folder, "documents"), digests=True)
 
@@ -119,6 +154,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_token_counts": op10_token_counts,
+    "op11_runs": op11_runs,
     "op12_exact": op12_exact,
 }
 
@@ -131,6 +167,15 @@ groups AS (
 least AS (SELECT start AS id, min(reached) AS component_id FROM groups GROUP BY start)
 """
 
+
+def _crc32_sql(text: str) -> str:
+    """crc32 of an ASCII string, bit by bit."""
+    return f"""xor(4294967295, list_reduce(
+    [4294967295]::BIGINT[] || flatten(list_transform(string_split({text}, ''),
+      lambda ch: [ascii(ch)]::BIGINT[] || [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_neardup": r"""
 WITH RECURSIVE words AS (
@@ -208,6 +253,39 @@ now AS (
   FROM counts WHERE doc_id % 10 <> 3
 )
 SELECT source, lang, version, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens FROM now GROUP BY ALL
+""",
+    "op11_runs": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, """ + _crc32_sql("CAST(doc_id AS VARCHAR)") + """ AS h
+  FROM documents
+),
+sizes AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, h // 10 AS g FROM words),
+places AS (SELECT *, g % n AS a, 1 + (n - g % n) // (3 + g % 8) AS p FROM sizes WHERE n > 0),
+single AS (
+  SELECT doc_id, i, CASE WHEN planted AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM places)
+),
+pairs AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM single x JOIN single y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i
+),
+stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs) GROUP BY doc_id, q, island
+),
+found AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches WHERE length >= greatest(12, 2 * q) GROUP BY ALL
+),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM found GROUP BY doc_id
+),
+longest AS (
+  SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM found),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM single ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN longest USING (doc_id) LEFT JOIN kept USING (doc_id)
 """,
     "op12_exact": r"""
 WITH texts AS (
