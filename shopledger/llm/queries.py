@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopledger.llm import (
+    conversations,
     embeddings,
     exact,
     fingerprints,
@@ -143,6 +144,25 @@ def op12_exact(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_duplicates(_table(spark, folder, "documents"), digests=True)
 
 
+def rebuilt_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The turns of conversations that begin with some turns of the one that starts their hundred; all conversations.
+
+    Conversation ``c`` takes the first ``crc32(c) % 6`` turns of ``c - c % 100`` and its own behind as many.
+    """
+    taken = F.crc32(F.col("conv").cast("string")) % 6
+    convs = turns.select("conv").distinct()
+    first = turns.filter("conv % 100 = 0 and pos < 5").withColumnRenamed("conv", "donor")
+    given = convs.select("conv", (F.col("conv") - F.col("conv") % 100).alias("donor"), taken.alias("taken")).join(first, "donor")
+    given = given.filter("pos < taken").select(*turns.columns)
+    return given.unionByName(turns.filter(F.col("pos") >= taken)), convs
+
+
+def op13_trie(spark: SparkSession, folder: str) -> DataFrame:
+    work = Workspace(spark, "conversations")
+    turns = conversations.numbered_turns(work, _table(spark, folder, "conversations"))
+    return conversations.prefix_trie(work, *rebuilt_turns(turns))
+
+
 QUERIES = {
     "op1_neardup": op1_neardup,
     "op2_fingerprints": op2_fingerprints,
@@ -156,6 +176,7 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op11_runs": op11_runs,
     "op12_exact": op12_exact,
+    "op13_trie": op13_trie,
 }
 
 _GROUPS = """
@@ -296,5 +317,45 @@ ranked AS (
   FROM texts
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM ranked
+""",
+    "op13_trie": r"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id AS c, strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS t, length(coalesce(text, '')) AS chars,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (SELECT DISTINCT c, """ + _crc32_sql("CAST(c AS VARCHAR)") + """ % 6 AS h FROM turns),
+rebuilt AS (
+  SELECT v.c, pos, t, chars FROM convs v JOIN turns d ON d.c = v.c - v.c % 100 WHERE pos < h
+  UNION ALL
+  SELECT c, pos, t, chars FROM turns JOIN convs USING (c) WHERE pos >= h
+),
+depths AS (SELECT c, t, chars, row_number() OVER (PARTITION BY c ORDER BY pos) AS depth FROM rebuilt),
+prefixes (c, depth, key, chars) AS (
+  SELECT c, CAST(0 AS BIGINT), '', CAST(0 AS BIGINT) FROM convs
+  UNION ALL
+  SELECT p.c, d.depth, md5(p.key || '/' || d.t), d.chars FROM prefixes p JOIN depths d ON d.c = p.c AND d.depth = p.depth + 1
+),
+placed AS (
+  SELECT c, depth, key, chars, min(c) OVER (PARTITION BY depth, key) AS conv_id, depth = max(depth) OVER (PARTITION BY c) AS ends FROM prefixes
+),
+nodes AS (
+  SELECT conv_id, depth, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM placed GROUP BY conv_id, depth
+),
+parents AS (
+  SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN placed p ON p.c = n.conv_id AND p.depth = n.depth - 1
+),
+children AS (
+  SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM parents WHERE depth > 0 GROUP BY ALL
+),
+sums AS (
+  SELECT p.conv_id, p.depth, sum(saved) AS saved, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS leaves
+  FROM nodes n LEFT JOIN children USING (conv_id, depth) JOIN placed p ON p.c = n.conv_id AND p.depth <= n.depth GROUP BY ALL
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+  CAST(sums.saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM nodes JOIN parents USING (conv_id, depth) LEFT JOIN children USING (conv_id, depth) JOIN sums USING (conv_id, depth)
 """,
 }
