@@ -10,7 +10,7 @@ import pytest
 import corpus_pipeline
 from shopledger.llm.queries import ORACLE_SQL, QUERIES, tokenizer_file
 
-TABLES = ("documents", "embeddings", "labels")
+TABLES = ("documents", "embeddings", "labels", "conversations")
 
 
 def canonical(rows, columns):
