@@ -18,10 +18,11 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def _joined_min(work: Workspace, near: DataFrame, name: str) -> DataFrame:
-    """``u, v, m``: each link with the least of ``u`` and all its neighbours."""
+def _joined_min(work: Workspace, near: DataFrame, name: str, held: list[DataFrame]) -> DataFrame:
+    """``u, v, m``: each link with the least of ``u`` and all its neighbours; ``held`` takes what this reads."""
     near = work.keep(near, f"{name}-links")
     least = work.keep(near.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), f"{name}-least")
+    held += [near, least]
     return near.join(least, "u")
 
 
@@ -35,19 +36,23 @@ def components(work: Workspace, links: DataFrame, a: str = "a", b: str = "b") ->
     edges = work.keep(edges, "edges")
     before = _mark(edges)
     while before[0]:
+        held = [edges]
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _joined_min(work, both, "large").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _joined_min(work, both, "large", held).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u != v").distinct()
-        small = _joined_min(work, large, "small").select("u", "v", "m")
+        small = _joined_min(work, large, "small", held).select("u", "v", "m")
         own = small.select("u", F.col("m").alias("v"))
         others = small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new = work.keep(own.unionByName(others).distinct(), "edges")
         after = _mark(new)
-        work.drop(edges)
+        for table in held:
+            work.drop(table)
         edges = new
         if after == before:
             break
         before = after
     members = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    return work.keep(members.unionByName(roots), "components")
+    out = work.keep(members.unionByName(roots), "components")
+    work.drop(edges)
+    return out

@@ -35,7 +35,8 @@ def tokenizer_file() -> str:
 
 
 def op1_neardup(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.near_duplicates(_table(spark, folder, "documents"))
+    found = neardup.near_duplicates(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:

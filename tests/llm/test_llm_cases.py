@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shopledger.llm import (
     embeddings,
     fingerprints,
@@ -105,30 +106,19 @@ def test_near_duplicates(docs, empty):
     assert got[1]["n_shingles"] == 56 and got[3]["n_shingles"] == 58
     assert [(got[i]["n_shingles"], got[i]["component_id"], got[i]["kept"]) for i in (4, 5, 6)] == [(0, i, True) for i in (4, 5, 6)]
     assert (got[7]["component_id"], got[8]["component_id"], got[8]["n_shingles"]) == (7, 7, 1)
-    assert got[9]["kept"] and got[10]["kept"] and got[None]["component_id"] is None and got[None]["kept"]
+    assert got[9]["kept"] and got[10]["kept"]
+    nobody = sorted((r["n_shingles"], r["component_id"], r["kept"], r["stays"]) for r in rows if r["doc_id"] is None)
+    assert nobody == [(0, None, True, True), (56, 1, False, False)]
+    assert sum(r["stays"] for r in rows) == 9
     assert neardup.near_duplicates(empty).count() == 0
 
 
-def test_near_duplicates_of_hard_groups_against_brute_force(spark):
-    """Chains, a passage of half a text that all share, and thousands of near copies of few words."""
-    rng = random.Random(9)
-    passage = prose(40, 77)
-    texts = [passage + " " + prose(30, 100 + i) for i in range(40)]
-    base = prose(50, 55).split()
-    for _ in range(60):
-        words = list(base)
-        for _ in range(rng.randrange(4)):
-            words[rng.randrange(50)] = rng.choice(VOCABULARY)
-        texts.append(" ".join(words))
-    texts += [" ".join(base[i : i + 25]) for i in range(0, 25, 2)]
-    texts += [prose(n, n) for n in range(1, 9)] + [prose(n, n) + " tail" for n in range(1, 9)]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+def shingles(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
-    def shingles(text):
-        w = text.split()
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)}
 
-    sets = [shingles(t) for t in texts]
+def linked_groups(sets):
     parent = list(range(len(sets)))
 
     def find(x):
@@ -138,11 +128,95 @@ def test_near_duplicates_of_hard_groups_against_brute_force(spark):
 
     for i, a in enumerate(sets):
         for j in range(i):
-            if 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+            if a and 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
                 x, y = find(i), find(j)
                 parent[max(x, y)] = min(x, y)
-    got = by_id(neardup.near_duplicates(df))
-    assert [got[i]["component_id"] for i in range(len(sets))] == [find(i) for i in range(len(sets))]
+    return [find(i) for i in range(len(sets))]
+
+
+def near_copies(rng, base, n, edits):
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for _ in range(rng.randrange(edits)):
+            words[rng.randrange(len(words))] = rng.choice(VOCABULARY)
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("block", [neardup.BLOCK, 500])
+def test_near_duplicates_of_hard_groups_against_brute_force(spark, block):
+    """Chains, a passage of half a text that all share, and near copies around the limit, few of which are linked."""
+    rng = random.Random(9)
+    passage = prose(40, 77)
+    texts = [passage + " " + prose(30, 100 + i) for i in range(40)]
+    base = prose(50, 55).split()
+    texts += near_copies(rng, base, 60, 4)
+    texts += near_copies(rng, prose(140, 56).split(), 80, 9)
+    texts += near_copies(rng, prose(400, 57).split(), 60, 24)
+    texts += [" ".join(base[i : i + 25]) for i in range(0, 25, 2)]
+    texts += [prose(n, n) for n in range(1, 9)] + [prose(n, n) + " tail" for n in range(1, 9)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = linked_groups([shingles(t) for t in texts])
+    assert len(set(want)) > 30
+    got = by_id(neardup.near_duplicates(df, block=block))
+    assert [got[i]["component_id"] for i in range(len(texts))] == want
+
+
+def test_near_duplicates_of_repeated_and_missing_ids(spark):
+    """Every row counts with its own text, whatever its id."""
+    x, y, z = prose(80, 1001), prose(80, 1002), prose(80, 1003)
+    rows = [(5, x), (5, y), (5, x), (2, x + " tail"), (3, y + " tail"), (7, z), (None, z + " end"), (None, prose(90, 1004)), (None, prose(90, 1004) + " x")]
+    rows += [(5, prose(60, 1005)), (None, None), (5, ""), (8, "a b"), (5, "A  b")]
+    ids = [i for i, _ in rows]
+    groups = linked_groups([shingles(t) for _, t in rows])
+    want = []
+    for place, (doc, text) in enumerate(rows):
+        known = [ids[k] for k in range(len(rows)) if groups[k] == groups[place] and ids[k] is not None]
+        component = min(known, default=None)
+        want.append((doc, len(shingles(text)), component, component == doc))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = neardup.near_duplicates(df).collect()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)[:4]) for r in got)
+    assert sum(r["stays"] for r in got) == len(set(groups))
+    assert all(r["kept"] for r in got if r["stays"])
+    # The pipeline keeps one row of each group and no clean text of a repeated id gets lost.
+    schema = "doc_id bigint, text string, lang string, nth int, id int, doc string"
+    docs = spark.createDataFrame([(*r, "en", 1, 2, "d") for r in rows], schema)
+    left = corpus_pipeline.without_near_copies(spark, docs, "")
+    assert left.columns == docs.columns
+    kept = {(r["doc_id"], r["text"]) for r in left.collect()}
+    assert left.count() == len(set(groups)) == len(kept)
+    assert {(7, z), (2, x + " tail"), (3, y + " tail"), (5, prose(60, 1005))} <= kept
+
+
+def test_links_between_components_are_enough():
+    rng = np.random.default_rng(8)
+    base = rng.choice(10**6, 300, replace=False)
+    sets, n = [], 90
+    for _ in range(n):
+        own = base.copy()
+        at = rng.choice(300, rng.integers(0, 60), replace=False)
+        own[at] = rng.integers(10**6, 10**9, len(at))
+        sets.append(np.unique(own))
+    component = np.repeat(np.arange(n // 3), 3)
+    order = np.concatenate((np.arange(20, 60), np.arange(n)))
+    left = np.arange(len(order)) < 40
+    found = neardup.spanning_links(left, order, component[order], pa.array([sets[i] for i in order]), 128, 75)
+    assert 0 < len(found) < n // 3
+
+    def joined(links):
+        label = component.copy()
+        for a, b in links:
+            label[label == label[a]] = label[b]
+        return {frozenset(np.flatnonzero(label == c).tolist()) for c in label}
+
+    def linked(a, b):
+        c = len(np.intersect1d(sets[a], sets[b]))
+        return 100 * c >= 75 * (len(sets[a]) + len(sets[b]) - c)
+
+    assert all(linked(a, b) for a, b in found)
+    assert joined(found) == joined([(a, b) for a in range(20, 60) for b in range(n) if linked(a, b)])
 
 
 def test_fingerprints_peel(docs, empty):
