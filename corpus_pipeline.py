@@ -30,13 +30,14 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that with the least id.
 
-    Of several rows with one id one stays, and of those without an id one for each text.
+    Every row counts with its own text, whatever its id; of equal rows one stays.
     """
-    kept = neardup.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    same = W.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
-    once = docs.withColumn("_nth", F.row_number().over(same.orderBy(F.xxhash64("text")))).filter("_nth = 1")
-    known = once.join(kept.select("doc_id", F.lit(True).alias("_kept")), "doc_id", "left")
-    return known.filter("_kept or doc_id is null").select(*docs.columns)
+    stays = neardup.near_duplicates(docs).filter("stays").select(F.col("doc_id").alias("kept_id"), F.col("mark").alias("kept_mark")).distinct()
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"), neardup.text_mark("text").alias("mark"))
+    same = W.partitionBy("id", "mark").orderBy(F.xxhash64("doc"))
+    once = rows.withColumn("nth", F.row_number().over(same)).filter("nth = 1")
+    kept = once.join(stays, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("mark") == F.col("kept_mark")), "left_semi")
+    return kept.select("doc.*")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
