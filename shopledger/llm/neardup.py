@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shopledger.llm.components import components
@@ -120,10 +121,14 @@ def _least_common(n: Column, k: int, percent: int) -> Column:
 
 
 def inverted_lists(sketched: DataFrame, k: int, percent: int) -> DataFrame:
-    """``value, id, n``: each document under its rarest retained values that others retain too."""
+    """``value, id, n``: each document under its rarest retained values that others retain too.
+
+    The rows of one value are counted in one task, and spill there: they are ids, one for a document
+    at most, of the up to ``k`` that each document has.
+    """
     values = sketched.select("id", "n", F.explode("sketch").alias("value"))
-    often = values.groupBy("value").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
-    shared = values.join(often, "value").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("shared"))
+    often = values.withColumn("often", F.count(F.lit(1)).over(W.partitionBy("value"))).filter("often > 1")
+    shared = often.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("shared"))
     retained = F.least(F.col("n"), F.lit(k)).cast("int")
     alone = retained - F.size("shared")  # the rarest of all: nobody else retains them
     take = retained - _least_common(F.col("n"), k, percent) + 1 - alone
@@ -308,8 +313,8 @@ def near_duplicates(
     for table in (every, equal):
         work.drop(table)
     lists = work.keep(inverted_lists(reps, k, percent), "lists")
-    listed = reps.join(lists.select("id").distinct(), "id", "left_semi").select("id", "doc", "ha", "hb")
-    listed = work.keep(listed, "listed")
+    listed = work.keep(reps.join(lists.select("id").distinct(), "id", "left_semi"), "listed")
+    work.drop(reps)
     sets = full_sets(docs, id, text, listed.select(F.col("doc").alias("id")).distinct(), words)
     sets = work.keep(sets.join(listed.select("id", "ha", "hb"), ["ha", "hb"]).select("id", "shingles").dropDuplicates(["id"]), "sets")
 
@@ -317,7 +322,7 @@ def near_duplicates(
     ends = work.keep(lists.groupBy("value").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high"), "ends")
     to_ends = lists.join(ends, "value").select("id", F.explode(F.array("low", "high")).alias("end"))
     pairs = to_ends.filter("id != end").select(F.least("id", "end").alias("a"), F.greatest("id", "end").alias("b")).distinct()
-    links = work.keep(verified(pairs, reps, sets, k, percent), "links")
+    links = work.keep(verified(pairs, listed, sets, k, percent), "links")
     groups = components(work, links)
 
     # Lists with several components left: first against some nodes of the largest component ...
@@ -328,13 +333,13 @@ def near_duplicates(
     some_of_main = work.keep(some_of_main, "pivots")
     to_main = left.filter("component != main").join(some_of_main, "value").select("id", F.explode("pivots").alias("pivot"))
     pairs = to_main.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-    more = work.keep(verified(pairs, reps, sets, k, percent), "more")
+    more = work.keep(verified(pairs, listed, sets, k, percent), "more")
     links = links.unionByName(more)
     groups = components(work, links)
     # ... then what is still apart, block by block.
     rest = links_apart(work, open_lists(work, lists, groups), sets, k, percent, block)
     groups = components(work, links.unionByName(rest))
-    for table in (reps, lists, listed, sets, ends, some_of_main, more, rest):
+    for table in (lists, listed, sets, ends, some_of_main, more, rest):
         work.drop(table)
 
     found = rows.join(groups.withColumnRenamed("id", "node"), "node", "left")
