@@ -111,22 +111,36 @@ def numbered(
     )
 
 
-def with_previous(df: DataFrame, key: Sequence[str], ts: str, tie: Sequence[str], value: str, name: str) -> DataFrame:
-    """``lag(value)`` per key in ``ts, tie`` order."""
+def change_points(df: DataFrame, key: Sequence[str], ts: str, tie: Sequence[str], value: str, name: str) -> DataFrame:
+    """Rows whose ``value`` differs from that of the row before, per key in ``ts, tie`` order, from one evaluation.
+
+    Adds ``name``, the value before (NULL for a key's first row and after a NULL, which both count
+    as changes), and ``several``: whether the key has more than one value. Each key and hour is
+    folded into a summary (changes inside, last, least and greatest value) where its rows are
+    sorted anyway; the summaries meet along the key. A NULL after a value is no change.
+    """
     rows = df.withColumn("_slot", _slot(df, ts, tie))
-    # The value is wrapped so that "no earlier row" and "earlier NULL" stay apart.
-    last = F.max(F.struct(F.col(ts), *tie, F.struct(value).alias("_last")))["_last"]
-    per_slot = rows.groupBy(*key, "_slot").agg(last.alias("_last"))
-    by_slot = W.partitionBy(*key).orderBy("_slot")
-    per_slot = per_slot.select(*key, "_slot", F.lag("_last").over(by_slot)[value].alias("_carried"))
     inside = W.partitionBy(*key, "_slot").orderBy(F.col(ts), *tie)
-    return (
-        rows.withColumn("_first", F.row_number().over(inside) == 1)
-        .withColumn("_inside", F.lag(value).over(inside))
-        .join(per_slot, [*key, "_slot"])
-        .withColumn(name, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_inside")))
-        .drop("_slot", "_first", "_inside", "_carried")
+    rows = rows.withColumns({"_opens": F.row_number().over(inside) == 1, "_before": F.lag(value).over(inside)})
+    changed = F.col("_opens") | F.col("_before").isNull() | (F.col(value) != F.col("_before"))
+    others = [c for c in df.columns if c not in key]
+    summary = rows.groupBy(*key, "_slot").agg(
+        F.collect_list(F.when(changed, F.struct(*others, "_opens", "_before"))).alias("_changes"),
+        F.max_by(F.struct(value), F.struct(F.col(ts), *tie)).alias("_last"),
+        F.min(value).alias("_low"),
+        F.max(value).alias("_high"),
+    )
+    along, whole = W.partitionBy(*key).orderBy("_slot"), W.partitionBy(*key)
+    summary = summary.select(
+        *key,
+        "_changes",
+        F.lag("_last").over(along)[value].alias("_carried"),
+        F.coalesce(F.min("_low").over(whole) != F.max("_high").over(whole), F.lit(False)).alias("several"),
     )
+    found = summary.select(*key, "several", "_carried", F.inline("_changes"))
+    before = F.when(F.col("_opens"), F.col("_carried")).otherwise(F.col("_before"))
+    found = found.select(*df.columns, before.alias(name), "several")
+    return found.filter((F.col(value) != F.col(name)) | F.col(name).isNull())
 
 
 def last_before(

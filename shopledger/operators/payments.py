@@ -199,13 +199,13 @@ def with_device(blocked: DataFrame) -> DataFrame:
         "_made", F.concat(F.lit("user_"), F.col("payment_intent_id"))
     )
     first = own.groupBy("customer_id").agg(
-        F.min(F.struct("row_no", F.coalesce("_own", "_made").alias("device"))).alias("_first")
+        F.min(F.struct("row_no", F.coalesce("_own", "_made").alias("device")))["device"].alias("_first")
     )
-    rest = own.filter(F.col("_own").isNull()).join(first, "customer_id", "left")
+    # Rows with a device look nothing up: their part of the key matches none and spreads them.
+    looks_up = F.when(F.col("_own").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("row_no"), F.lit(1000))).cast("int")
+    found = own.withColumn("_part", looks_up).join(first.withColumn("_part", F.lit(0)), ["customer_id", "_part"], "left")
     # Rows without a customer share nothing and keep their made-up id.
-    filled = rest.withColumn("device", F.coalesce("_first.device", "_made")).drop("_first")
-    known = own.filter(F.col("_own").isNotNull()).withColumn("device", F.col("_own"))
-    return known.unionByName(filled).drop("_own", "_made")
+    return found.withColumn("device", F.coalesce("_own", "_first", "_made")).drop("_own", "_made", "_first", "_part")
 
 
 def blocked_payments_daily(
@@ -228,7 +228,7 @@ def blocked_payments_daily(
     settled = (
         payments.filter(F.col("status") == "Paid")
         .groupBy(first_word(F.col("description")).alias("initial_id"))
-        .agg(F.min(F.struct("row_no", "amount"))["amount"].alias("paid_amount"), F.lit(True).alias("is_resolved"))
+        .agg(F.min_by("amount", "row_no").alias("paid_amount"), F.lit(True).alias("is_resolved"))
     )
     rows = (
         with_device(blocked)
@@ -238,42 +238,49 @@ def blocked_payments_daily(
         .withColumn("is_resolved", F.coalesce("is_resolved", F.lit(False)))
     )
 
-    per_intent = rows.groupBy("day", "payment_intent_id").agg(
-        F.min(F.struct("row_no", "amount"))["amount"].alias("amount"),
-        F.max("is_resolved").alias("is_resolved"),
-        F.min(F.when(F.col("is_resolved"), F.struct("row_no", "paid_amount")))["paid_amount"].alias("paid_amount"),
+    # Each row counts for its intent and its device on the day, and for its device over all days:
+    # the three groupings are one fold over tagged keys.
+    no_day = F.lit(None).cast("date")
+    tags = F.array(
+        F.struct(F.lit("intent").alias("kind"), F.col("day").alias("on"), F.col("payment_intent_id").alias("key")),
+        F.struct(F.lit("user").alias("kind"), F.col("day").alias("on"), F.col("device").alias("key")),
+        F.struct(F.lit("device").alias("kind"), no_day.alias("on"), F.col("device").alias("key")),
     )
-    intents = per_intent.groupBy("day").agg(
-        F.count("payment_intent_id").alias("blocked_payments"),
-        F.sum("amount").alias("amount_blocked"),
-        F.count_if("is_resolved").alias("payments_resolved"),
-        F.sum("paid_amount").alias("amount_resolved"),
-    )
-    users = (
-        rows.groupBy("day", "device")
-        .agg(F.max("is_resolved").alias("is_resolved"))
-        .groupBy("day")
-        .agg(F.count("device").alias("blocked_users"), F.count_if("is_resolved").alias("users_resolved"))
+    measured = ["row_no", "amount", "is_resolved", "paid_amount", "rule_decision_created"]
+    folded = (
+        rows.select(*measured, F.inline(tags))
+        .groupBy("kind", "on", "key")
+        .agg(
+            F.min_by("amount", "row_no").alias("amount"),
+            F.max("is_resolved").alias("is_resolved"),
+            F.min_by("paid_amount", F.when(F.col("is_resolved"), F.col("row_no"))).alias("paid_amount"),
+            F.min_by("rule_decision_created", "row_no").alias("first_block"),
+        )
     )
-
-    first_block = rows.groupBy("device").agg(F.min(F.struct("row_no", "day", "rule_decision_created")).alias("first"))
-    accounts = customers.filter(F.col("email").isNotNull()).groupBy(F.col("email").alias("device")).agg(F.min("id").alias("customer"))
+    accounts = customers.filter(F.col("email").isNotNull()).groupBy(F.col("email").alias("key")).agg(F.min("id").alias("customer"))
     first_order = sales_orders.groupBy(F.col("customerId").alias("customer")).agg(F.min("createdAt").alias("first_order"))
-    known = accounts.join(first_order, "customer", "left")
-    is_email = F.coalesce(F.col("device").contains("@"), F.lit(False))
-    late = ~F.coalesce(F.col("first_order") < F.col("first.rule_decision_created") - F.expr("interval 1 day"), F.lit(False))
-    new_users = (
-        first_block.join(known, "device", "left")
-        .groupBy(F.col("first.day").alias("day"))
+    known = accounts.join(first_order, "customer", "left").withColumn("kind", F.lit("device"))
+    is_email = F.coalesce(F.col("key").contains("@"), F.lit(False))
+    late = ~F.coalesce(F.col("first_order") < F.col("first_block") - F.expr("interval 1 day"), F.lit(False))
+    intent, user, device = (F.col("kind") == k for k in ("intent", "user", "device"))
+    per_day = (
+        folded.join(known, ["kind", "key"], "left")
+        .groupBy(F.when(device, day_of(F.col("first_block"))).otherwise(F.col("on")).alias("day"))
         .agg(
-            F.count_if(~is_email | F.col("customer").isNull()).alias("outsiders"),
-            F.count_if(is_email & F.col("customer").isNotNull() & late).alias("late"),
+            F.count_if(intent & F.col("key").isNotNull()).alias("blocked_payments"),
+            F.sum(F.when(intent, F.col("amount"))).alias("amount_blocked"),
+            F.count_if(intent & F.col("is_resolved")).alias("payments_resolved"),
+            F.sum(F.when(intent, F.col("paid_amount"))).alias("amount_resolved"),
+            F.count_if(user & F.col("key").isNotNull()).alias("blocked_users"),
+            F.count_if(user & F.col("is_resolved")).alias("users_resolved"),
+            F.count_if(device & (~is_email | F.col("customer").isNull())).alias("outsiders"),
+            F.count_if(device & is_email & F.col("customer").isNotNull() & late).alias("late"),
         )
     )
     counted = F.col("outsiders") + F.col("late")
     if only_listed_days:
         counted = F.when(F.col("outsiders") > 0, counted).otherwise(F.lit(0))
-    new_users = new_users.select("day", counted.alias("new_users_blocked"))
+    per_day = per_day.withColumn("new_users_blocked", counted).drop("outsiders", "late")
     new_orders = (
         orders.filter(F.col("is_first_order") == 1)
         .groupBy(day_of(F.col("created_at")).alias("day"))
@@ -291,9 +298,7 @@ def blocked_payments_daily(
         "new_users_blocked",
         "total_new_users",
     ]
-    stacked = intents
-    for part in (users, new_users, new_orders):
-        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    stacked = per_day.unionByName(new_orders, allowMissingColumns=True)
     daily = (
         stacked.groupBy("day")
         .agg(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shopledger.functions.periods import calendar_days_between, elapsed_days_between, in_period
 from shopledger.functions.scalars import days_as_weeks, every_n_weeks, in_parentheses, percent
-from shopledger.operators.core import latest_two, metric_rows, with_previous
+from shopledger.operators.core import change_points, latest_two, metric_rows
 
 PROGRAM, NO_PROGRAM, EVERYONE = "program", "no_program", "all"
 
@@ -154,28 +154,16 @@ def frequency_changes(
             in_parentheses(F.col("description")).alias("frequency"),
         )
     )
-    changes = with_previous(
+    changes = change_points(
         base, ["subscription_id"], "changed_at", ["renewal_id", "frequency"], "frequency", "previous_frequency"
-    ).filter((F.col("frequency") != F.col("previous_frequency")) | F.col("previous_frequency").isNull())
-    # A subscription's first change is always a change, so "more than one
-    # frequency" means that some billed frequency differs from another one.
-    several = (
-        base.groupBy("subscription_id")
-        .agg(F.min("frequency").alias("_low"), F.max("frequency").alias("_high"))
-        .filter("_low <> _high")
-        .select("subscription_id")
     )
-    return changes.join(several, "subscription_id", "left_semi")
+    return changes.filter("several").drop("several")
 
 
-def frequency_change_summary(
-    changes: DataFrame, windows: DataFrame, keys: Sequence[str] = ("subscription_id",)
-) -> DataFrame:
-    """Windows (by ``keys``) with a frequency change inside, and its size in weeks.
+def recent_frequencies(changes: DataFrame) -> DataFrame:
+    """``subscription_id, dates, difference``: the last date of each frequency, and the step between the latest two.
 
-    ``windows``: the keys, last_ts and second_last_ts. A frequency counts with
-    its last date; only "Every N weeks" counts at all. The difference is that of
-    the subscription's two most recent frequencies.
+    Only "Every N weeks" counts; the frequencies of one subscription are few.
     """
     last_dates = (
         changes.withColumn("weeks", every_n_weeks(F.col("frequency")))
@@ -184,27 +172,32 @@ def frequency_change_summary(
         .agg(F.max("changed_at").alias("changed_at"))
     )
     order = W.partitionBy("subscription_id").orderBy(F.desc("changed_at"), "frequency")
-    recent = (
+    second = F.date_trunc("second", F.col("changed_at")).cast("timestamp_ntz")
+    nth = lambda n: F.max(F.when(F.col("_n") == n, F.col("weeks")))
+    return (
         last_dates.withColumn("_n", F.row_number().over(order))
-        .filter("_n <= 2")
         .groupBy("subscription_id")
-        .agg(
-            F.max(F.when(F.col("_n") == 1, F.col("weeks"))).alias("_latest"),
-            F.max(F.when(F.col("_n") == 2, F.col("weeks"))).alias("_previous"),
-        )
-    )
-    second = F.date_trunc("second", F.col("changed_at")).cast("timestamp_ntz")
-    inside = (
-        last_dates.join(windows, "subscription_id")
-        .filter(second.between(F.col("second_last_ts"), F.col("last_ts")))
-        .select(*keys)
-        .distinct()
-    )
-    return inside.join(recent, "subscription_id").select(
-        *keys, (F.col("_latest") - F.col("_previous")).alias("frequency_change_weeks")
+        .agg(F.collect_list(second).alias("dates"), (nth(1) - nth(2)).alias("difference"))
     )
 
 
+def _changed_inside() -> Column:
+    return F.exists("dates", lambda d: d.between(F.col("second_last_ts"), F.col("last_ts")))
+
+
+def frequency_change_summary(
+    changes: DataFrame, windows: DataFrame, keys: Sequence[str] = ("subscription_id",)
+) -> DataFrame:
+    """Windows (by ``keys``) with a frequency change inside, and its size in weeks.
+
+    ``windows``: the keys, last_ts and second_last_ts. A frequency counts with
+    its last date; only "Every N weeks" counts at all. The difference is that of
+    the subscription's two most recent frequencies.
+    """
+    found = windows.select(*keys, "last_ts", "second_last_ts").join(recent_frequencies(changes), "subscription_id")
+    return found.filter(_changed_inside()).select(*keys, F.col("difference").alias("frequency_change_weeks")).distinct()
+
+
 def renewal_gap_enriched(
     orders: DataFrame,
     sales_orders: DataFrame,
@@ -237,11 +230,11 @@ def renewal_gap_enriched(
         F.col("id").alias("subscription_id"), F.get_json_object("additionalFields", "$.snooze").alias("_snooze")
     ).join(subscriptions_view.select("subscription_id", "legacy_category", "delivery_frequency"), "subscription_id")
     windows = last_two.join(facts, "subscription_id")
-    changed = frequency_change_summary(changes, last_two, keys).withColumn("_changed", F.lit(True))
+    changed = F.coalesce(_changed_inside(), F.lit(False))
     days = calendar_days_between(F.col("last_ts"), F.col("second_last_ts"))
     return (
         windows.join(payment_errors, "subscription_id", "left")
-        .join(changed, keys, "left")
+        .join(recent_frequencies(changes), "subscription_id", "left")
         .select(
             "cohort",
             "subscription_id",
@@ -251,8 +244,8 @@ def renewal_gap_enriched(
             days_as_weeks(F.col("delivery_frequency")).alias("frequency_weeks"),
             F.when(F.trim("_snooze") == "1", F.lit(1)).otherwise(F.lit(0)).alias("snooze"),
             F.coalesce("payment_errors", F.lit(0)).alias("payment_errors"),
-            F.coalesce("_changed", F.lit(False)).alias("frequency_change_in_period"),
-            "frequency_change_weeks",
+            changed.alias("frequency_change_in_period"),
+            F.when(changed, F.col("difference")).alias("frequency_change_weeks"),
         )
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -80,17 +80,84 @@ def combinations(spark: SparkSession, named: Mapping[str, Sequence], columns: Se
     return small_table(spark, {c: [r[i] for r in rows] for i, c in enumerate(names)}, schema)
 
 
-def bundle_repurchase(purchases: DataFrame, bundles: Sequence[Sequence[str]]) -> DataFrame:
-    """The same for orders holding *all* products of a bundle; bundles nobody bought are left out."""
+def product_bits(products: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """``itemId, bits``: the wanted products that an item counts as, bit ``i % 63`` of word ``i // 63`` for product ``i``."""
+    places = {name: i for i, name in enumerate(wanted)}
+    words = [[n for n, i in places.items() if i // 63 == w] for w in range(-(-len(places) // 63))]
+
+    def word(names: Sequence[str]) -> Column:
+        bits = F.lit(0).cast("long")
+        for name in names:
+            bits = F.when(F.col("product_name") == name, F.lit(1 << places[name] % 63)).otherwise(bits)
+        return bits
+
+    listed = products.filter(F.col("product_name").isin(list(wanted)))
+    return listed.groupBy("itemId").agg(*[F.bit_or(word(names)).alias(f"bits_{w}") for w, names in enumerate(words)])
+
+
+def bundle_repurchase(
+    orders: DataFrame,
+    items: DataFrame,
+    products: DataFrame,
+    start: str,
+    end: str,
+    category: str,
+    bundles: Sequence[Sequence[str]],
+    plan: str = "OTO",
+) -> DataFrame:
+    """Per bundle: users, users with it in more than one order, and orders, of those that hold *all* its products.
+
+    Buyers, orders and the category are those of ``product_purchases``; bundles nobody bought are left
+    out. An order is a few words of bits, a customer a few counts: orders and lines are read once.
+    """
     named = {" + ".join(sorted(b)): b for b in bundles}
-    wanted = combinations(purchases.sparkSession, named, ["product_name"])
-    complete = (
-        purchases.join(wanted, "product_name")
-        .groupBy("combination", "size", "customer_id", "id")
-        .agg(F.count(F.lit(1)).alias("found"))
-        .filter(F.col("found") == F.col("size"))
+    wanted = list(dict.fromkeys(p for b in named.values() for p in b))
+    bits = product_bits(products, wanted)
+    words = [c for c in bits.columns if c != "itemId"]
+    per_order = (
+        items.join(bits, "itemId", "left")
+        .groupBy(F.col("salesOrderId").alias("id"))
+        .agg(F.max(F.col("category") == category).alias("_in_category"), *[F.bit_or(w).alias(w) for w in words])
+    )
+
+    def holds(bundle: Sequence[str]) -> Column:
+        masks = [0] * len(words)
+        for product in bundle:
+            place = wanted.index(product)
+            masks[place // 63] |= 1 << place % 63
+        whole = F.col("_in_category")
+        for w, mask in zip(words, masks, strict=True):
+            if mask:
+                whole &= F.col(w).bitwiseAND(F.lit(mask)) == mask
+        return whole
+
+    sold = orders.filter(
+        (F.col("status") != "CANCELLED")
+        & (F.col("order_plan") == plan)
+        & (F.col("recurrent") == 0)
+        & F.col("customer_id").isNotNull()
+    )
+    first = (F.col("is_first_order") == 1) & in_period(F.col("created_at"), start, end, "[]")
+    counts = [f"_n{i}" for i in range(len(named))]
+    per_user = (
+        sold.select("id", "customer_id", first.alias("_first"))
+        .join(per_order, "id")
+        .groupBy("customer_id")
+        .agg(F.max("_first").alias("_buyer"), *[F.count_if(holds(b)).alias(n) for n, b in zip(counts, named.values(), strict=True)])
+        .filter("_buyer")
+    )
+    users = [F.struct(F.lit(name).alias("combination"), F.col(n).alias("orders")) for n, name in zip(counts, named, strict=True)]
+    return (
+        per_user.select(F.inline(F.array(*users)))
+        .filter("orders > 0")
+        .groupBy("combination")
+        .agg(
+            F.count_if(F.col("orders") > 1).alias("repurchasers"),
+            F.count(F.lit(1)).alias("users"),
+            F.sum("orders").alias("orders"),
+        )
+        .withColumn("repurchase_pct", F.round(percent(F.col("repurchasers"), F.col("users")), 2))
     )
-    return _repurchase_table(complete, "combination")
 
 
 def first_order_cohort(

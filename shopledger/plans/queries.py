@@ -408,7 +408,9 @@ def repurchase_sample_size(c: Catalog) -> DataFrame:
 
 @query
 def bundle_repurchase(c: Catalog) -> DataFrame:
-    return repurchase.bundle_repurchase(_purchases(c), BUNDLES)
+    return repurchase.bundle_repurchase(
+        c.table("orders_flagged"), c.table("fact_order_items"), c.table("products"), START, END, "PROMO", BUNDLES
+    )
 
 
 def _cohort(c: Catalog, start: str = START, end: str = END) -> DataFrame:

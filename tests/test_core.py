@@ -39,15 +39,27 @@ def test_numbered_counts_on_over_hours(spark):
     assert {r.key: r.first_v for r in out} == first
 
 
-def test_with_previous_crosses_hours(spark):
-    rows = hot_rows()
-    df = spark.createDataFrame(rows, "id int, key string, ts timestamp_ntz, v string")
-    out = core.with_previous(df, ["key"], "ts", ["id"], "v", "prev").collect()
+def changes_by_hand(rows):
     expected = {}
     for key in {r[1] for r in rows}:
         ordered = sorted((r for r in rows if r[1] == key), key=sort_key)
-        expected |= {r[0]: (ordered[i - 1][3] if i else None) for i, r in enumerate(ordered)}
-    assert {r.id: r.prev for r in out} == expected
+        values = {r[3] for r in ordered if r[3] is not None}
+        before = None
+        for r in ordered:
+            if before is None or (r[3] is not None and r[3] != before):
+                expected[r[0]] = (r[1], r[3], before, len(values) > 1)
+            before = r[3]
+    return expected
+
+
+@pytest.mark.parametrize("values", ["abc", "aaaaaaaab", "a", ["a", "b", None]])
+def test_change_points_cross_hours(spark, values):
+    rng = random.Random(5)
+    rows = [(*r[:3], rng.choice(values)) for r in hot_rows()]
+    df = spark.createDataFrame(rows, "id int, key string, ts timestamp_ntz, v string")
+    out = core.change_points(df, ["key"], "ts", ["id"], "v", "prev")
+    assert {r.id: (r.key, r.v, r.prev, r.several) for r in out.collect()} == changes_by_hand(rows)
+    assert core.change_points(df.limit(0), ["key"], "ts", ["id"], "v", "prev").count() == 0
 
 
 def test_last_before_is_strict_and_takes_the_highest_tie(spark):
@@ -120,5 +132,5 @@ def test_hot_key_without_times_or_with_whole_days(spark, monkeypatch, step):
     out = core.numbered(df, ["key"], "ts", ["id"], "n", ["v"]).collect()
     assert {r.id: r.n for r in out} == {r[0]: i + 1 for i, r in enumerate(ordered)}
     assert {r.first_v for r in out} == {ordered[0][3]}
-    out = core.with_previous(df, ["key"], "ts", ["id"], "v", "prev").collect()
-    assert {r.id: r.prev for r in out} == {r[0]: (ordered[i - 1][3] if i else None) for i, r in enumerate(ordered)}
+    out = core.change_points(df, ["key"], "ts", ["id"], "v", "prev").collect()
+    assert {r.id: (r.key, r.v, r.prev, r.several) for r in out} == changes_by_hand(rows)

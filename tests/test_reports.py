@@ -355,10 +355,11 @@ def test_products_and_bundles(spark):
     rows = [order(1, 1, first=1, plan="OTO"), order(2, 9, plan="OTO"), order(3, 9, customer=2, plan="OTO"), order(4, 9, plan="OTO")]
     i = frame(spark, [(1, "x", "c", 1), (1, "y", "c", 1), (2, "x", "c", 1), (2, "z", "c", 1), (3, "x", "c", 1), (4, "x", "d", 1)], ITEMS)
     names = frame(spark, [("x", "X"), ("y", "Y"), ("z", "Y")], "itemId string, product_name string")
-    bought = repurchase.product_purchases(frame(spark, rows, ORDERS), i, names, "2024-01-01", "2024-01-05", "c")
+    tables = (frame(spark, rows, ORDERS), i, names)
+    bought = repurchase.product_purchases(*tables, "2024-01-01", "2024-01-05", "c")
     out = by(repurchase.product_repurchase(bought), "product_name")
     assert {k: (v.users, v.repurchasers, v.orders, v.repurchase_pct) for k, v in out.items()} == {"X": (1, 1, 2, 100), "Y": (1, 1, 2, 100)}
-    bundles = repurchase.bundle_repurchase(bought, [["Y", "X"], ["X", "Q"]]).collect()
+    bundles = repurchase.bundle_repurchase(*tables, "2024-01-01", "2024-01-05", "c", [["Y", "X"], ["X", "Q"]]).collect()
     assert [(r.combination, r.orders) for r in bundles] == [("X + Y", 2)]
 
 
