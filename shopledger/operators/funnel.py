@@ -10,7 +10,11 @@ from shopledger.functions.scalars import step_name, step_number
 from shopledger.operators.core import with_totals
 
 
-def funnel_steps(wide: DataFrame, funnel: str, day: str = "Day", ignored: tuple[str, ...] = ("Ingreso Active users",)) -> DataFrame:
+#: Columns of an export that are no step.
+IGNORED = ("Ingreso Active users",)
+
+
+def funnel_steps(wide: DataFrame, funnel: str, day: str = "Day", ignored: tuple[str, ...] = IGNORED) -> DataFrame:
     """A wide daily export (one ``"<k>. <step>"`` column per step) as rows of funnel, day, step, users."""
     steps = [c for c in wide.columns if c != day and c not in ignored]
     long = wide.select(day, *[F.col(f"`{c}`").cast("bigint").alias(c) for c in steps]).unpivot(

@@ -1112,3 +1112,15 @@ _add(
         [_tracked(TRACKED_PERIOD, "survey"), _tracked(TRACKED_PERIOD, "addons", 2), _tracked("2002", "addons", 2)]
     ),
 )
+
+# The same tables, read from files or kept in a folder.
+for _name, _same in {
+    "kpi_tracker_store": "kpi_tracker_update",
+    "review_load_twice": "review_load_set",
+    "blocked_payment_files": "blocked_payments_daily",
+    "payment_attempt_file": "payment_recovery_by_card",
+    "funnel_files": "funnel_daily",
+    "review_documents": "verified_reviews",
+    "enriched_review_file": "review_load_set",
+}.items():
+    ORACLE_SQL[_name] = ORACLE_SQL[_same]

@@ -27,7 +27,9 @@ from shopledger.operators import (
 from shopledger.operators.core import small_table
 from shopledger.plans.fixtures import ITEM_TYPES, catalog
 from shopledger.session import tune
+from shopledger.sources import readers, sinks
 from shopledger.sources.catalog import Catalog
+from shopledger.sources.store import StagedCatalog, run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -759,3 +761,104 @@ def kpi_tracker_update(c: Catalog) -> DataFrame:
     fresh = tracker.kpi_tracker(TRACKED_PERIOD, {"addons": corrected})
     fresh = fresh.unionByName(tracker.kpi_tracker("2002", {"addons": corrected}))
     return tracker.tracker_update(known, fresh)
+
+
+# --- stored trackers and loads ------------------------------------------------
+
+
+@query
+def kpi_tracker_store(c: Catalog) -> DataFrame:
+    """The tracker of ``kpi_tracker_update``, kept in a folder: two sections, then a corrected one and a further period."""
+    path = run_folder(c.spark, "tracker")
+    sections = {name: df for name, df in _sections(c).items() if name in ("survey", "addons")}
+    for name, df in sections.items():
+        sinks.write_kpis(tracker.kpi_tracker(TRACKED_PERIOD, {name: df}), path)
+    corrected = sections["addons"].withColumn("value", F.col("value") * 2)
+    for period in (TRACKED_PERIOD, "2002"):
+        sinks.write_kpis(tracker.kpi_tracker(period, {"addons": corrected}), path)
+    return sinks.read_kpis(c.spark, path)
+
+
+@query
+def review_load_twice(c: Catalog) -> DataFrame:
+    """Reviews loaded in part, then all, then all again: each is there once."""
+    path = run_folder(c.spark, "reviews")
+    whole = review_load_set(c)
+    sinks.load_reviews(whole.filter("overall_rating = 5"), path, "five stars")
+    for batch in ("all", "all", None):
+        sinks.load_reviews(whole, path, batch)
+    return sinks.loaded_reviews(c.spark, path).select(*whole.columns)
+
+
+# --- files --------------------------------------------------------------------
+
+
+def _csv(rows: DataFrame, path: str, **options) -> str:
+    """Writes rows in the order of their number, so that file order is that order."""
+    ordered = rows.repartitionByRange("row_no").sortWithinPartitions("row_no").drop("row_no")
+    ordered.write.csv(path, header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **options)
+    return path
+
+
+@query
+def blocked_payment_files(c: Catalog) -> DataFrame:
+    """Blocked payments per day from the two CSV exports."""
+    folder = run_folder(c.spark, "files")
+    blocked = readers.read_blocked_payments(c.spark, _csv(c.table("blocked_payments"), f"{folder}/blocked"))
+    names = {"description": "Description", "status": "Status", "amount": "Amount"}
+    settled = _csv(c.table("processor_payments").withColumnsRenamed(names), f"{folder}/payments")
+    signups = c.table("signup_orders")
+    settled = readers.read_processor_payments(c.spark, settled)
+    return payments.blocked_payments_daily(blocked, settled, c.table("customers"), signups, signups)
+
+
+@query
+def payment_attempt_file(c: Catalog) -> DataFrame:
+    """Recovery by card from a CSV export in Latin-1."""
+    rows = c.table("payment_attempts").withColumn("row_no", F.col("created_utc"))
+    rows = rows.withColumn("created_utc", F.date_format("created_utc", "yyyy-MM-dd HH:mm:ss"))
+    rows = rows.withColumn("note", F.lit("niño")).withColumnsRenamed({v: k for k, v in readers.ATTEMPT_COLUMNS.items()})
+    path = _csv(rows, run_folder(c.spark, "files"), encoding="ISO-8859-1")
+    return payments.payment_recovery_by_card(readers.read_payment_attempts(c.spark, path, "ISO-8859-1"))
+
+
+@query
+def funnel_files(c: Catalog) -> DataFrame:
+    """Daily funnels from one export for each funnel, with headers of their own behind nine lines."""
+    steps = c.table("funnel_steps")
+    title = F.concat(F.col("step_no"), F.lit(". "), F.col("step"))
+    per_day = steps.groupBy("funnel", "day").agg(F.map_from_entries(F.collect_list(F.struct("step_no", "users"))).alias("users"))
+    columns = steps.groupBy("funnel").agg(F.array_sort(F.collect_set(F.struct("step_no", title.alias("title")))).alias("columns"))
+    # One funnel has its steps backwards and a column that is no step.
+    shown = F.when(F.col("funnel") == "low", F.reverse("columns")).otherwise(F.col("columns"))
+    columns = columns.select("funnel", shown.alias("columns"))
+    cells = F.transform("columns", lambda s: F.coalesce(F.try_element_at("users", s["step_no"]).cast("string"), F.lit("")))
+    extra = F.when(F.col("funnel") == "low", F.lit(",Ingreso Active users")).otherwise("")
+    lines = per_day.join(columns, "funnel").groupBy("funnel", "columns").agg(
+        F.array_sort(F.collect_list(F.struct("day", F.concat(F.col("day"), F.lit(","), F.array_join(cells, ",")).alias("line")))).alias("days")
+    )
+    header = F.concat(F.lit("Day,"), F.array_join(F.col("columns")["title"], ","), extra)
+    text = F.concat(F.lit("# export\n" * 9), header, F.lit("\r\n"), F.array_join(F.col("days")["line"], "\r\n"))
+    path = run_folder(c.spark, "files")
+    lines.select("funnel", text.alias("value")).write.partitionBy("funnel").text(path)
+    return funnel.funnel_daily(readers.read_funnel_csv(c.spark, path))
+
+
+@query
+def review_documents(c: Catalog) -> DataFrame:
+    """Verified reviews from JSON documents of up to 500 items each."""
+    items = c.table("reviews").withColumn("shard", F.floor(F.col("feedback.orderId").cast("long") / 500))
+    whole = F.to_json(F.struct(F.collect_list(F.struct("title", "feedback")).alias("itemsList")))
+    path = run_folder(c.spark, "files")
+    items.groupBy("shard").agg(whole.alias("value")).write.partitionBy("shard").text(path)
+    found = readers.read_reviews(c.spark, path)
+    return reviews.verified_reviews(found)
+
+
+@query
+def enriched_review_file(c: Catalog) -> DataFrame:
+    """The load set from an enriched CSV whose column names are written loosely and whose texts run over lines."""
+    rows = reviews.verified_reviews(c.table("reviews")).withColumns({"pros": F.lit('["good"]'), "cons": F.lit(" ")})
+    loose = rows.toDF(*[f" {n.upper()} " for n in rows.columns]).withColumn("row_no", F.xxhash64(F.struct("*")))
+    enriched = readers.read_enriched_reviews(c.spark, _csv(loose, run_folder(c.spark, "files")))
+    return reviews.review_load_set(enriched, SKU_RULES, PICTURES, "https://img.example.com/", "store")

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import csv
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopledger.functions.predicates import require_columns
-from shopledger.operators.funnel import funnel_steps
+from shopledger.functions.scalars import step_name, step_number
+from shopledger.operators.funnel import IGNORED
 
 ATTEMPT_COLUMNS = {
     "Description": "description",
@@ -39,28 +38,39 @@ def read_csv(spark: SparkSession, path: str, required: list[str] = (), encoding:
     return require_columns(df, list(required), path)
 
 
-def read_funnel_csv(spark: SparkSession, path: str, funnel: str, preamble: int = 9) -> DataFrame:
-    """Step rows of a daily funnel export whose header follows ``preamble`` lines.
+def read_funnel_csv(
+    spark: SparkSession, path: str, funnel: str | None = None, preamble: int = 9, day: str = "Day", ignored: tuple[str, ...] = IGNORED
+) -> DataFrame:
+    """Step rows of daily funnel exports whose header follows ``preamble`` lines.
 
-    Such an export has one line per day, so a file is one short text. All files
-    of ``path`` must have the same header.
+    Such an export has one line per day, so a file is one short text. Every file of ``path`` has a
+    header, and steps, of its own. Without ``funnel`` a file's funnel is its ``funnel=<name>`` folder,
+    else its name up to the first dot.
     """
-    texts = spark.read.text(path, wholetext=True)
-    lines = F.split("value", "\r?\n")
-    headers = texts.select(F.get(lines, F.lit(preamble)).alias("header")).distinct().take(2)
-    if len(headers) != 1 or headers[0]["header"] is None:
-        raise ValueError(f"{path}: expected one header after {preamble} lines, found {[h['header'] for h in headers]}")
-    names = next(csv.reader([headers[0]["header"]]))
-    fields = [f"c{i}" for i in range(len(names))]
-    schema = ", ".join(f"{f} string" for f in fields)
-    rows = (
-        texts.select(F.explode(F.slice(lines, preamble + 2, F.size(lines))).alias("line"))
-        .filter(F.trim("line") != "")
-        .select(F.from_csv("line", schema).alias("row"))
-        .select("row.*")
-        .toDF(*names)
-    )
-    return funnel_steps(rows, funnel)
+    texts = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    place = F.col("_metadata.file_path")
+    folder = F.regexp_extract(place, "/funnel=([^/]*)/[^/]*$", 1)
+    name = F.lit(funnel) if funnel else F.when(folder != "", folder).otherwise(F.regexp_extract(place, "([^/.]*)[^/]*$", 1))
+    files = texts.select(name.alias("funnel"), place.alias("file"), F.split("value", "\r?\n").alias("lines"))
+    files = files.withColumn("header", F.get("lines", F.lit(preamble)))
+    # The width bounds the number of cells of a line; one number for all files.
+    seen = files.agg(F.max(F.size(F.split("header", ","))).alias("width"), F.count_if(F.col("header").isNull()).alias("bad")).first()
+    if seen["bad"] or seen["width"] is None:
+        raise ValueError(f"{path}: no header after {preamble} lines")
+    cells = [f"c{i}" for i in range(seen["width"])]
+    schema = ", ".join(f"{c} string" for c in cells)
+
+    def parsed(line: Column) -> Column:
+        row = F.from_csv(line, schema)
+        return F.array(*[row[c] for c in cells])
+
+    rows = files.select("funnel", parsed(F.col("header")).alias("names"), F.explode(F.slice("lines", preamble + 2, F.size("lines"))).alias("line"))
+    rows = rows.filter(F.trim("line") != "").select("funnel", "names", parsed(F.col("line")).alias("cells"))
+    of_day = F.get("cells", (F.array_position("names", day) - 1).cast("int"))
+    long = rows.select("funnel", of_day.cast("int").alias("day"), F.inline(F.arrays_zip(F.col("names").alias("column"), F.col("cells").alias("users"))))
+    long = long.filter(F.col("column").isNotNull() & ~F.col("column").isin(day, *ignored))
+    step = F.col("column")
+    return long.select("funnel", "day", step_number(step).alias("step_no"), step_name(step).alias("step"), F.col("users").cast("bigint").alias("users"))
 
 
 def read_blocked_payments(spark: SparkSession, path: str) -> DataFrame:
