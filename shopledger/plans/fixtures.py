@@ -86,7 +86,7 @@ def fact_orders(c: Catalog) -> DataFrame:
         .groupBy(F.col("l_orderkey").alias("id"))
         .agg(F.sum(F.col("l_quantity").cast("int")).cast("int").alias("units"))
     )
-    return orders_flagged(c).join(units, "id", "left")
+    return c.table("orders_flagged").join(units, "id", "left")
 
 
 def _item() -> Column:

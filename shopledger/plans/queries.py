@@ -684,11 +684,25 @@ def review_load_set(c: Catalog) -> DataFrame:
 # --- trackers -----------------------------------------------------------------
 
 
+def _staged(c: Catalog, names: dict[str, list[str] | None], **built: Callable[[Catalog], DataFrame]) -> Catalog:
+    """The catalog of one report run, with tables (or those ``built`` from it) that are written once and read often."""
+    base = Catalog(c.spark, c.base, {**c.builders, **built}, c.reader, c.options)
+    return StagedCatalog(base, run_folder(c.spark, "stage"), {**names, **dict.fromkeys(built)})
+
+
+def _master_reasons(c: Catalog) -> DataFrame:
+    return c.table("orders").select(F.concat(F.lit(" "), F.upper("o_orderpriority")).alias("second")).distinct()
+
+
 @query
 def tracker_merge(c: Catalog) -> DataFrame:
-    """The three sheets of the master: answers, reasons by segment, reasons by item with loosely written names."""
+    """The three sheets of the master: answers, reasons by segment, reasons by item with loosely written names.
+
+    The cancellations of both reason sheets are one stage table, as is the master's list of reasons.
+    """
     spark = c.spark
-    reasons = c.table("orders").select(F.concat(F.lit(" "), F.upper("o_orderpriority")).alias("second")).distinct()
+    stage = _staged(c, {}, cancelled=_cancelled, master_reasons=_master_reasons)
+    reasons = stage.table("master_reasons")
 
     def every_reason(names: list[str]) -> DataFrame:
         return reasons.withColumn("first", F.explode(F.array(*[F.lit(n) for n in names])))
@@ -697,10 +711,10 @@ def tracker_merge(c: Catalog) -> DataFrame:
     answers = small_table(spark, {"first": [p[0] for p in pairs], "second": [p[1] for p in pairs]}, "first string, second string")
     answered = repurchase.repurchase_by_answer(_answers(c), SKIPPED_VARIABLES)
     answered = answered.select(F.col("variable").alias("first"), F.col("value").alias("second"), _percent_text("repurchase_pct"))
-    by_segment = cancellations.cancel_by_reason_segment(_cancelled(c), SEGMENTS)
+    by_segment = cancellations.cancel_by_reason_segment(stage.table("cancelled"), SEGMENTS)
     cells = [F.struct(F.lit(n).alias("first"), _percent_text(f"{n}_pct")) for n in SEGMENTS]
     by_segment = by_segment.select(F.col("reason").alias("second"), F.inline(F.array(*cells)))
-    by_item = cancellations.cancel_by_reason_item(_cancelled(c), LISTED_ITEMS, SEGMENTS).filter("segment = 'all'")
+    by_item = cancellations.cancel_by_reason_item(stage.table("cancelled"), LISTED_ITEMS, SEGMENTS).filter("segment = 'all'")
     by_item = by_item.select(
         F.concat(F.lit("item-"), "item_id").alias("first"), F.col("reason").alias("second"), _percent_text("share_pct")
     )
@@ -747,9 +761,14 @@ ORDER_MEASURES = ["revenue", "orders", "valid_items", "avg_items", "avg_value"]
 UPSIZE_MEASURES = ["base_orders", "upsized_orders", "pieces"]
 
 
+#: Inputs that several sections of the tracker read.
+TRACKER_INPUTS = {"orders_flagged": None, "fact_order_items": None, "order_items": None, "subscriptions": None}
+
+
 @query
 def kpi_tracker(c: Catalog) -> DataFrame:
-    return tracker.kpi_tracker(TRACKED_PERIOD, _sections(c))
+    """All sections over inputs that are staged once for the month."""
+    return tracker.kpi_tracker(TRACKED_PERIOD, _sections(_staged(c, TRACKER_INPUTS)))
 
 
 @query

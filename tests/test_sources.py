@@ -30,6 +30,25 @@ def test_funnel_export_with_preamble(spark, tmp_path):
     }
 
 
+def test_funnel_exports_with_headers_of_their_own(spark, tmp_path):
+    start = ["# comment"] * 9
+    write(tmp_path / "one.csv", "\n".join([*start, "Day,1. View,2. Cart", "1,10,5"]))
+    write(tmp_path / "two.export.csv", "\n".join([*start, "3. Buy,Day", "7,2", " ", "8,3", ""]))
+    (tmp_path / "funnel=three").mkdir()
+    write(tmp_path / "funnel=three" / "part-0.csv", "\r\n".join([*start, 'Day,"1. A, b",Ingreso Active users', "4,9,1"]))
+    steps = readers.read_funnel_csv(spark, str(tmp_path))
+    assert {(r.funnel, r.day, r.step_no, r.step, r.users) for r in steps.collect()} == {
+        ("one", 1, 1, "View", 10),
+        ("one", 1, 2, "Cart", 5),
+        ("two", 2, 3, "Buy", 7),
+        ("two", 3, 3, "Buy", 8),
+        ("three", 4, 1, "A, b", 9),
+    }
+    write(tmp_path / "short.csv", "only this line")
+    with pytest.raises(ValueError):
+        readers.read_funnel_csv(spark, str(tmp_path))
+
+
 def test_payment_files(spark, tmp_path):
     blocked = write(
         tmp_path / "b.csv",
@@ -65,7 +84,7 @@ def test_reviews_load_all_or_nothing(spark, tmp_path):
     sinks.load_reviews(good, target)
     with pytest.raises(ValueError):
         sinks.load_reviews(review_load_set(enriched(spark, tmp_path, "x"), [], {}, "", "me"), target)
-    assert spark.read.parquet(target).count() == 1
+    assert sinks.loaded_reviews(spark, target).count() == 1
 
 
 def test_reports_and_kpis_are_replaced(spark, tmp_path):
@@ -79,4 +98,4 @@ def test_reports_and_kpis_are_replaced(spark, tmp_path):
     two = spark.createDataFrame([("m", 2.0)], "metric string, value double")
     for period, table in (("p", one), ("q", one), ("p", two)):
         sinks.write_kpis(kpi_tracker(period, {"s": table}), path)
-    assert {(r.period, r.value) for r in spark.read.parquet(path).collect()} == {("p", 2.0), ("q", 1.0)}
+    assert {(r.period, r.value) for r in sinks.read_kpis(spark, path).collect()} == {("p", 2.0), ("q", 1.0)}
