@@ -12,7 +12,7 @@ tasks as they lie in the table; within a task a bounded slice of documents is wo
   with the same word, so the ``n / q`` neighbours on each grid, ``n log n`` in all, are enough:
   extended to both sides they give every run. Of the periods of one stretch the least is kept.
 
-Nothing crosses documents, so there is no shuffle at all. Memory is in proportion to a slice of 1 MB
+Nothing crosses documents, so there is no shuffle at all. Memory is in proportion to a slice of 256 KB
 or to the longest single text.
 """
 
