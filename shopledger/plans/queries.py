@@ -860,7 +860,8 @@ def funnel_files(c: Catalog) -> DataFrame:
     text = F.concat(F.lit("# export\n" * 9), header, F.lit("\r\n"), F.array_join(F.col("days")["line"], "\r\n"))
     path = run_folder(c.spark, "files")
     lines.select("funnel", text.alias("value")).write.partitionBy("funnel").text(path)
-    return funnel.funnel_daily(readers.read_funnel_csv(c.spark, path))
+    # A blank cell stands for a step that the table has no row for on that day.
+    return funnel.funnel_daily(readers.read_funnel_csv(c.spark, path).filter("users is not null"))
 
 
 @query
