@@ -87,7 +87,8 @@ def sampled_texts(
     so it is broadcast and no text is shuffled. Only labels whose document exists give a row.
     """
     chosen = bounded_sample(labelled_ids(labels, id, label, train), "label", "id", per_label)
-    return docs.join(F.broadcast(chosen), docs[id] == chosen["id"]).select(docs[text].alias("text"), "label")
+    texts = docs.select(F.col(id).alias("_sample_id"), F.col(text).alias("text"))
+    return texts.join(F.broadcast(chosen), F.col("_sample_id") == F.col("id")).select("text", "label")
 
 
 def with_scores(

@@ -139,13 +139,13 @@ def mix_sources(
         level, depth = rest, depth + 1
     by_draw = (_uniform(F.col("unit.key"), F.lit(seed - 1)) < F.col("unit.p")).cast("int")
     decided.append(rest.select(F.col("unit.key").alias("key"), by_draw.alias("extra")))
-    extras = reduce(DataFrame.unionByName, decided).filter("extra > 0").select(F.col("key").alias("_key"), "extra")
+    extras = reduce(DataFrame.unionByName, decided).filter("extra > 0").select(F.col("key").alias("_key"), F.col("extra").alias("_mix_extra"))
 
     marked = docs.select(*own, size.alias("size"), key.alias("_key")).join(extras, "_key", "left")
     per_source = targets.select(F.col("source").alias("_source"), "source_size", "target")
     marked = marked.join(per_source, F.col(source).eqNullSafe(F.col("_source")), "left")
     whole = F.when(F.col("source_size") > 0, F.floor(F.try_divide("target", "source_size") + _EPS)).otherwise(0)
-    copies = (whole + F.coalesce("extra", F.lit(0))).cast("long")
+    copies = (whole + F.coalesce("_mix_extra", F.lit(0))).cast("long")
     marked = marked.withColumn("copies", copies).withColumn("taken", F.col("size") * F.col("copies"))
     return marked.select(*own, "size", "source_size", "target", "copies", "taken")
 

@@ -181,9 +181,9 @@ def remove_repeats(
     """
     added = ["n_words", "n_removed", "spans", "kept_sha256"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    found = repeats(docs, id, text, span, anchor).withColumnRenamed("id", "_repeat_id")
+    found = repeats(docs, id, text, span, anchor).withColumnsRenamed({"id": "_repeat_id", "places": "_repeat_places"})
     rows = docs.select(*keep, F.col(id).cast("long").alias("_doc"), F.col(text).alias("_whole"))
-    rows = rows.join(found, F.col("_doc") == F.col("_repeat_id"), "left").select(*keep, "_whole", "places")
+    rows = rows.join(found, F.col("_doc") == F.col("_repeat_id"), "left").select(*keep, "_whole", "_repeat_places")
     types = {c: docs.schema[c].dataType.simpleString() for c in keep}
     schema = ", ".join([f"`{c}` {t}" for c, t in types.items()])
     schema += ", n_words bigint, n_removed bigint, spans array<struct<from:int,to:int>>, kept_sha256 string"

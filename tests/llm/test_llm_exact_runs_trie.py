@@ -7,8 +7,9 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from shopledger.llm import conversations, exact, queries, runs
+from shopledger.llm import conversations, exact, fitting, mixing, queries, runs, substrings
 from shopledger.llm.radix import Direct, Indexed, RadixTree, Sorted
 from shopledger.llm.workspace import Workspace
 
@@ -354,3 +355,19 @@ def test_trie_empty(spark):
     got = conversations.conversation_trie(table(spark, []))
     assert got.count() == 0 and got.columns[0] == "conv_id"
     assert conversations.conversation_trie(table(spark, [(None, 1, "a", "b")])).count() == 0
+
+
+# --- clashing names ---------------------------------------------------------------------------
+
+
+def test_columns_named_like_internal_ones(spark):
+    passage = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, f"{passage} {i}" if i % 2 else f"bad words {i} here", "en", "a", 9, 9, 9) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, label int, places int, extra int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    texts = fitting.sampled_texts(docs, labels, "doc_id", "text", "quality", F.lit(True), 100)
+    assert texts.columns == ["text", "label"] and texts.count() == 40
+    cut = substrings.remove_repeats(docs)
+    assert {(r["label"], r["places"], r["extra"]) for r in cut.collect()} == {(9, 9, 9)}
+    mixed = mixing.mix_sources(docs)
+    assert {r["extra"] for r in mixed.collect()} == {9} and mixed.count() == 40
