@@ -1,18 +1,19 @@
-"""Embedding near-dedup by passes of centred random keys.
-
-Equal vectors are one from the start. In each pass vectors get keys of random hashes, one hash after
-another: the members of a range (all vectors at first, then those of one key) are taken relative to
-the mean of the range, rotated at random, and each gets the axis it is closest to (with its sign). A
-range of more than ``window`` vectors gets further hashes, centred anew, until it fits, so the length
-of a key follows the number of rows, and a hot topic or a common direction of all vectors is spread
-like any other data. Vectors centred on their mean never agree in a hash all together, so this ends;
-vectors at the mean itself are dealt by a hash of their id and the pass. In each range that fits all
-pairs are compared, and those with a cosine of at least ``cosine`` are links. Passes differ in their
-rotations, and their number grows with the rows; components of the links of all passes are the groups.
-Tables of up to ``window`` vectors are compared whole.
-
-Ranges are split by Spark down to ``TASK_ROWS`` vectors (the means of the larger ones go through the
-driver) and inside a task from there on.
+"""Embedding near-dedup by sorted passes over random hashes.
+
+Equal vectors are one from the start. In each pass every vector gets a key, the concatenation of
+random hashes: it is taken relative to a centre, rotated at random, and each hash is the axis it is
+then closest to (with its sign). Spark sorts the table by these keys in lexicographic order, and each
+vector is compared with at least the next ``window`` ones; those with a cosine of at least ``cosine``
+are links. Passes differ in their rotations, and their number grows with the rows; components of the
+links of all passes are the groups.
+
+Centres follow the data, so that a hot topic or a common direction of all vectors is spread like any
+other data: a tree is fitted on a bounded sample (``fit_rows`` vectors drawn by a hash of the id), in
+which the members of a range are centred on their mean and hashed, again and again while the whole
+table is expected to put more than ``window`` vectors into the range and the sample still has
+``FIT_LEAST`` of them. ``TAIL`` further hashes order what a range of the tree holds, and vectors that
+still agree are ordered by a hash of their id and the pass. The sample only shapes keys: all vectors
+are sorted and compared, and what fits one window is compared whole.
 
 A window bounds what a pass compares, not what is counted: the number of links of a vector is taken
 among all members of its component, in blocks of pairs of at most about ``block`` vectors, so that
@@ -23,11 +24,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,9 +45,14 @@ PASSES_UP_TO = 20_000  # vectors; beyond, passes grow with the power GROWTH of t
 GROWTH = 0.35
 WINDOW = 1024
 AXES = 64
-TASK_ROWS = 4096
+FIT_ROWS = 16_384
+FIT_VALUES = 1 << 22  # numbers in the sample: fewer vectors if they are long
+FIT_LEAST = 48
+DEPTH = 16  # hashes of the tree at most
+TAIL, TAIL_AXES = 12, 4
+STRIPE = 4  # windows in one task's group
 TOGETHER = 8  # passes at once, fewer from 6 million vectors on
-_CELL, _TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_TURN = np.uint64(0xD6E8FEB86659FD93)
 
 
 @lru_cache(maxsize=256)
@@ -60,96 +69,80 @@ def passes_for(rows: int, passes: int = PASSES) -> int:
     return math.ceil(passes * max(1.0, rows / PASSES_UP_TO) ** GROWTH)
 
 
-def cells(x: np.ndarray, ids: np.ndarray, mean: np.ndarray, rows: int, turn: int, depth: int, window: int) -> np.ndarray:
-    """The next hash of members of a range of ``rows`` vectors."""
-    axes = min(max(math.ceil(rows / window), 2), AXES)
-    moved = x - mean
-    along = moved @ _rotation(x.shape[1], turn, depth, axes)
-    best = np.abs(along).argmax(axis=1)
-    out = 2 * best + (along[np.arange(len(best)), best] > 0)
-    same = np.flatnonzero(np.einsum("ij,ij->i", moved, moved) < 1e-20)
-    salt = np.uint64((turn << 16) + depth + 1)
-    out[same] = mix(ids[same].astype(np.uint64) ^ mix(np.full(len(same), salt) * _TURN)) % np.uint64(2 * axes)
-    return out
+@dataclass
+class Centre:
+    """The mean of a range, the axes of its hash (0: not hashed), the ranges of its cells."""
+
+    mean: np.ndarray
+    axes: int = 0
+    inside: dict[int, Centre] = field(default_factory=dict)
 
 
-def leaves(x: np.ndarray, ids: np.ndarray, turn: int, window: int) -> Iterator[np.ndarray]:
-    """The rows of each range of at most ``window`` vectors of one pass; single rows are left out."""
-    todo = [(np.arange(len(x)), 1 << 8)]  # depths that Spark has not used
+def _cells(x: np.ndarray, at: Centre, turn: int, depth: int) -> np.ndarray:
+    along = (x - at.mean) @ _rotation(x.shape[1], turn, depth, at.axes)
+    best = np.abs(along).argmax(axis=1)
+    return 2 * best + (along[np.arange(len(best)), best] > 0)
+
+
+def fit(sample: np.ndarray, scale: float, turn: int, window: int, depth: int = 0) -> Centre:
+    """The tree of a pass; each vector of ``sample`` stands for ``scale`` vectors of the table."""
+    at = Centre(sample.mean(axis=0))
+    if len(sample) < FIT_LEAST or len(sample) * scale <= window or depth == DEPTH:
+        return at
+    at.axes = min(max(math.ceil(len(sample) * scale / window), 2), AXES)
+    cell = _cells(sample, at, turn, depth)
+    for c in np.unique(cell).tolist():
+        # The mean of a few says little: their range keeps the centre above.
+        own = sample[cell == c]
+        at.inside[c] = fit(own, scale, turn, window, depth + 1) if len(own) >= FIT_LEAST // 2 else Centre(at.mean)
+    return at
+
+
+def sort_keys(x: np.ndarray, ids: np.ndarray, tree: Centre | None, turn: int) -> np.ndarray:
+    """A row of bytes for each vector: the hashes of the tree, those of the tail, a tie-break."""
+    out = np.zeros((len(x), DEPTH + TAIL), np.uint8)
+    moved = x.copy()
+    todo = [(np.arange(len(x)), tree, 0)] if tree is not None else []
     while todo:
-        rows, depth = todo.pop()
-        if len(rows) <= window:
-            if len(rows) > 1:
-                yield rows
+        rows, at, depth = todo.pop()
+        if not at.axes:
+            moved[rows] -= at.mean
             continue
-        own = x[rows]
-        cell = cells(own, ids[rows], own.mean(axis=0), len(rows), turn, depth, window)
+        cell = _cells(x[rows], at, turn, depth)
+        out[rows, depth] = cell + 1
         order = np.argsort(cell, kind="stable")
-        todo += [(part, depth + 1) for part in np.split(rows[order], np.flatnonzero(np.diff(cell[order])) + 1)]
+        borders = np.flatnonzero(np.diff(cell[order])) + 1
+        for part in np.split(order, borders):
+            todo.append((rows[part], at.inside.get(int(cell[part[0]])) or Centre(at.mean), depth + 1))
+    along = moved @ _rotation(x.shape[1], turn, DEPTH, TAIL * TAIL_AXES)
+    along = along.reshape(len(x), TAIL, TAIL_AXES)
+    best = np.abs(along).argmax(axis=2)
+    out[:, DEPTH:] = 2 * best + (np.take_along_axis(along, best[:, :, None], 2)[:, :, 0] > 0)
+    out[np.einsum("ij,ij->i", moved, moved) < 1e-20, DEPTH:] = 0
+    ties = mix(ids.astype(np.uint64) ^ mix(np.full(len(ids), turn + 1, np.uint64) * _TURN))
+    return np.hstack([out, ties.astype(">u8").view(np.uint8).reshape(-1, 8)])
 
 
 def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(-1, dimension)
 
 
-def _parts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """Slices of rows with vectors (column ``at``) of one dimension, and their unit vectors."""
-    for batch in batches:
-        sizes = np.diff(batch.column(at).offsets.to_numpy())
-        for dimension in np.unique(sizes):
-            rows = batch.take(pa.array(np.flatnonzero(sizes == dimension)))
-            for low in range(0, rows.num_rows, 4096):
-                part = rows.slice(low, 4096)
-                yield part, unit(_matrix(part.column(at), int(dimension)))
-
-
-def _ranges(part: pa.RecordBatch) -> np.ndarray:
-    """The keys (last column, a list) of each row in each pass."""
-    return np.asarray(part.column(part.num_columns - 1).flatten()).reshape(part.num_rows, -1)
-
-
-Range = tuple[int, int, int]  # pass, dimension, key
-
-
-def _summed(large: set[Range], low: int):
-    """The sums of the unit vectors of each large range."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[Range, np.ndarray] = {}
-        for part, x in _parts(batches, 1):
-            keys = _ranges(part)
-            for t in range(keys.shape[1]):
-                found, where = np.unique(keys[:, t], return_inverse=True)
-                for i, key in enumerate(found.tolist()):
-                    own = (low + t, x.shape[1], key)
-                    if own in large:
-                        sums[own] = sums.get(own, 0.0) + x[where == i].sum(axis=0)
-        if sums:
-            heads = [pa.array(c) for c in zip(*sums, strict=True)]
-            heads = [heads[0].cast(pa.int32()), heads[1].cast(pa.int32()), heads[2]]
-            yield pa.RecordBatch.from_arrays([*heads, pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["turn", "dimension", "key", "total"])
-
-    return run
-
-
-def _split(means: dict[Range, tuple[int, np.ndarray]], low: int, depth: int, window: int):
-    """Longer keys of the members of the ranges in ``means``; other keys stay."""
+def _keyed(trees: list[dict[int, Centre]], low: int):
+    """Rows ``turn, dimension, key, id`` of the passes from ``low`` on, one tree for each dimension in the sample."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, x in _parts(batches, 1):
-            keys, ids = _ranges(part).copy(), part.column(0).to_numpy()
-            for t in range(keys.shape[1]):
-                found, where = np.unique(keys[:, t], return_inverse=True)
-                for i, key in enumerate(found.tolist()):
-                    n, mean = means.get((low + t, x.shape[1], key), (0, None))
-                    if n:
-                        rows = np.flatnonzero(where == i)
-                        cell = cells(x[rows], ids[rows], mean, n, low + t, depth, window)
-                        longer = mix(np.full(len(rows), key, np.int64).view(np.uint64) ^ mix((cell + 1).astype(np.uint64) * _CELL))
-                        keys[rows, t] = longer.view(np.int64)
-            offsets = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * keys.shape[1])
-            lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], names=["id", "vector", "keys"])
+        for batch in batches:
+            sizes = np.diff(batch.column(1).offsets.to_numpy())
+            for dimension in np.unique(sizes).tolist():
+                rows = batch.take(pa.array(np.flatnonzero(sizes == dimension)))
+                for start in range(0, rows.num_rows, 16_384):
+                    part = rows.slice(start, 16_384)
+                    x, ids = unit(_matrix(part.column(1), dimension)), part.column(0).to_numpy()
+                    for t, own in enumerate(trees):
+                        keys = sort_keys(x, ids, own.get(dimension), low + t)
+                        keys = pa.FixedSizeBinaryArray.from_buffers(pa.binary(keys.shape[1]), len(keys), [None, pa.py_buffer(keys.tobytes())])
+                        heads = [pa.array(np.full(len(x), v, np.int32)) for v in (low + t, dimension)]
+                        yield pa.RecordBatch.from_arrays([*heads, keys.cast(pa.binary()), part.column(0)], names=["turn", "dimension", "key", "id"])
 
     return run
 
@@ -194,17 +187,23 @@ def _grouped(batches: Iterator[pa.RecordBatch], work: Callable[[pa.Table], pa.Re
 
 
 def _compared(cosine: float, window: int):
-    """Links within the ranges of one key, rows sorted by (turn, dimension, key); enough to connect the same."""
+    """Links of neighbours in the order of one pass, rows sorted by place; enough to connect the same."""
 
     def links(group: pa.Table) -> pa.RecordBatch:
-        turn, dimension = group.column("turn")[0].as_py(), group.column("dimension")[0].as_py()
-        ids = group.column("id").to_numpy()
-        x = unit(_matrix(group.column("vector").combine_chunks(), dimension))
+        ids, places = group.column("id").to_numpy(), group.column("place").to_numpy()
+        x = unit(_matrix(group.column("vector").combine_chunks(), group.column("dimension")[0].as_py()))
+        until = (group.column("stripe")[0].as_py() + 1) * STRIPE * window  # what follows starts in the next stripe
         out = []
-        for rows in leaves(x, ids, turn, window):
-            close = x[rows] @ x[rows].T >= cosine
-            np.fill_diagonal(close, False)
-            out += [(ids[rows[a]], ids[rows[b]]) for a, b in _spanning(close)]
+        for low in range(0, int((places < until).sum()), window):
+            around = slice(low, low + 2 * window)
+            own = x[low : low + window]
+            near = own @ x[around].T >= cosine
+            near[np.arange(len(own)), np.arange(len(own))] = False
+            if near.any():
+                close = np.zeros((near.shape[1],) * 2, bool)
+                close[: len(own)] = near
+                close |= close.T
+                out += [(ids[low + a], ids[low + b]) for a, b in _spanning(close)]
         a, b = zip(*out, strict=True) if out else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -232,47 +231,47 @@ def _counted(cosine: float):
     return lambda batches: _grouped(batches, links)
 
 
-def _links(work: Workspace, classes: DataFrame, cosine: float, passes: int, window: int) -> list[DataFrame]:
+def _sample(classes: DataFrame, fit_rows: int) -> tuple[int, float, dict[int, np.ndarray]]:
+    """The number of vectors, how many one of the sample stands for, the sample by dimension."""
+    size = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("longest")).first()
+    rows = min(fit_rows, FIT_VALUES // (size["longest"] or 1))
+    share = min(1.0, rows / max(size["n"], 1))
+    drawn = classes.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < int(share * (1 << 40))).select("vector").toArrow()
+    vectors = drawn.column("vector").combine_chunks()
+    sizes = pc.list_value_length(vectors).to_numpy()
+    found = {d: unit(_matrix(vectors.take(pa.array(np.flatnonzero(sizes == d))), d)) for d in np.unique(sizes).tolist()}
+    return size["n"], 1 / share, found
+
+
+def _links(work: Workspace, classes: DataFrame, cosine: float, passes: int, window: int, fit_rows: int) -> list[DataFrame]:
     """Tables ``a, b`` of the links that the passes find between the rows ``id, vector``."""
-    by_size = classes.groupBy(F.size("vector").alias("dimension")).agg(F.count(F.lit(1)).alias("n")).collect()
-    rows = {r["dimension"]: r["n"] for r in by_size}
-    most = max(rows.values(), default=0)
-    passes = passes_for(most, passes) if most > window else 1
-    limit = max(window, TASK_ROWS)
-    together = max(1, min(TOGETHER, 50_000_000 // max(most, 1)))
-    several = [d for d, n in rows.items() if n > window]
-    dimension = F.size("vector").cast("long")
-    root_sums: dict[tuple[int, int], np.ndarray] = {}
+    n, scale, sample = _sample(classes, fit_rows)
+    passes = passes_for(n, passes)
+    together = max(1, min(TOGETHER, 50_000_000 // max(n, 1)))
+    order = ["turn", "dimension", "key", "id"]
+    row = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    width = STRIPE * window
     found = []
     for low in range(0, passes, together):
-        turns = min(together, passes - low)
-        # A dimension with few vectors is compared whole in the first pass.
-        state = classes.select("id", "vector", F.array_repeat(dimension, turns).alias("keys"))
-        sizes = {(low + t, d, d): n for d, n in rows.items() if n > limit for t in range(turns)}
-        depth = 0
-        while sizes:
-            if depth or not root_sums:
-                wanted = set(sizes) if depth else {k for k in sizes if k[0] == low}
-                sums = state.mapInArrow(_summed(wanted, low), "turn int, dimension int, key bigint, total binary")
-                sums = sums.groupBy("turn", "dimension", "key").agg(F.array_sort(F.collect_list("total")).alias("totals")).collect()
-                sums = {(r["turn"], r["dimension"], r["key"]): np.sum([np.frombuffer(b) for b in r["totals"]], axis=0) for r in sums}
-                if not depth:
-                    root_sums = {k[1:]: v for k, v in sums.items()}
-            means = {k: (n, (sums[k] if depth else root_sums[k[1:]]) / n) for k, n in sizes.items()}
-            longer = work.keep(state.mapInArrow(_split(means, low, depth, window), state.schema), "keys")
-            if depth:
-                work.drop(state)
-            state, depth = longer, depth + 1
-            each = state.select(F.size("vector").alias("dimension"), F.posexplode("keys").alias("turn", "key"))
-            large = each.groupBy("turn", "dimension", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit)
-            sizes = {(low + r["turn"], r["dimension"], r["key"]): r["n"] for r in large.collect()}
-        ranged = state.select(F.posexplode("keys").alias("turn", "key"), "id", "vector")
-        ranged = ranged.select((F.col("turn") + low).alias("turn"), F.size("vector").alias("dimension"), "key", "id", "vector")
-        ranged = ranged.filter((F.col("turn") == 0) | F.col("dimension").isin(several))
-        ranged = ranged.repartition("turn", "dimension", "key").sortWithinPartitions("turn", "dimension", "key", "id")
-        found.append(work.keep(ranged.mapInArrow(_compared(cosine, window), "a bigint, b bigint"), "links"))
-        if depth:
-            work.drop(state)
+        turns = range(low, min(low + together, passes))
+        trees = [{d: fit(x, scale, t, window) for d, x in sample.items()} for t in turns]
+        keyed = classes.mapInArrow(_keyed(trees, low), "turn int, dimension int, key binary, id bigint")
+        by_key = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+        # The upper bits of ``at`` are the range of keys, the lower ones the row in it.
+        by_key = work.keep(by_key.select("turn", "dimension", "id", F.monotonically_increasing_id().alias("at")), "order")
+        ranges = by_key.groupBy(F.shiftright("at", 33).alias("range")).agg(F.count(F.lit(1)).alias("n"))
+        # One row for each task of the sort.
+        before = F.sum("n").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1))
+        ranges = ranges.select("range", F.coalesce(before, F.lit(0)).alias("before"))
+        placed = by_key.withColumn("range", F.shiftright("at", 33)).join(ranges, "range")
+        placed = placed.select("turn", "dimension", "id", (F.col("before") + row).alias("place"))
+        stripe = F.floor(F.col("place") / width)
+        ends = F.when((F.col("place") % width < window) & (F.col("place") >= width), F.array(stripe, stripe - 1)).otherwise(F.array(stripe))
+        near = placed.select(F.explode(ends).alias("stripe"), "turn", "dimension", "place", "id").join(classes, "id")
+        near = near.select("stripe", "turn", "dimension", "place", "id", "vector")
+        near = near.repartition("stripe").sortWithinPartitions("stripe", "place")
+        found.append(work.keep(near.mapInArrow(_compared(cosine, window), "a bigint, b bigint"), "links"))
+        work.drop(by_key)
     return found
 
 
@@ -284,6 +283,7 @@ def near_vectors(
     passes: int = PASSES,
     window: int = WINDOW,
     block: int = 512,
+    fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
     """``id, n_links, component_id, kept`` of every row.
 
@@ -300,7 +300,7 @@ def near_vectors(
     rows = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).cast(f"array<{kind}>").alias("vector"))
     classes = rows.filter(usable).groupBy("vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
     classes = work.keep(classes, "classes")
-    found = _links(work, classes.select("id", "vector"), cosine, passes, window)
+    found = _links(work, classes.select("id", "vector"), cosine, passes, window, fit_rows)
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)

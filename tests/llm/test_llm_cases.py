@@ -298,14 +298,38 @@ def test_embeddings_in_a_dense_background(spark, tmp_path, mutual, cosine):
     assert found >= 0.9
 
 
-def test_embedding_ranges_end_for_copies_and_outliers():
+def test_embedding_keys_tell_all_but_copies_apart():
     rng = np.random.default_rng(8)
-    for x in (np.ones((500, 4)) * rng.uniform(1, 9, (500, 1)), np.vstack([np.ones((499, 4)), -np.ones((1, 4))]), rng.standard_normal((500, 1))):
-        rows = list(embeddings.leaves(embeddings.unit(x), np.arange(500), 3, 16))
-        assert all(1 < len(r) <= 16 for r in rows) and len(set(np.concatenate(rows))) == sum(map(len, rows)) > 300
+    for x in (rng.standard_normal((500, 4)), np.vstack([np.ones((499, 4)), -np.ones((1, 4))]), rng.standard_normal((500, 1)), np.ones((500, 4))):
+        x = embeddings.unit(x)
+        tree = embeddings.fit(x, 1.0, 3, 16)
+        keys = embeddings.sort_keys(x, np.arange(500), tree, 3)
+        assert len({k.tobytes() for k in keys}) == 500
+        assert (embeddings.sort_keys(x, np.arange(500), tree, 3) == keys).all()
+        assert (embeddings.sort_keys(x, np.arange(500), None, 3)[:, : embeddings.DEPTH] == 0).all()
     assert embeddings.passes_for(200_000) > embeddings.passes_for(20_000) == embeddings.PASSES
 
 
+@pytest.mark.parametrize("fit_rows", [600, 100])
+def test_embedding_windows_reach_across_tasks(spark, fit_rows):
+    rng = np.random.default_rng(11)
+    # Groups smaller and much larger than a window, a chain, and lone vectors, dealt over many tasks.
+    centre = rng.standard_normal((40, 16))
+    x = np.vstack([centre[np.repeat(np.arange(39), 5)] + 0.03 * rng.standard_normal((195, 16)), centre[39] + 0.03 * rng.standard_normal((150, 16)), rng.standard_normal((100, 16))])
+    turn = np.arange(60) * 0.2
+    x = np.vstack([x, np.stack([np.cos(turn) * 3, np.sin(turn) * 3, *[np.full(60, 0.01)] * 14], 1)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>").repartition(13)
+    got = {r["vec_id"]: r for r in embeddings.near_vectors(df, window=16, fit_rows=fit_rows).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    close = u @ u.T >= 0.95
+    np.fill_diagonal(close, False)
+    assert all(got[i]["n_links"] <= close[i].sum() for i in got)
+    reached = np.arange(len(x))
+    for _ in range(len(x)):
+        reached = np.minimum(reached, np.where(close, reached[None, :], len(x)).min(axis=1))
+    assert np.mean([got[i]["component_id"] == reached[i] and got[i]["n_links"] == close[i].sum() for i in got]) >= 0.99
+
+
 def test_language(docs, empty, spark):
     rows = [(i, f"the of and is {prose(5, i)}" if i % 3 else f"der die und {prose(5, i)}", "en" if i % 3 else "de") for i in range(60)]
     rows += [(100 + i, f"le les une que {prose(5, i)}", "fr") for i in range(30)] + [(200, None, "fr"), (201, "123", "fr")]
