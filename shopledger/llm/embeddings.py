@@ -199,11 +199,16 @@ def _compared(cosine: float, window: int):
             own = x[low : low + window]
             near = own @ x[around].T >= cosine
             near[np.arange(len(own)), np.arange(len(own))] = False
-            if near.any():
-                close = np.zeros((near.shape[1],) * 2, bool)
-                close[: len(own)] = near
+            # Only vectors with a link are looked at further.
+            linked = near.any(axis=0)
+            linked[: len(own)] |= near.any(axis=1)
+            some = np.flatnonzero(linked)
+            if len(some):
+                close = np.zeros((len(some),) * 2, bool)
+                mine = some[some < len(own)]
+                close[: len(mine)] = near[np.ix_(mine, some)]
                 close |= close.T
-                out += [(ids[low + a], ids[low + b]) for a, b in _spanning(close)]
+                out += [(ids[low + some[a]], ids[low + some[b]]) for a, b in _spanning(close)]
         a, b = zip(*out, strict=True) if out else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -234,7 +239,7 @@ def _counted(cosine: float):
 def _sample(classes: DataFrame, fit_rows: int) -> tuple[int, float, dict[int, np.ndarray]]:
     """The number of vectors, how many one of the sample stands for, the sample by dimension."""
     size = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("longest")).first()
-    rows = min(fit_rows, FIT_VALUES // (size["longest"] or 1))
+    rows = max(1, min(fit_rows, FIT_VALUES // (size["longest"] or 1)))
     share = min(1.0, rows / max(size["n"], 1))
     drawn = classes.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < int(share * (1 << 40))).select("vector").toArrow()
     vectors = drawn.column("vector").combine_chunks()
