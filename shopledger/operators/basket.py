@@ -55,15 +55,8 @@ def _parsed(intents: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def basket_value(
-    intents: DataFrame, start: str, end: str, min_amount: Mapping[bool, float] | None = None
-) -> DataFrame:
-    """Value and units of each basket: priced items less discounts other than shipping.
-
-    The content is parsed once and summed in place, for one-time and subscribed
-    baskets alike; ``min_amount`` sets a least value for either kind. A basket
-    without priced items has no value and is dropped.
-    """
+def _valued(intents: DataFrame, start: str, end: str) -> DataFrame:
+    """All parsed checkouts; those that are no basket of priced items have a NULL ``total_amount`` or ``units``."""
 
     def priced(item: Column) -> Column:
         return item["unitPrice"] > 0
@@ -75,7 +68,7 @@ def basket_value(
         _total("_c.discounts", deducted, lambda d: d["value"]), F.lit(0.0)
     )
     units = _total("_c.items", priced, lambda i: i["quantity"])
-    baskets = (
+    return (
         _parsed(intents, start, end)
         .select(
             "subscribed",
@@ -84,26 +77,42 @@ def basket_value(
             _once(F.struct(value.alias("total_amount"), units.alias("units"))).alias("_v"),
         )
         .select("subscribed", "order_number", "created_at", "_v.*")
-        .filter(F.col("total_amount").isNotNull() & F.col("units").isNotNull())
     )
+
+
+def _is_basket(min_amount: Mapping[bool, float] | None) -> Column:
+    whole = F.col("total_amount").isNotNull() & F.col("units").isNotNull()
     for subscribed, least in (min_amount or {}).items():
-        baskets = baskets.filter((F.col("subscribed") != subscribed) | (F.col("total_amount") >= least))
-    return baskets
+        whole &= (F.col("subscribed") != subscribed) | (F.col("total_amount") >= least)
+    return whole
 
 
-def order_counts(intents: DataFrame, start: str, end: str) -> DataFrame:
-    """Baskets that became orders, whatever their value: ``subscribed, total_orders``."""
-    return _parsed(intents, start, end).groupBy("subscribed").agg(F.count("orderNumber").alias("total_orders"))
+def basket_value(
+    intents: DataFrame, start: str, end: str, min_amount: Mapping[bool, float] | None = None
+) -> DataFrame:
+    """Value and units of each basket: priced items less discounts other than shipping.
+
+    The content is parsed once and summed in place, for one-time and subscribed
+    baskets alike; ``min_amount`` sets a least value for either kind. A basket
+    without priced items has no value and is dropped.
+    """
+    return _valued(intents, start, end).filter(_is_basket(min_amount))
 
 
-def _grouped(baskets: DataFrame, *by: Column | str) -> DataFrame:
+def _grouped(baskets: DataFrame, *by: Column | str, counts: Column | None = None) -> DataFrame:
+    """Figures of orders and attempts; rows where ``counts`` is not true only count in ``_orders``."""
     kind = F.when(F.col("order_number").isNotNull(), F.lit("orders")).otherwise(F.lit("attempts"))
+
+    def counted(value: Column) -> Column:
+        return value if counts is None else F.when(counts, value)
+
     return baskets.groupBy("subscribed", kind.alias("kind"), *by).agg(
-        F.count(F.lit(1)).alias("baskets"),
-        F.avg("total_amount").alias("avg_amount"),
-        F.avg("units").alias("avg_units"),
-        F.min("created_at").alias("_first"),
-        F.max("created_at").alias("_last"),
+        F.count(counted(F.lit(1))).alias("baskets"),
+        F.avg(counted(F.col("total_amount"))).alias("avg_amount"),
+        F.avg(counted(F.col("units"))).alias("avg_units"),
+        F.min(counted(F.col("created_at"))).alias("_first"),
+        F.max(counted(F.col("created_at"))).alias("_last"),
+        F.count("order_number").alias("_orders"),
     )
 
 
@@ -111,17 +120,21 @@ def _days(first: Column, last: Column) -> Column:
     return F.datediff(last, first) + 1
 
 
-def basket_summary(baskets: DataFrame, total_orders: DataFrame, start: str, end: str) -> DataFrame:
+def basket_summary(intents: DataFrame, start: str, end: str, min_amount: Mapping[bool, float] | None = None) -> DataFrame:
     """Means, baskets per day, their share of all orders per day, and how many attempts became orders.
 
-    Baskets per day count the days between the first and the last basket; all
-    orders per day count the period with both ends. ``total_orders`` comes from
-    ``order_counts``.
+    Baskets are those of ``basket_value``. Baskets per day count the days between the first and the
+    last basket; all orders per day count the period with both ends and the checkouts that became
+    orders, whatever their value. Contents are parsed once for both.
     """
     period_days = (date.fromisoformat(end[:10]) - date.fromisoformat(start[:10])).days + 1
     # Two rows per kind of basket: the orders and the attempts.
-    every = F.sum("baskets").over(W.partitionBy("subscribed"))
-    totals = _grouped(baskets).withColumn("_every", every).join(total_orders, "subscribed", "left")
+    whole = W.partitionBy("subscribed")
+    totals = (
+        _grouped(_valued(intents, start, end), counts=_is_basket(min_amount))
+        .withColumns({"_every": F.sum("baskets").over(whole), "total_orders": F.sum("_orders").over(whole)})
+        .filter("baskets > 0")
+    )
     all_per_day = safe_ratio(F.col("total_orders"), F.lit(period_days))
     per_day = safe_ratio(F.col("baskets"), _days(F.col("_first"), F.col("_last")))
     is_order = F.col("kind") == "orders"

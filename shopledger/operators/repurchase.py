@@ -177,9 +177,41 @@ def first_order_cohort(
 
     The questionnaire is that of the kit line with the lowest item id.
     """
+    cohorts = first_order_cohorts(
+        orders, items, raw_items, {"": (start, end)}, horizon, category, custom_categories, kit_items, plan, tracked_items
+    )
+    return cohorts.drop("period")
+
+
+def first_order_cohorts(
+    orders: DataFrame,
+    items: DataFrame,
+    raw_items: DataFrame,
+    periods: Mapping[str, tuple[str, str]],
+    horizon: str,
+    category: str,
+    custom_categories: Sequence[str],
+    kit_items: Sequence,
+    plan: str | None = None,
+    tracked_items: Sequence = (),
+) -> DataFrame:
+    """``first_order_cohort`` of each of the named ``(start, end)`` periods, told apart by ``period``, in one pass.
+
+    Periods may overlap: a first order is in each one that it falls in, and its customer's custom
+    orders count from that one's start. Tables are read as often as for a single period.
+    """
     valid = counted_orders(orders)
+    named = list(periods)
+    earliest, latest = min(s for s, _ in periods.values()), max(e for _, e in periods.values())
+
+    def falling(last: Mapping[str, str]) -> Column:
+        """The names of the periods from whose start up to ``last`` a row lies."""
+        return F.array_compact(
+            F.array(*[F.when(in_period(F.col("created_at"), periods[n][0], last[n], "[]"), F.lit(n)) for n in named])
+        )
+
     lines = items.select(F.col("salesOrderId").alias("id"), "itemId", "category")
-    first = valid.filter((F.col("is_first_order") == 1) & in_period(F.col("created_at"), start, end, "[]"))
+    first = valid.filter((F.col("is_first_order") == 1) & in_period(F.col("created_at"), earliest, latest, "[]"))
     if plan is not None:
         first = first.filter(F.col("order_plan") == plan)
     # One pass over the lines answers all per-order questions.
@@ -191,9 +223,10 @@ def first_order_cohort(
         F.collect_set(tracked.cast("string")).alias("tracked_items"),
     )
     custom = (
-        valid.filter(in_period(F.col("created_at"), start, horizon, "[]"))
+        valid.filter(in_period(F.col("created_at"), earliest, horizon, "[]"))
         .join(per_order.filter("_is_custom").select("id"), "id", "left_semi")
-        .groupBy("customer_id")
+        .select("customer_id", F.explode(falling(dict.fromkeys(named, horizon))).alias("period"))
+        .groupBy("customer_id", "period")
         .agg(F.count(F.lit(1)).alias("total_custom_orders"))
     )
     kit = (
@@ -209,8 +242,10 @@ def first_order_cohort(
         first.select("id", "customer_id", "created_at")
         .join(per_order.filter("_has_category").select("id", "tracked_items"), "id")
         .join(kit, "id", "left")
-        .join(custom, "customer_id")
+        .withColumn("period", F.explode(falling({n: e for n, (_, e) in periods.items()})))
+        .join(custom, ["customer_id", "period"])
         .select(
+            "period",
             F.col("id").alias("order_id"),
             "customer_id",
             "diagnostic",
@@ -289,6 +324,12 @@ def repurchase_by_answer_variants(answers: DataFrame, skipped_variables: Sequenc
     return _by_outcome(rows, ["item", F.col("variable_label").alias("variable"), F.col("value_label").alias("value")])
 
 
+def repurchase_by_answer_periods(answers: DataFrame, skipped_variables: Sequence[int]) -> DataFrame:
+    """The same for each ``period`` of ``first_order_cohorts``, in one pass."""
+    rows = answers.filter(~F.col("variable").isin(list(skipped_variables)))
+    return _by_outcome(rows, ["period", F.col("variable_label").alias("variable"), F.col("value_label").alias("value")])
+
+
 def repurchase_by_combination(answers: DataFrame, wanted: Mapping[str, Sequence[tuple[str, str]]]) -> DataFrame:
     """Per named set of (variable label, value label): first orders giving all of them, and who bought again."""
     named = combinations(answers.sparkSession, wanted, ["variable_label", "value_label"])

@@ -415,13 +415,13 @@ def bundle_repurchase(c: Catalog) -> DataFrame:
     )
 
 
-def _cohort(c: Catalog, start: str = START, end: str = END) -> DataFrame:
+def _cohort(c: Catalog) -> DataFrame:
     return repurchase.first_order_cohort(
         c.table("orders_flagged"),
         c.table("fact_order_items"),
         c.table("order_items_raw"),
-        start,
-        end,
+        START,
+        END,
         END,
         "PROMO",
         ["PROMO", "ECONOMY"],
@@ -430,8 +430,8 @@ def _cohort(c: Catalog, start: str = START, end: str = END) -> DataFrame:
     )
 
 
-def _answers(c: Catalog, start: str = START, end: str = END) -> DataFrame:
-    return repurchase.labelled_answers(_cohort(c, start, end), VARIABLE_LABELS, VALUE_LABELS)
+def _answers(c: Catalog) -> DataFrame:
+    return repurchase.labelled_answers(_cohort(c), VARIABLE_LABELS, VALUE_LABELS)
 
 
 @query
@@ -464,11 +464,19 @@ def repurchase_by_combination(c: Catalog) -> DataFrame:
 
 @query
 def repurchase_period_table(c: Catalog) -> DataFrame:
-    tables = None
-    for name, (start, end) in PERIODS.items():
-        part = repurchase.repurchase_by_answer(_answers(c, start, end), SKIPPED_VARIABLES).withColumn("period", F.lit(name))
-        tables = part if tables is None else tables.unionByName(part)
-    return repurchase.repurchase_period_table(tables, list(PERIODS))
+    cohorts = repurchase.first_order_cohorts(
+        c.table("orders_flagged"),
+        c.table("fact_order_items"),
+        c.table("order_items_raw"),
+        PERIODS,
+        END,
+        "PROMO",
+        ["PROMO", "ECONOMY"],
+        KIT_ITEMS,
+        tracked_items=EXCLUDED_ITEMS,
+    )
+    answers = repurchase.labelled_answers(cohorts, VARIABLE_LABELS, VALUE_LABELS)
+    return repurchase.repurchase_period_table(repurchase.repurchase_by_answer_periods(answers, SKIPPED_VARIABLES), list(PERIODS))
 
 
 @query
@@ -647,8 +655,7 @@ def basket_value(c: Catalog) -> DataFrame:
 
 @query
 def basket_summary(c: Catalog) -> DataFrame:
-    totals = basket.order_counts(c.table("intents"), BEFORE, AFTER)
-    return basket.basket_summary(_free_shipping(c), totals, BEFORE, AFTER)
+    return basket.basket_summary(c.table("intents"), BEFORE, AFTER, basket.FREE_SHIPPING)
 
 
 @query

@@ -37,5 +37,14 @@ def test_questionnaires_are_parsed_once(spark, data, name):
     assert len(re.findall("from_json", plan)) <= 2
 
 
+def test_checkouts_are_parsed_once(spark, data):
+    plan = QUERIES["basket_summary"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall("from_json", plan)) == 1
+
+
+def test_periods_share_their_reads(spark, data):
+    assert scans(QUERIES["repurchase_period_table"](spark, data)) == scans(QUERIES["repurchase_by_answer"](spark, data))
+
+
 def test_bundles_collect_nothing(spark, data):
     assert "collect_" not in QUERIES["bundle_repurchase"](spark, data)._jdf.queryExecution().executedPlan().toString()

@@ -384,6 +384,27 @@ def test_answers_by_label(spark):
     assert [(r.combination, r.repurchased, r.total) for r in combos.collect()] == [("a", 1, 1)]
 
 
+def test_cohorts_of_overlapping_periods_in_one_pass(spark):
+    rows = [order(1, 1, first=1), order(2, 4), order(3, 9), order(4, 4, customer=2, first=1), order(5, 8, customer=3, first=1), order(6, 3, customer=3)]
+    items = frame(spark, [(n, "x", "c", 1) for n in range(1, 7)], ITEMS)
+    raw = frame(spark, [(1, "x", '{"diagnostic":[{"variable":4,"value":1}]}')], "salesOrderId int, itemId string, additionalFields string")
+    periods = {"early": ("2024-01-01", "2024-01-05"), "late": ("2024-01-04", "2024-01-09"), "none": ("2020-01-01", "2020-02-01")}
+    args = ("2024-01-09", "c", ["c"], ["x"])
+    tables = (frame(spark, rows, ORDERS), items, raw)
+    every = repurchase.first_order_cohorts(*tables, periods, *args)
+    found = sorted((r.period, *r[1:3], r.total_custom_orders) for r in every.collect())
+    alone = [
+        (name, r.order_id, r.customer_id, r.total_custom_orders)
+        for name, (start, end) in periods.items()
+        for r in repurchase.first_order_cohort(*tables, start, end, *args).collect()
+    ]
+    assert found == sorted(alone) and {f[0] for f in found} == {"early", "late"}
+    # The order in both periods counts its customer's orders from either start.
+    assert {(f[0], f[1]) for f in found if f[1] == 4} == {("early", 4), ("late", 4)}
+    empty = repurchase.first_order_cohorts(tables[0].limit(0), *tables[1:], periods, *args)
+    assert empty.count() == 0
+
+
 def test_period_table_fills_and_shares(spark):
     rows = [("p", "V", "a", 1, 3, 4, 25.0), ("p", "V", "b", 0, 1, 1, 0.0), ("q", "V", "a", 2, 0, 2, 100.0)]
     tables = frame(spark, rows, "period string, variable string, value string, repurchased long, not_repurchased long, total long, repurchase_pct double")
@@ -538,8 +559,8 @@ def test_baskets(spark):
         "N5": (10, 1),
     }
     kept = basket.basket_value(intents, "2024-01-01", "2024-01-11", basket.FREE_SHIPPING)
-    totals = basket.order_counts(intents, "2024-01-01", "2024-01-11")
-    out = {(r.subscribed, r.kind, r.metric): r.value for r in basket.basket_summary(kept, totals, "2024-01-01", "2024-01-11").collect()}
+    summary = basket.basket_summary(intents, "2024-01-01", "2024-01-11", basket.FREE_SHIPPING)
+    out = {(r.subscribed, r.kind, r.metric): r.value for r in summary.collect()}
     assert out[False, "orders", "avg_amount"] == 35 and out[False, "attempts", "conversion"] == 0.5
     assert out[False, "orders", "all_orders_per_day"] == pytest.approx(3 / 11)
     bins = by(basket.basket_histogram(kept), "subscribed", "kind", "label")
