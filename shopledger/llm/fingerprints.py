@@ -1,6 +1,11 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut into paragraphs: runs of words that end with a line break or a sentence. Each paragraph
+A text is cut into paragraphs: runs of words that end with a line break or a sentence (full stops of
+scripts without spaces end one inside a word, too). So that texts without such ends are not one
+digest, a run also ends, from its eighth word on, at words that their hash chooses (one of eight), and
+16 words after the last end at the latest; words longer than 256 bytes are cut every 256 bytes. The
+same words thus mostly have the same cuts wherever they stand, and no digest stands for a long text.
+Each paragraph
 has a 64-bit digest (of its bytes and of how often the same paragraph came before in the text), and
 each digest is added to three cells of a small table: a cell holds the number of its digests, their
 XOR and the XOR of their checks. Two sketches of one size subtract cell by cell, what both texts have
@@ -22,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.words import Hasher, mix, slices
+from shopledger.llm.words import Hasher, Slice, mix, slices
 
 CELLS = 18
 TABLES = 3
@@ -32,6 +37,25 @@ _CHECK, _PLACE, _AGAIN = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E37
 _CELL = np.dtype([("count", "<i4"), ("digests", "<u8"), ("check", "<u4")])
 _SENTENCE_END = np.zeros(256, dtype=bool)
 _SENTENCE_END[list(b".!?")] = True
+#: Full stops, question and exclamation marks of other scripts, as UTF-8.
+_WIDE_ENDS = [np.frombuffer(c.encode(), np.uint8) for c in "。！？｡।۔؟።။"]
+_FREE_WORDS, _CHOSEN, _MOST_WORDS, _MOST_BYTES = 8, np.uint64(7), 16, 256
+
+
+def _inner_ends(part: Slice) -> tuple[np.ndarray, np.ndarray]:
+    """Where paragraphs end by other scripts' full stops or by length, in or after words, and those inside words."""
+    data, found = part.data, [np.zeros(0, np.int64)]
+    for mark in _WIDE_ENDS:
+        here = np.flatnonzero(data[: len(data) - len(mark) + 1] == mark[0]) if len(data) >= len(mark) else found[0]
+        for i in range(1, len(mark)):
+            here = here[data[here + i] == mark[i]]
+        found.append(here + len(mark))
+    long = np.flatnonzero(part.ends - part.starts > _MOST_BYTES)
+    for w in long:
+        found.append(np.arange(part.starts[w] + _MOST_BYTES, part.ends[w], _MOST_BYTES))
+    ends = np.unique(np.concatenate(found))
+    word = np.searchsorted(part.starts, ends, "left") - 1
+    return ends, ends[(word >= 0) & (ends < part.ends[word])]
 
 
 def paragraphs(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -40,13 +64,20 @@ def paragraphs(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     for part in slices(column):
         if not len(part.starts):
             continue
+        closed, inside = _inner_ends(part)
+        starts, ends = np.sort(np.append(part.starts, inside)), np.sort(np.append(part.ends, inside))
+        unit_doc = part.doc[np.searchsorted(part.starts, starts, "right") - 1]
         lines = np.concatenate(([0], np.cumsum(part.data == 10)))
-        last = _SENTENCE_END[part.data[part.ends - 1]]
-        new = np.ones(len(part.starts), bool)
-        new[1:] = last[:-1] | (lines[part.starts[1:]] > lines[part.ends[:-1]]) | (part.doc[1:] != part.doc[:-1])
+        last = _SENTENCE_END[part.data[ends - 1]] | np.isin(ends, closed)
+        new = np.ones(len(starts), bool)
+        new[1:] = last[:-1] | (lines[starts[1:]] > lines[ends[:-1]]) | (unit_doc[1:] != unit_doc[:-1])
+        at = np.arange(len(starts))
+        chosen = (_HASH(part.data, starts, ends) & _CHOSEN) == 0
+        new[1:] |= chosen[:-1] & ((at - np.maximum.accumulate(np.where(new, at, 0)))[1:] >= _FREE_WORDS)
+        new |= (at - np.maximum.accumulate(np.where(new, at, 0))) % _MOST_WORDS == 0
         first = np.flatnonzero(new)
         end = np.append(first[1:], len(new)) - 1
-        h, doc = _HASH(part.data, part.starts[first], part.ends[end]), part.doc[first]
+        h, doc = _HASH(part.data, starts[first], ends[end]), unit_doc[first]
         # Equal paragraphs of a text are told apart by how many came before.
         order = np.lexsort((np.arange(len(h)), h, doc))
         same = np.zeros(len(h), bool)

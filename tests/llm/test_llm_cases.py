@@ -238,6 +238,28 @@ def test_fingerprints_peel(docs, empty):
     assert one["n_chars"] == 9 and one["near_next"] == 1.0
 
 
+def test_no_digest_stands_for_a_long_text(data):
+    words = [f"w{i * 7919 % 3001}" for i in range(3000)]
+    chinese = "".join(chr(0x4E00 + i * 7 % 5000) + ("。" if i % 9 == 8 else "") for i in range(900))
+    before = [" ".join(words), "same " * 3000, chinese, chinese.replace("。", ""), "x" * 5000, "a b"]
+    after = [" ".join(words[:1500] + ["new", "end"]), "same " * 1500 + "end", chinese[:500] + "x", chinese.replace("。", "")[:450], "x" * 2500 + "y", "a c"]
+    x, y = fingerprints.paragraphs(pa.array(before)), fingerprints.paragraphs(pa.array(after))
+    near = fingerprints.likeness(x, y, len(before))
+    assert (near[:5] > 0.25).all() and (near[:5] < 0.75).all() and near[5] == 0
+    # An insertion at the front leaves most cuts of what follows where they were.
+    moved = fingerprints.paragraphs(pa.array(["some words put first " + before[0]]))
+    assert fingerprints.likeness(fingerprints.paragraphs(pa.array(before[:1])), moved, 1)[0] > 0.25
+
+    docs = pq.read_table(f"{data}/documents.parquet", columns=["doc_id", "text"]).sort_by("doc_id")
+    texts = [t or "" for t in docs["text"].to_pylist()]
+    edited = [t[: len(t) - len(t) // 2] + f[: len(t) // 2] for t, f in zip(texts, texts[1:] + texts[:1], strict=True)]
+    x, y = fingerprints.paragraphs(pa.array(texts)), fingerprints.paragraphs(pa.array(edited))
+    near = fingerprints.likeness(x, y, len(texts))
+    sets = [[set(d[r == i].tolist()) for i in range(len(texts))] for d, r in (x, y)]
+    assert near.tolist() == pytest.approx([len(a & b) / len(a | b) if a | b else 1 for a, b in zip(*sets, strict=True)])
+    assert all(n > 0 for n, t in zip(near, texts, strict=True) if len(t.split()) > 40)
+
+
 def test_compare_versions(spark):
     df = spark.createDataFrame([(1, "a. b. c.", "a. c. d."), (2, None, "")], "k int, old string, new string")
     got = {r["k"]: r for r in fingerprints.compare(df, "old", "new", ["k"]).collect()}
