@@ -30,12 +30,13 @@ def percent_number(text: Column) -> Column:
 
 
 def lenient_amount(text: Column) -> Column:
-    """A number, or else the part before the first dot of a badly formatted one."""
+    """A number, or else the part before the first dot of a badly formatted one. For callers' own inputs; no report needs it."""
     raw = text.cast("string")
     return F.coalesce(raw.try_cast("double"), F.substring_index(raw, ".", 1).try_cast("double"))
 
 
 # --- delivery frequency -------------------------------------------------------
+# The words and patterns of frequency texts ("Every 4 weeks", "28 days").
 
 
 def every_n(text: Column) -> Column:

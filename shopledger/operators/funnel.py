@@ -10,7 +10,7 @@ from shopledger.functions.scalars import step_name, step_number
 from shopledger.operators.core import with_totals
 
 
-#: Columns of an export that are no step.
+#: Fixed value: columns of an export that are no step.
 IGNORED = ("Ingreso Active users",)
 
 

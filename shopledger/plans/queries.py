@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopledger.functions.scalars import percent_text
 from shopledger.operators import (
     basket,
     cancellations,
@@ -739,7 +740,7 @@ def tracker_merge(c: Catalog) -> DataFrame:
 
 
 def _percent_text(column: str) -> Column:
-    return F.concat(F.round(column, 2).cast("string"), F.lit("%")).alias("share")
+    return percent_text(F.round(column, 2)).alias("share")
 
 
 TRACKED_PERIOD = "1995-2001"
