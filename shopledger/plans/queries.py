@@ -843,7 +843,8 @@ def blocked_payment_files(c: Catalog) -> DataFrame:
 def payment_attempt_file(c: Catalog) -> DataFrame:
     """Recovery by card from a CSV export in Latin-1."""
     rows = c.table("payment_attempts").withColumn("row_no", F.col("created_utc"))
-    rows = rows.withColumn("created_utc", F.date_format("created_utc", "yyyy-MM-dd HH:mm:ss"))
+    # Whole seconds would leave the order of attempts of one second open.
+    rows = rows.withColumn("created_utc", F.date_format("created_utc", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     rows = rows.withColumn("note", F.lit("niño")).withColumnsRenamed({v: k for k, v in readers.ATTEMPT_COLUMNS.items()})
     path = _csv(rows, run_folder(c.spark, "files"), encoding="ISO-8859-1")
     return payments.payment_recovery_by_card(readers.read_payment_attempts(c.spark, path, "ISO-8859-1"))

@@ -96,9 +96,12 @@ def read_processor_payments(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_payment_attempts(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Attempts of a payment export; an unreadable time becomes NULL (see ``require_valid``)."""
+    """Attempts of a payment export, with fractions of a second where the file has them.
+
+    An unreadable time becomes NULL (see ``require_valid``).
+    """
     df = read_csv(spark, path, list(ATTEMPT_COLUMNS), encoding).withColumnsRenamed(ATTEMPT_COLUMNS)
-    created = F.try_to_timestamp("created_utc", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    created = F.try_to_timestamp("created_utc", F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]")).cast("timestamp_ntz")
     return df.select(*ATTEMPT_COLUMNS.values()).withColumn("created_utc", created)
 
 

@@ -4,6 +4,7 @@ import pytest
 
 from shopledger.operators.reviews import review_load_set
 from shopledger.operators.tracker import kpi_tracker
+from shopledger.plans.queries import payment_attempt_file
 from shopledger.sources import readers, sinks
 from shopledger.sources.catalog import Catalog
 
@@ -66,6 +67,19 @@ def test_payment_files(spark, tmp_path):
         readers.read_payment_attempts(spark, paid)
 
 
+def test_attempts_of_one_second_keep_their_order(spark, tmp_path):
+    header = "Description,Customer Email,Status,Created date (UTC),Card ID\n"
+    times = ["2024-01-01 10:00:00", "2024-01-01 10:00:00.5", "2024-01-01 10:00:00.123456", "2024-01-01"]
+    file = write(tmp_path / "a.csv", header + "".join(f"d,u,Paid,{t},c\n" for t in times))
+    read = readers.read_payment_attempts(spark, file)
+    assert [r.created_utc and r.created_utc.microsecond for r in read.collect()] == [0, 500000, 123456, None]
+    rows = [("Paid", "00.100000", "card2"), ("Paid", "00.200000", "card1"), ("Failed", "00.900000", "card0")]
+    rows = spark.createDataFrame([("d", "u", s, f"2024-01-01 10:00:{t}", c) for s, t, c in rows], "description string, customer_email string, status string, created_utc string, card_id string")
+    rows = rows.withColumn("created_utc", rows.created_utc.cast("timestamp_ntz"))
+    got = payment_attempt_file(Catalog(spark, "", {"payment_attempts": lambda c: rows})).first()
+    assert (got.paid_card_id, got.resolved, got.last_attempt.microsecond) == ("card1", False, 900000)
+
+
 def test_reviews_document(spark, tmp_path):
     doc = {"itemsList": [{"title": "t", "feedback": {"rating": 5, "adminStatus": "VERIFIED"}}, {"title": "u", "feedback": None}]}
     rows = readers.read_reviews(spark, write(tmp_path / "r.json", json.dumps(doc, indent=1))).collect()
