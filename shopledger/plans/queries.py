@@ -797,7 +797,10 @@ def kpi_tracker_update(c: Catalog) -> DataFrame:
 def kpi_tracker_store(c: Catalog) -> DataFrame:
     """The tracker of ``kpi_tracker_update``, kept in a folder: two sections, then a corrected one and a further period."""
     path = run_folder(c.spark, "tracker")
-    sections = {name: df for name, df in _sections(c).items() if name in ("survey", "addons")}
+    # Every update reads its section again.
+    built = {name: lambda _, df=df: df for name, df in _sections(c).items() if name in ("survey", "addons")}
+    stage = _staged(c, {}, **built)
+    sections = {name: stage.table(name) for name in built}
     for name, df in sections.items():
         sinks.write_kpis(tracker.kpi_tracker(TRACKED_PERIOD, {name: df}), path)
     corrected = sections["addons"].withColumn("value", F.col("value") * 2)

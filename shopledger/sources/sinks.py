@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,23 +28,37 @@ def read_report(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}")
 
 
+@contextlib.contextmanager
+def _staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
+    """``df`` as a table beside ``path``, computed once and there until it has been taken in."""
+    spark = df.sparkSession
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(staging)
+        yield spark.read.schema(df.schema).parquet(staging)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(staging)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_kpis(kpis: DataFrame, path: str) -> None:
     """Takes the figures into the tracker at ``path``: they replace those of the same period, section and metric.
 
     Only the periods in ``kpis`` are read and written anew; other sections and metrics of theirs stay.
-    A figure given twice is refused.
+    A figure given twice is refused. The figures are computed once; what was checked is what is written.
     """
     keys = ["period", "section", "metric"]
-    twice = kpis.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1)
-    if twice:
-        raise ValueError(f"a figure is given more than once: {twice[0].asDict()}")
-    periods = [r[0] for r in kpis.select("period").distinct().collect()]  # the months of one update
+    with _staged(kpis, path) as staged:
+        twice = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1)
+        if twice:
+            raise ValueError(f"a figure is given more than once: {twice[0].asDict()}")
+        periods = [r[0] for r in staged.select("period").distinct().collect()]  # the months of one update
 
-    def merged(present) -> DataFrame:
-        known = present(periods)
-        return kpis if known is None else tracker_update(known.select(*kpis.columns), kpis)
+        def merged(present) -> DataFrame:
+            known = present(periods)
+            return staged if known is None else tracker_update(known.select(*staged.columns), staged)
 
-    Store(kpis.sparkSession, path, "period").commit(None, merged)
+        Store(kpis.sparkSession, path, "period").commit(None, merged)
 
 
 def read_kpis(spark: SparkSession, path: str) -> DataFrame | None:
@@ -58,11 +73,7 @@ def load_reviews(load_set: DataFrame, path: str, batch: str | None = None) -> bo
     is not even looked at (False). Of several rows with one id the first in the order of all columns
     is loaded. What was checked is what is written, even if the source changes meanwhile.
     """
-    spark = load_set.sparkSession
-    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
-    load_set.write.parquet(staging)
-    try:
-        staged = spark.read.schema(load_set.schema).parquet(staging)
+    with _staged(load_set, path) as staged:
         bad = review_load_errors(staged).take(10)
         if bad:
             raise ValueError(f"reviews not loaded, unreadable rows: {[r.asDict() for r in bad]}")
@@ -72,10 +83,7 @@ def load_reviews(load_set: DataFrame, path: str, batch: str | None = None) -> bo
             known = present(None)
             return once if known is None else once.join(known.select("id"), "id", "left_anti").select(*once.columns)
 
-        return Store(spark, path).commit(batch, fresh)
-    finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(staging)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        return Store(load_set.sparkSession, path).commit(batch, fresh)
 
 
 def loaded_reviews(spark: SparkSession, path: str) -> DataFrame | None:

@@ -5,6 +5,8 @@ import json
 import pytest
 
 from shopledger.operators.tracker import kpi_tracker
+from shopledger.plans.fixtures import catalog
+from shopledger.plans.queries import kpi_tracker_store, kpi_tracker_update
 from shopledger.sources import sinks
 from shopledger.sources.catalog import Catalog
 from shopledger.sources.store import StagedCatalog, Store, run_folder, shared_folder
@@ -116,3 +118,35 @@ def test_staged_tables_are_written_once(spark, tmp_path):
 def test_run_folders_are_new(spark):
     assert run_folder(spark, "a") != run_folder(spark, "a")
     assert shared_folder(spark)
+
+
+def counted(spark, df):
+    """The rows, and a number that grows by one whenever one of them is computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), seen
+
+
+def test_figures_are_computed_once(spark, tmp_path):
+    path = str(tmp_path / "kpis")
+    for _ in range(2):
+        kpis, seen = counted(spark, kpi_tracker("may", {"a": figures(spark, x=1.0, y=2.0)}))
+        sinks.write_kpis(kpis, path)
+        assert seen.value == 2
+    assert [p.name for p in tmp_path.iterdir()] == ["kpis"]
+
+
+@pytest.mark.parametrize("query", [kpi_tracker_store, kpi_tracker_update])
+def test_tracker_computes_a_section_once(spark, data, query):
+    tables = catalog(spark, data)
+    groups, seen = counted(spark, tables.table("items_item_groups"))
+    tables.builders["items_item_groups"] = lambda c: groups
+    rows = groups.count()
+    before = seen.value
+    assert query(tables).count() == 16 and before == rows
+    assert seen.value - before == rows
