@@ -1,10 +1,13 @@
 """Quality learns from every labelled document: scales, pairs, weights and threshold against brute force."""
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shopledger.llm import quality
 
 
@@ -63,3 +66,18 @@ def test_weights_and_threshold(spark):
         assert quality._threshold(ranks, weights, share) == pytest.approx(expected)
     one = spark.createDataFrame([(0, 2.5), (1, 2.5)], "label int, rank double")
     assert quality._threshold(one, {0: 0.25, 1: 0.25}, 0.5) == 2.5
+
+
+def test_pipeline_learns_from_every_labelled_document(spark, tmp_path, monkeypatch):
+    text = F.expr("repeat('ab. ', cast(1 + doc_id % 1009 % 37 as int))")
+    docs = spark.range(36_000).select(F.col("id").alias("doc_id")).withColumn("text", text)
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    used = []
+    score = quality.score
+    monkeypatch.setattr(quality, "score", lambda docs, model: used.append(model) or score(docs, model))
+    kept = corpus_pipeline.good_quality(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    learned = [i for i in range(36_000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    x = quality.features(pa.array(["ab. " * (1 + i % 1009 % 37) for i in learned]))
+    assert np.allclose(used[0].mean, x.mean(0), rtol=1e-8)
