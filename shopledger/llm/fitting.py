@@ -1,4 +1,4 @@
-"""Shared parts of the trained operators: samples of labelled rows, a solver, and scoring by batch."""
+"""Shared parts of the trained operators: labelled rows and samples of them, a solver, and scoring by batch."""
 
 from __future__ import annotations
 
@@ -78,6 +78,12 @@ def bounded_sample(rows: DataFrame, label: str, key: str, per_label: int) -> Dat
     return ranked.select(*rows.columns)
 
 
+def labelled_texts(docs: DataFrame, chosen: DataFrame, id: str, text: str) -> DataFrame:
+    """``text, label`` of all documents whose id is among ``chosen`` (``id, label``, each id once)."""
+    texts = docs.select(F.col(id).alias("_labelled_id"), F.col(text).alias("text"))
+    return texts.join(chosen, F.col("_labelled_id") == F.col("id")).select("text", "label")
+
+
 def sampled_texts(
     docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, train: Column, per_label: int
 ) -> DataFrame:
@@ -87,8 +93,7 @@ def sampled_texts(
     so it is broadcast and no text is shuffled. Only labels whose document exists give a row.
     """
     chosen = bounded_sample(labelled_ids(labels, id, label, train), "label", "id", per_label)
-    texts = docs.select(F.col(id).alias("_sample_id"), F.col(text).alias("text"))
-    return texts.join(F.broadcast(chosen), F.col("_sample_id") == F.col("id")).select("text", "label")
+    return labelled_texts(docs, F.broadcast(chosen), id, text)
 
 
 def with_scores(

@@ -1,9 +1,10 @@
 """Toxicity: a logistic classifier that is held to equal scores when identity terms are swapped.
 
 Features are the words of a text and the beginnings of its words (letters only, lower-cased), the
-``vocabulary`` of them that tell the labels apart best in the sample. Each sampled text that names a
-group is copied with its identity terms swapped for others, and the loss adds ``fairness`` times the
-mean squared difference of the two scores, so that a group's name alone moves no score.
+``vocabulary`` of them that tell the labels apart best. Each training text that names a group is
+copied with its identity terms swapped for others, and the loss adds ``fairness`` times the mean
+squared difference of the two scores, so that a group's name alone moves no score. Every training
+document counts: in the choice of features, in the loss, and in its gradients.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopledger.llm.fitting import labelled_ids, minimise, sampled_texts, sigmoid, with_scores
+from shopledger.llm.fitting import labelled_ids, labelled_texts, minimise, sampled_texts, sigmoid, with_scores
 from shopledger.llm.words import NO_LETTER, Hasher, Slice, slices
 from shopledger.llm.workspace import Workspace
 
@@ -92,7 +93,7 @@ class Model:
         return sigmoid(counts(column, self.vocabulary) @ self.weights[:-1] + self.weights[-1])
 
 
-def _telling(sample: DataFrame, vocabulary: int, least: int) -> np.ndarray:
+def _telling(texts: DataFrame, vocabulary: int, least: int) -> np.ndarray:
     """The features whose document frequencies differ most between the labels, by the G statistic."""
 
     def tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,11 +116,11 @@ def _telling(sample: DataFrame, vocabulary: int, least: int) -> np.ndarray:
                     names=["h", "pos", "neg"],
                 )
 
-    by_label = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    by_label = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = float(by_label.get(1, 0)), float(by_label.get(0, 0))
     if not n1 or not n0:
         return np.zeros(0, np.uint64)
-    table = sample.select("text", "label").mapInArrow(tallies, "h bigint, pos bigint, neg bigint")
+    table = texts.select("text", "label").mapInArrow(tallies, "h bigint, pos bigint, neg bigint")
     table = table.groupBy("h").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     table = table.filter(F.col("pos") + F.col("neg") >= least)
     p, q = F.col("pos") + 0.5, F.col("neg") + 0.5
@@ -129,28 +130,74 @@ def _telling(sample: DataFrame, vocabulary: int, least: int) -> np.ndarray:
     return np.sort(np.array([r["h"] for r in best.collect()], dtype=np.int64).view(np.uint64))
 
 
-def fit(
-    x: np.ndarray, y: np.ndarray, twins: np.ndarray, of: np.ndarray, fairness: float, ridge: float = 2e-4,
-    mass: np.ndarray | None = None,
-) -> np.ndarray:
-    """Logistic weights; ``twins[i]`` is the swapped form of row ``of[i]``, ``mass`` what each row counts."""
-    n, k = x.shape
-    moved = x[of] - twins
-    mass = np.full(n, 1 / n) if mass is None else mass / mass.sum()
-    moved_mass = mass[of] / mass[of].sum() if len(of) else mass[of]
+#: A feature that a text has, or in which it differs from its twin.
+_ENTRY = np.dtype([("at", "<i4"), ("x", "<f4")])
+
+
+def _entries(x: np.ndarray) -> list[bytes]:
+    """Of each row of ``x`` what is not zero."""
+    row, at = np.nonzero(x)
+    out = np.empty(len(at), _ENTRY)
+    out["at"], out["x"] = at, x[row, at]
+    bounds = np.searchsorted(row, np.arange(len(x) + 1))
+    return [out[low:high].tobytes() for low, high in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def _columns(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The row, place and value of all entries of a column; nulls have none."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    entries = np.frombuffer(data[offsets[0] : offsets[-1]] if data is not None else b"", _ENTRY)
+    row = np.repeat(np.arange(len(column)), np.diff(offsets) // _ENTRY.itemsize)
+    return row, entries["at"].astype(np.intp), entries["x"].astype(np.float64)
+
+
+def _sums(rows: DataFrame, w: np.ndarray, mass: dict[int, float]) -> np.ndarray:
+    """Loss, unfairness, mass of the rows with twins, and both slopes over all rows.
+
+    One sum for each number comes to the driver. Tasks' sums are added as decimals, so that no digit
+    depends on the order in which tasks end.
+    """
+    k = len(w) - 1
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * k + 4)
+        for batch in batches:
+            n, y = batch.num_rows, batch.column(0).to_numpy(zero_copy_only=False)
+            if not n:
+                continue
+            each = np.where(y == 1, mass[1], mass[0])
+            row, at, x = _columns(batch.column(1))
+            s = np.bincount(row, x * w[at], n) + w[-1]
+            wrong = (sigmoid(s) - y) * each
+            twin = each * batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+            moved_row, moved_at, moved = _columns(batch.column(2))
+            d = np.bincount(moved_row, moved * w[moved_at], n)
+            slope = np.bincount(at, x * wrong[row], k)
+            unfair = np.bincount(moved_at, moved * (2 * twin * d)[moved_row], k)
+            total += [each @ (np.logaddexp(0, s) - y * s), twin @ d**2, twin.sum(), *slope, wrong.sum(), *unfair]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=["i", "v"])
+
+    exact = F.sum(F.col("v").cast("decimal(38,18)")).cast("double")
+    got = rows.select("label", "x", "moved").mapInArrow(sums, "i int, v double").groupBy("i").agg(exact.alias("v")).collect()
+    total = np.zeros(2 * k + 4)
+    total[[r["i"] for r in got]] = [r["v"] for r in got]
+    return total
+
+
+def fit(rows: DataFrame, size: int, mass: dict[int, float], fairness: float, ridge: float = 2e-4) -> np.ndarray:
+    """Logistic weights of ``size`` features and the constant; a row of a label counts ``mass``, all together 1."""
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
-        s = x @ w[:-1] + w[-1]
-        wrong = (sigmoid(s) - y) * mass
-        value = mass @ (np.logaddexp(0, s) - y * s) + ridge / 2 * w[:-1] @ w[:-1]
-        slope = np.append(x.T @ wrong + ridge * w[:-1], wrong.sum())
-        if len(moved):
-            d = moved @ w[:-1]
-            value += fairness * (moved_mass @ d**2)
-            slope[:-1] += 2 * fairness * (moved.T @ (moved_mass * d))
+        total = _sums(rows, w, mass)
+        share = fairness / total[2] if total[2] else 0.0
+        value = total[0] + share * total[1] + ridge / 2 * w[:-1] @ w[:-1]
+        slope = total[3 : size + 4].copy()
+        slope[:-1] += share * total[size + 4 :] + ridge * w[:-1]
         return value, slope
 
-    return minimise(loss, np.zeros(k + 1))
+    return minimise(loss, np.zeros(size + 1))
 
 
 def train(
@@ -160,41 +207,45 @@ def train(
     text: str = "text",
     id: str = "doc_id",
     label: str = "toxic",
-    per_label: int = 6_000,
+    per_label: int | None = None,
     vocabulary: int = 1024,
     least: int = 3,
     fairness: float = 5.0,
 ) -> Model | None:
-    """A model of at most ``per_label`` documents of each label among those for which ``train`` holds.
+    """A model of all documents with a label for which ``train`` holds, or of at most ``per_label`` of each label.
 
-    ``train`` is a condition on the columns of ``labels``. Features in fewer than ``least`` sampled
-    documents are not used. Only the counts of the vocabulary come to the driver. The sampled rows of a
-    label count as much as the label occurs among all training labels, so the mean score of the sample,
-    weighted as the labels occur, is their true share, whatever ``per_label``. ``None`` without documents of both labels.
+    ``train`` is a condition on the columns of ``labels``. Features in fewer than ``least`` of these
+    documents are not used. The driver gets the vocabulary and the sums of each step of the fit, whose
+    number does not grow with the tables. The rows of a label count as much as the label occurs among all
+    training labels, so the mean score of the rows, weighted as the labels occur, is their true share,
+    whatever ``per_label``. ``None`` without documents of both labels.
     """
     work = Workspace(docs.sparkSession, "toxicity")
-    sample = work.keep(sampled_texts(docs, labels, id, text, label, train, per_label), "sample")
-    words = _telling(sample, vocabulary, least)
+    known = labelled_ids(labels, id, label, train)
+    if per_label is None:
+        # A merge join whatever the size: texts are shuffled once, in proportion to the input, and no list of ids is sent to all.
+        chosen = labelled_texts(docs, known.hint("merge"), id, text)
+    else:
+        chosen = sampled_texts(docs, labels, id, text, label, train, per_label)
+    texts = work.keep(chosen, "texts")
+    words = _telling(texts, vocabulary, least)
     if not len(words):
         return None
-    fields = T.StructType([T.StructField("x", T.BinaryType()), T.StructField("twin", T.BinaryType())])
-
-    def packed(column: pa.Array) -> list[pa.Array]:
-        twins = [swapped(t) for t in column.to_pylist()]
-        x, other = counts(column, words), counts(pa.array([t or "" for t in twins], pa.large_string()), words)
-        return [
-            pa.array([row.tobytes() for row in x], pa.binary()),
-            pa.array([row.tobytes() if t else None for row, t in zip(other, twins, strict=True)], pa.binary()),
-        ]
-
-    got = with_scores(sample, "text", ["label"], fields, packed).toPandas()
-    got = got.iloc[np.lexsort((got["x"].to_numpy(), got["label"].to_numpy()))]
-    has = got["twin"].notna().to_numpy()
-    table = lambda rows: np.frombuffer(b"".join(rows), np.float32).reshape(-1, len(words) + 1)
-    x, y = table(got["x"]), got["label"].to_numpy()
-    total = {r["label"]: r["count"] for r in labelled_ids(labels, id, label, train).groupBy("label").count().collect()}
-    mass = np.where(y == 1, total[1] / (y == 1).sum(), total[0] / (y == 0).sum())
-    w = fit(x, y, table(got["twin"][has]), np.flatnonzero(has), fairness, mass=mass)
+    fields = T.StructType([T.StructField("x", T.BinaryType()), T.StructField("moved", T.BinaryType())])
+
+    def entries(column: pa.Array) -> list[pa.Array]:
+        x, twins = counts(column, words), [swapped(t) for t in column.to_pylist()]
+        has = [i for i, t in enumerate(twins) if t is not None]
+        moved = x[has] - counts(pa.array([twins[i] for i in has], pa.large_string()), words)
+        moved = dict(zip(has, _entries(moved), strict=True))
+        return [pa.array(_entries(x), pa.binary()), pa.array([moved.get(i) for i in range(len(x))], pa.binary())]
+
+    rows = work.keep(with_scores(texts, "text", ["label"], fields, entries, rows=1000), "features")
+    work.drop(texts)
+    count = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    total = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    w = fit(rows, len(words) + 1, {y: total[y] / sum(total.values()) / count[y] for y in (0, 1)}, fairness)
+    work.drop(rows)
     return Model(words, w)
 
 
